@@ -25,10 +25,10 @@ def time_dimensions(time_column: str, prefix: str) -> dict[str, Column]:
     }
 
 
-def source_month_columns(source_file: Column) -> dict[str, Column]:
-    """Delivery month of a file key; a key that names no month gives empty strings, never NULL."""
-    return {
-        "_source_month": F.regexp_extract(source_file, MONTH_PATTERN, 0),
-        "source_year": F.regexp_extract(source_file, MONTH_PATTERN, 1),
-        "source_month": F.regexp_extract(source_file, MONTH_PATTERN, 2),
-    }
+def source_month(source_file: Column) -> Column:
+    """Delivery month named in a file key, or an empty string (never NULL) when it names none."""
+    return F.regexp_extract(source_file, MONTH_PATTERN, 0)
+
+
+def source_month_parts(month: Column) -> dict[str, Column]:
+    return {"source_year": F.substring(month, 1, 4), "source_month": F.substring(month, 6, 2)}

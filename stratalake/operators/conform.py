@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.predicates import quoted
-from stratalake.functions.timedims import source_month_columns
+from stratalake.functions.timedims import source_month, source_month_parts
 
 
 def conform(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
@@ -27,11 +27,17 @@ def conform(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ())
     return df.select(*out, *keep)
 
 
-def add_provenance(df: DataFrame, source_file: Column, batch_id: str) -> DataFrame:
-    stamped = df.withColumn("_source_file", source_file)
+def add_provenance(df: DataFrame, source_file: Column, batch_id: str, month: Column | None = None) -> DataFrame:
+    """File, delivery month, batch and time of each row.
+
+    ``month`` is read from the file name of every row unless the caller already has it per file.
+    """
+    stamped = df.withColumn("_source_file", source_file).withColumn(
+        "_source_month", source_month(F.col("_source_file")) if month is None else month
+    )
     return stamped.withColumns(
         {
-            **source_month_columns(F.col("_source_file")),
+            **source_month_parts(F.col("_source_month")),
             "_batch_id": F.lit(batch_id),
             "_ingested_at": F.current_timestamp(),
         }

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Distinct payloads that may be broadcast: at about 300 bytes each, 150 MB.
+MAX_CODES = 500_000
+CODE = "_payload_code"
+
 
 def deduplicate(df: DataFrame, keys: Sequence[str], derived: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per distinct ``keys``; among copies the smallest payload wins, so a rerun keeps the same row.
@@ -20,5 +26,36 @@ def deduplicate(df: DataFrame, keys: Sequence[str], derived: Mapping[str, Column
     payload = [c for c in df.columns if c not in keys and c not in derived]
     if not payload:
         return df.select(*keys).distinct().withColumns(derived).select(*df.columns)
+    if len(payload) == 1:
+        # A lone number stays in the aggregate's fixed-width buffer, which hashes rows instead of sorting them.
+        survivors = df.groupBy(*keys).agg(F.min(payload[0]).alias(payload[0]))
+        return survivors.withColumns(derived).select(*df.columns)
     survivors = df.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_survivor"))
     return survivors.select(*keys, "_survivor.*").withColumns(derived).select(*df.columns)
+
+
+@contextmanager
+def coded_payload(
+    df: DataFrame, columns: Sequence[str], max_codes: int = MAX_CODES
+) -> Iterator[tuple[DataFrame, Callable[[DataFrame], DataFrame]]]:
+    """Stand one number in for ``columns`` that repeat over many rows, and a function that puts them back.
+
+    Numbers follow the order of the columns, so the smallest number is the smallest payload. A shuffle then carries
+    eight bytes per row instead of the text, and ``deduplicate`` can hash. Both directions are broadcast joins, so
+    with more than ``max_codes`` distinct payloads the frame is handed through as it is. The lookup is small, and it
+    is kept until the block ends; executors that are lost recompute their part of it.
+    """
+    distinct_rows = df.select(*columns).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if distinct_rows.count() > max_codes:
+            yield df, lambda out: out
+            return
+        # One task numbers at most max_codes rows.
+        codes = distinct_rows.withColumn(CODE, F.row_number().over(Window.orderBy(*columns)).cast("bigint"))
+        same = [df[c].eqNullSafe(codes[c]) for c in columns]
+        coded = df.join(F.broadcast(codes), same, "inner").select(
+            *[df[c] for c in df.columns if c not in columns], codes[CODE]
+        )
+        yield coded, lambda out: out.join(F.broadcast(codes), CODE).drop(CODE)
+    finally:
+        distinct_rows.unpersist()

@@ -10,15 +10,15 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.functions.timedims import source_month_columns
+from stratalake.functions.timedims import source_month_parts
 from stratalake.operators import marts, profile, quality
-from stratalake.operators.dedup import deduplicate
+from stratalake.operators.dedup import coded_payload, deduplicate
 from stratalake.plans.sizing import sized_for, table_bytes
 from stratalake.plans.sql import answers
 from stratalake.sources.landing import ingest, read_conformed
 from stratalake.sources.layout import BRONZE, CHECK_RESULTS, DQ, GOLD, SILVER, landing_root, table_path
 from stratalake.sources.tables import append_table, overwrite_table, read_optional, read_table
-from stratalake.spec import BRONZE_PARTITIONS, DatasetSpec, MeanMart
+from stratalake.spec import BRONZE_PARTITIONS, PROVENANCE, DatasetSpec, MeanMart
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,8 @@ def clean(df: DataFrame, spec: DatasetSpec) -> Clean:
 
 
 def dedup_rows(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Provenance that follows from the file name is rebuilt after the shuffle."""
-    derived = source_month_columns(F.col("_source_file")) if "_source_file" in df.columns else {}
+    """Year and month of the delivery are cut from ``_source_month`` after the shuffle instead of going through it."""
+    derived = source_month_parts(F.col("_source_month")) if "_source_month" in df.columns else {}
     return deduplicate(df, spec.keys, {c: e for c, e in derived.items() if c in df.columns})
 
 
@@ -84,42 +84,58 @@ def run_silver(spark: SparkSession, spec: DatasetSpec, lake: str, run_id: str, *
     bronze = read_table(spark, source, spec.bronze_schema, fmt)
     target = table_path(lake, SILVER, spec.table)
     rejected = table_path(lake, SILVER, spec.rejected_table)
-    cleaned = clean(bronze, spec)
-
     with sized_for(spark, table_bytes(spark, source)):
-        breaking = quality.breaks_block_check(bronze, spec.checks)
-        if breaking is not None and not breaking.isEmpty():
-            # A failing row may be a copy that deduplication drops, so the deduplicated counts decide.
-            metrics = cleaned.metrics.collect()
-            blocked = spark.createDataFrame(metrics, cleaned.metrics.schema)
-            if any(m["severity"] == quality.BLOCK and not m["passed"] for m in metrics):
-                _record(blocked, lake, run_id, fmt)
-            quality.assert_no_block_failures(blocked)
-        _in_parallel(
-            lambda: overwrite_table(cleaned.valid, target, spec.silver_partitions, fmt=fmt, cluster=True),
-            lambda: overwrite_table(cleaned.quarantine, rejected, fmt=fmt),
-        )
+        _stop_if_blocked(spark, bronze, spec, lake, run_id, fmt)
+        with coded_payload(bronze, list(PROVENANCE)) as (rows, restore):
+            cleaned = clean(rows, spec)
+            valid = restore(cleaned.valid).select(*spec.columns, *PROVENANCE, *spec.time_columns)
+            quarantine = restore(cleaned.quarantine).select(*spec.columns, *PROVENANCE, quality.REASON)
+            _in_parallel(
+                spark,
+                lambda: overwrite_table(valid, target, spec.silver_partitions, fmt=fmt, cluster=True),
+                lambda: overwrite_table(quarantine, rejected, fmt=fmt),
+            )
         published = _published(spark, spec, lake, fmt)
         _record(quality.check_metrics(published, spec.checks), lake, run_id, fmt)
     return target
 
 
+def _stop_if_blocked(
+    spark: SparkSession, bronze: DataFrame, spec: DatasetSpec, lake: str, run_id: str, fmt: str
+) -> None:
+    """A filter looks for a failing row. Only if there is one are the deduplicated counts made, which then decide:
+    the row could be a copy that deduplication drops."""
+    breaking = quality.breaks_block_check(bronze, spec.checks)
+    if breaking is None or breaking.isEmpty():
+        return
+    counted = quality.check_metrics(dedup_keys_only(bronze, spec), spec.checks)
+    metrics = spark.createDataFrame(counted.collect(), counted.schema)
+    try:
+        quality.assert_no_block_failures(metrics)
+    except quality.BlockedRunError:
+        _record(metrics, lake, run_id, fmt)
+        raise
+
+
 def run_gold(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "parquet") -> str:
     """Silver to the fact table and the marts of the spec.
 
     Silver is already clustered by the partitions of the fact table, so writing it needs no shuffle. Each mart scans
     only its own columns, and a mart limited to a month only that month's folders.
     """
-    silver = read_table(spark, table_path(lake, SILVER, spec.table), spec.silver_schema, fmt)
+    source = table_path(lake, SILVER, spec.table)
+    silver = read_table(spark, source, spec.silver_schema, fmt)
     target = table_path(lake, GOLD, spec.fact_table)
 
     def save_mart(mart: MeanMart) -> Callable[[], None]:
         return lambda: overwrite_table(marts.mean_mart(silver, mart), table_path(lake, GOLD, mart.name), fmt=fmt)
 
-    _in_parallel(
-        lambda: overwrite_table(marts.fact(silver, spec.fact_columns), target, spec.silver_partitions, fmt=fmt),
-        *[save_mart(mart) for mart in spec.marts],
-    )
+    with sized_for(spark, table_bytes(spark, source)):
+        _in_parallel(
+            spark,
+            lambda: overwrite_table(marts.fact(silver, spec.fact_columns), target, spec.silver_partitions, fmt=fmt),
+            *[save_mart(mart) for mart in spec.marts],
+        )
     return target
 
 
@@ -180,8 +196,8 @@ def _record(metrics: DataFrame, lake: str, run_id: str, fmt: str) -> None:
     append_table(quality.with_run(metrics, run_id, SILVER), table_path(lake, DQ, CHECK_RESULTS), fmt=fmt)
 
 
-def _in_parallel(*writes: Callable[[], None]) -> None:
+def _in_parallel(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Independent writes share the cluster; the first failure is raised once all have ended."""
     with ThreadPoolExecutor(len(writes)) as pool:
-        for done in [pool.submit(inheritable_thread_target(write)) for write in writes]:
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
             done.result()

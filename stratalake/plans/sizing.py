@@ -13,9 +13,13 @@ GIB = 1 << 30
 # instead, and the sorts behind them spill.
 MAX_SPLITS = 65_536
 MAX_SHUFFLE_PARTITIONS = 32_768
+# Files a task keeps open for a partitioned write before it sorts its rows by partition instead. Tasks of the layer
+# jobs mostly hold one partition, so the sort is skipped, and the open buffers stay few.
+OPEN_FILES = 4
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def table_bytes(spark: SparkSession, path: str) -> int:
@@ -39,11 +43,12 @@ def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     Adaptive execution joins shuffle partitions that turn out small but cannot add any to an aggregation, so the
     starting number has to suit the data.
     """
-    before = {key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SPLIT_BYTES)}
+    before = {key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SPLIT_BYTES, WRITERS)}
     partitions = max(int(before[SHUFFLE_PARTITIONS]), shuffle_partitions_for(input_bytes))
     split = max(_as_bytes(before[SPLIT_BYTES]), split_bytes_for(input_bytes))
     spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
     spark.conf.set(SPLIT_BYTES, str(split))
+    spark.conf.set(WRITERS, str(max(int(before[WRITERS]), OPEN_FILES)))
     try:
         yield
     finally:

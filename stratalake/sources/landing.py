@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.functions.timedims import MONTH_PATTERN
+from stratalake.functions.timedims import source_month
 from stratalake.operators.conform import add_provenance
 from stratalake.sources.drift import SOURCE_PATH, parquet_files, scan_conformed
 from stratalake.sources.layout import DQ, LANDING, MANIFEST, landing_month, landing_root, table_path
@@ -16,6 +16,9 @@ from stratalake.sources.tables import is_missing_path, overwrite_table, read_opt
 
 MANIFEST_SCHEMA = "url string, key string, bytes bigint, sha256 string, dataset string, month string"
 
+# About 300 bytes per file name: 150 MB at most.
+MAX_BROADCAST_FILES = 500_000
+
 INGESTED = "ingested"
 SKIPPED = "skipped"
 MISSING = "missing"
@@ -47,7 +50,7 @@ def landing_files(spark: SparkSession, lake: str, dataset: str) -> DataFrame:
     except AnalysisException as error:
         raise _nothing_landed(root, error) from error
     key = file_key(F.col("path"))
-    return listing.select("path", key.alias("key"), F.regexp_extract(key, MONTH_PATTERN, 0).alias("month"), "length")
+    return listing.select("path", key.alias("key"), source_month(key).alias("month"), "length")
 
 
 def landing_manifest(
@@ -65,7 +68,7 @@ def landing_manifest(
     key = file_key(F.col("path"))
     return files.select(
         F.lit(dataset).alias("dataset"),
-        F.regexp_extract(key, MONTH_PATTERN, 0).alias("month"),
+        source_month(key).alias("month"),
         F.concat(F.lit(base_url.rstrip("/") + "/"), F.substring_index(key, "/", -1)).alias("url"),
         key.alias("key"),
         F.col("length").alias("bytes"),
@@ -157,8 +160,21 @@ def read_conformed(
         rows = scan_conformed(spark, folders, columns)
     except AnalysisException as error:
         raise _nothing_landed(", ".join(folders), error) from error
-    stamped = add_provenance(rows, file_key(F.col(SOURCE_PATH)), batch_id)
-    return stamped.drop(SOURCE_PATH)
+    key, month = file_key(F.col(SOURCE_PATH)), None
+    files = _file_names(spark, folders)
+    if files.count() <= MAX_BROADCAST_FILES:
+        # Patterns are matched once per file instead of once per row; a path the listing spells differently is not.
+        rows = rows.join(F.broadcast(files), SOURCE_PATH, "left")
+        key = F.coalesce(F.col("_file_key"), key)
+        month = F.coalesce(F.col("_file_month"), source_month(F.col("_source_file")))
+    return add_provenance(rows, key, batch_id, month).drop(SOURCE_PATH, "_file_key", "_file_month")
+
+
+def _file_names(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    files = parquet_files(spark).format("binaryFile").load(list(folders))
+    path = F.col("_metadata.file_path")
+    key = file_key(path)
+    return files.select(path.alias(SOURCE_PATH), key.alias("_file_key"), source_month(key).alias("_file_month"))
 
 
 def _folders(lake: str, dataset: str, months: Sequence[str] | None) -> list[str]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratalake.functions.timedims import MONTH_PATTERN
+from stratalake.functions.timedims import source_month
 from stratalake.plans.jobs import run_bronze
 from stratalake.sources.landing import file_key
 from stratalake.sources.layout import landing_root
@@ -30,7 +30,7 @@ def stream_bronze(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(landing_root(lake, spec.name))
-        .select(F.regexp_extract(file_key(F.col("path")), MONTH_PATTERN, 0).alias("month"))
+        .select(source_month(file_key(F.col("path"))).alias("month"))
     )
 
     def rebuild(batch: DataFrame, batch_number: int) -> None:
