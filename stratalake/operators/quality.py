@@ -48,13 +48,6 @@ class Check:
         return ~F.coalesce(self.predicate, F.lit(False))
 
 
-@dataclass(frozen=True)
-class Split:
-    valid: DataFrame
-    quarantine: DataFrame
-    metrics: DataFrame
-
-
 def gating(checks: Sequence[Check]) -> list[Check]:
     return [c for c in checks if c.severity != WARN]
 
@@ -103,9 +96,24 @@ def check_metrics(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return rows.select("check", "severity", "rows_in", "rows_failed", (F.col("rows_failed") == 0).alias("passed"))
 
 
-def split(df: DataFrame, checks: Sequence[Check]) -> Split:
-    """Valid rows, quarantined rows and metrics of one frame; nothing runs until one of them is used."""
-    return Split(valid_rows(df, checks), quarantined_rows(df, checks), check_metrics(df, checks))
+@dataclass(frozen=True)
+class Split:
+    """Valid rows, quarantined rows and metrics of one frame, each planned when it is asked for."""
+
+    rows: DataFrame
+    checks: Sequence[Check]
+
+    @property
+    def valid(self) -> DataFrame:
+        return valid_rows(self.rows, self.checks)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return quarantined_rows(self.rows, self.checks)
+
+    @property
+    def metrics(self) -> DataFrame:
+        return check_metrics(self.rows, self.checks)
 
 
 def with_outcome(metrics: DataFrame) -> DataFrame:

@@ -23,21 +23,31 @@ from stratalake.spec import BRONZE_PARTITIONS, PROVENANCE, DatasetSpec, MeanMart
 
 @dataclass(frozen=True)
 class Clean:
-    valid: DataFrame
-    quarantine: DataFrame
-    metrics: DataFrame
-
-
-def clean(df: DataFrame, spec: DatasetSpec) -> Clean:
-    """Dedup, gate and enrich one frame.
+    """Dedup, gate and enrich one frame; each result is planned when it is asked for.
 
     Gates that read dedup keys only are moved below the aggregation by the optimizer, so the valid and the rejected
     side each shuffle their own rows only.
     """
-    deduped = dedup_rows(df, spec)
-    parts = quality.split(deduped, spec.checks)
-    valid = marts.enrich(parts.valid, spec.time_column, spec.time_prefix)
-    return Clean(valid, parts.quarantine, quality.check_metrics(dedup_keys_only(df, spec), spec.checks))
+
+    rows: DataFrame
+    spec: DatasetSpec
+
+    @property
+    def valid(self) -> DataFrame:
+        accepted = quality.valid_rows(dedup_rows(self.rows, self.spec), self.spec.checks)
+        return marts.enrich(accepted, self.spec.time_column, self.spec.time_prefix)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return quality.quarantined_rows(dedup_rows(self.rows, self.spec), self.spec.checks)
+
+    @property
+    def metrics(self) -> DataFrame:
+        return quality.check_metrics(dedup_keys_only(self.rows, self.spec), self.spec.checks)
+
+
+def clean(df: DataFrame, spec: DatasetSpec) -> Clean:
+    return Clean(df, spec)
 
 
 def dedup_rows(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -108,7 +118,7 @@ def _stop_if_blocked(
     breaking = quality.breaks_block_check(bronze, spec.checks)
     if breaking is None or breaking.isEmpty():
         return
-    counted = quality.check_metrics(dedup_keys_only(bronze, spec), spec.checks)
+    counted = clean(bronze, spec).metrics
     metrics = spark.createDataFrame(counted.collect(), counted.schema)
     try:
         quality.assert_no_block_failures(metrics)
@@ -139,6 +149,14 @@ def run_gold(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "p
     return target
 
 
+def check_history(
+    spark: SparkSession, lake: str, run_id: str | None = None, *, fmt: str = "parquet"
+) -> DataFrame:
+    """Recorded check results, of all runs or of one."""
+    history = read_table(spark, table_path(lake, DQ, CHECK_RESULTS), fmt=fmt)
+    return history if run_id is None else history.filter(F.col("run_id") == run_id)
+
+
 def reconcile_layers(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "parquet") -> DataFrame:
     """Counts of the published tables against the bronze keys; pass the result to ``quality.assert_reconciled``."""
     return quality.reconcile_tables(
@@ -176,10 +194,11 @@ def run_pipeline(
     run_id: str,
     *,
     force: bool = False,
+    base_url: str = "",
     fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
     """Ingest, bronze, silver, gold, and the answers of the marts."""
-    ingest(spark, lake, spec.name, start, end, force=force, fmt=fmt)
+    ingest(spark, lake, spec.name, start, end, force=force, base_url=base_url, fmt=fmt)
     run_bronze(spark, spec, lake, run_id, fmt=fmt)
     run_silver(spark, spec, lake, run_id, fmt=fmt)
     run_gold(spark, spec, lake, fmt=fmt)

@@ -49,6 +49,8 @@ def scan_conformed(spark: SparkSession, folders: Sequence[str], columns: Mapping
         raw = parquet_files(spark).schema(schema).parquet(*paths)
         with_path = raw.select(*raw.columns, F.col("_metadata.file_path").alias(SOURCE_PATH))
         frames.append(conform(with_path, columns, keep=[SOURCE_PATH]))
+    if not frames:
+        raise FileNotFoundError(f"no landed parquet files under {', '.join(folders)}; ingest first")
     return union_by_name(frames)
 
 

@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from stratalake.plans.sizing import (
+    MAX_SHUFFLE_PARTITIONS,
+    SHUFFLE_PARTITIONS,
+    SPLIT_BYTES,
+    WRITERS,
+    shuffle_partitions_for,
+    sized_for,
+    split_bytes_for,
+    table_bytes,
+)
+from stratalake.sources.tables import append_table, overwrite_table, read_optional, read_table
+
+
+def test_round_trip_and_replaced_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(spark.createDataFrame([(1, 10.0), (2, 20.0)], "id int, amt double"), path)
+    assert read_table(spark, path).selectExpr("count(*)", "avg(amt)").first() == (2, 15.0)
+    overwrite_table(spark.range(3), path)
+    assert read_table(spark, path).columns == ["id"]
+
+
+def test_folder_values_keep_their_text(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(spark.createDataFrame([(1, "04")], "id int, m string"), path, ["m"])
+    assert read_table(spark, path, "id int, m string").first() == (1, "04")
+
+
+def test_only_touched_partitions_are_replaced(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id int, m string"
+    overwrite_table(spark.createDataFrame([(1, "01"), (2, "02")], schema), path, ["m"])
+    overwrite_table(spark.createDataFrame([(3, "02")], schema), path, ["m"], touched_only=True)
+    assert sorted(map(tuple, read_table(spark, path, schema).collect())) == [(1, "01"), (3, "02")]
+
+
+def test_append_and_optional(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert read_optional(spark, path) is None
+    append_table(spark.range(2), path)
+    append_table(spark.range(2), path)
+    assert read_optional(spark, path).count() == 4
+    with pytest.raises(AnalysisException):
+        read_optional(spark, path, schema="id no_such_type")
+
+
+def test_hot_partition_is_cut_into_several_files(spark, tmp_path):
+    """One month holds most rows; rebalancing must not leave them to one task."""
+    path = tmp_path / "t"
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        rows = spark.range(0, 200_000, 1, 16).selectExpr(
+            "id", "rand(3) AS noise", "IF(id % 10 < 8, '05', cast(id % 4 AS string)) AS m"
+        )
+        overwrite_table(rows, str(path), ["m"], cluster=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    out = read_table(spark, str(path))
+    per_file = out.filter("m = '05'").groupBy("_metadata.file_path").count().collect()
+    assert sum(r["count"] for r in per_file) == 160_000
+    assert max(r["count"] for r in per_file) < 60_000
+    assert out.count() == 200_000
+
+
+def test_sizes_grow_with_the_input_and_are_put_back(spark, tmp_path):
+    gib, tib = 1 << 30, 1 << 40
+    assert shuffle_partitions_for(5 * gib) == 5
+    assert shuffle_partitions_for(100 * tib) == MAX_SHUFFLE_PARTITIONS
+    assert split_bytes_for(100 * tib) > gib
+    keys = (SHUFFLE_PARTITIONS, SPLIT_BYTES, WRITERS)
+    before = [spark.conf.get(k) for k in keys]
+    with pytest.raises(RuntimeError), sized_for(spark, 100 * tib):
+        assert int(spark.conf.get(SHUFFLE_PARTITIONS)) == MAX_SHUFFLE_PARTITIONS
+        assert int(spark.conf.get(SPLIT_BYTES)) == split_bytes_for(100 * tib)
+        raise RuntimeError
+    assert [spark.conf.get(k) for k in keys] == before
+    with sized_for(spark, 10):
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == before[0]
+    spark.range(10).write.parquet(str(tmp_path / "t"))
+    assert table_bytes(spark, str(tmp_path / "t")) == sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))

@@ -99,24 +99,22 @@ VARIANTS = {
 def land(spark: SparkSession, sf_dir: str, lake: str) -> str:
     """Write all trips as monthly deliveries whose types drift from year to year; returns the lake root."""
     rows = _with_delivery(spark, sf_dir)
-    for (first, last), columns in VARIANTS.items():
+    month = F.col("delivery_month")
+    folders = {
+        "year": F.substring(month, 1, 4),
+        "month": F.substring(month, 6, 2),
+        "delivery": F.concat(F.lit("orders_tripdata_"), month),
+    }
+
+    def write(first: str | None, last: str | None, columns: list[str]) -> None:
         delivered = rows
         if first:
-            delivered = delivered.filter(F.col("delivery_month") >= first)
+            delivered = delivered.filter(month >= first)
         if last:
-            delivered = delivered.filter(F.col("delivery_month") < last)
-        month = F.col("delivery_month")
-        delivery = delivered.selectExpr(*columns, "delivery_month").select(
-            "*",
-            F.substring(month, 1, 4).alias("year"),
-            F.substring(month, 6, 2).alias("month"),
-            F.concat(F.lit("orders_tripdata_"), month).alias("delivery"),
-        )
-        overwrite_table(
-            delivery.drop("delivery_month"),
-            landing_root(lake, SPEC.name),
-            ("year", "month", "delivery"),
-            touched_only=True,
-            cluster=True,
-        )
+            delivered = delivered.filter(month < last)
+        variant = delivered.selectExpr(*columns, "delivery_month").withColumns(folders).drop("delivery_month")
+        overwrite_table(variant, landing_root(lake, SPEC.name), list(folders), touched_only=True, cluster=True)
+
+    for (first, last), columns in VARIANTS.items():
+        write(first, last, columns)
     return lake

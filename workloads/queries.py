@@ -188,7 +188,7 @@ def dq_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.split(deduped(spark, sf_dir), SPEC.checks).valid
+    return quality.Split(deduped(spark, sf_dir), SPEC.checks).valid
 
 
 def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,7 +332,7 @@ def shipment_price_profile_refined(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def account_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reason_text(quality.split(table(spark, sf_dir, "customer"), ACCOUNT_CHECKS).quarantine)
+    return reason_text(quality.Split(table(spark, sf_dir, "customer"), ACCOUNT_CHECKS).quarantine)
 
 
 def account_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

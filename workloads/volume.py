@@ -22,9 +22,12 @@ VARIANTS = {
 
 def volume_trips(spark: SparkSession, sf_dir: str, copies: int) -> DataFrame:
     """``copies`` trips per lineitem row, spread over January to May 2023 with about one per cent dirt."""
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("r")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"
     )
+    # One small file is one scan task; its rows are dealt out before they are multiplied.
+    dealt = lines.repartition(spark.sparkContext.defaultParallelism)
+    rows = dealt.withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     h = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_extendedprice", "r"), F.lit(1_000_000_007))
     hashed = rows.select("*", h.alias("h"))
     second = F.col("h") % (151 * 86_400)
@@ -52,7 +55,6 @@ def land_volume(spark: SparkSession, sf_dir: str, lake: str, copies: int) -> Non
     deliveries = dated.withColumn("delivery", F.concat(F.lit("yellow_tripdata_2023-"), F.col("month")))
     for where, passengers in VARIANTS.items():
         others = [c for c in SPEC.columns if c != "passenger_count"]
-        variant = deliveries.filter(where).selectExpr(passengers, *others, "store_and_fwd_flag", "year", "month", "delivery")
-        overwrite_table(
-            variant, landing_root(lake, SPEC.name), ("year", "month", "delivery"), touched_only=True, cluster=True
-        )
+        folders = ("year", "month", "delivery")
+        variant = deliveries.filter(where).selectExpr(passengers, *others, "store_and_fwd_flag", *folders)
+        overwrite_table(variant, landing_root(lake, SPEC.name), folders, touched_only=True, cluster=True)
