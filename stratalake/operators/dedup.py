@@ -42,20 +42,20 @@ def coded_payload(
 
     Numbers follow the order of the columns, so the smallest number is the smallest payload. A shuffle then carries
     eight bytes per row instead of the text, and ``deduplicate`` can hash. Both directions are broadcast joins, so
-    with more than ``max_codes`` distinct payloads the frame is handed through as it is. The lookup is small, and it
-    is kept until the block ends; executors that are lost recompute their part of it.
+    with more than ``max_codes`` distinct payloads the frame is handed through as it is. The lookup is kept until the
+    block ends; it is never larger than the bound, and is computed again if its executor is lost.
     """
-    distinct_rows = df.select(*columns).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    payloads = df.select(*columns).distinct().limit(max_codes + 1).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if distinct_rows.count() > max_codes:
+        if payloads.count() > max_codes:
             yield df, lambda out: out
             return
-        # One task numbers at most max_codes rows.
-        codes = distinct_rows.withColumn(CODE, F.row_number().over(Window.orderBy(*columns)).cast("bigint"))
+        # All payloads are here, and one task numbers at most max_codes of them.
+        codes = payloads.withColumn(CODE, F.row_number().over(Window.orderBy(*columns)).cast("bigint"))
         same = [df[c].eqNullSafe(codes[c]) for c in columns]
         coded = df.join(F.broadcast(codes), same, "inner").select(
             *[df[c] for c in df.columns if c not in columns], codes[CODE]
         )
         yield coded, lambda out: out.join(F.broadcast(codes), CODE).drop(CODE)
     finally:
-        distinct_rows.unpersist()
+        payloads.unpersist()

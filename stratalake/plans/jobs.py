@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.timedims import source_month_parts
 from stratalake.operators import marts, profile, quality
 from stratalake.operators.dedup import coded_payload, deduplicate
+from stratalake.plans.parallel import in_parallel
 from stratalake.plans.sizing import sized_for, table_bytes
 from stratalake.plans.sql import answers
 from stratalake.sources.landing import ingest, read_conformed
@@ -100,7 +99,7 @@ def run_silver(spark: SparkSession, spec: DatasetSpec, lake: str, run_id: str, *
             cleaned = clean(rows, spec)
             valid = restore(cleaned.valid).select(*spec.columns, *PROVENANCE, *spec.time_columns)
             quarantine = restore(cleaned.quarantine).select(*spec.columns, *PROVENANCE, quality.REASON)
-            _in_parallel(
+            in_parallel(
                 spark,
                 lambda: overwrite_table(valid, target, spec.silver_partitions, fmt=fmt, cluster=True),
                 lambda: overwrite_table(quarantine, rejected, fmt=fmt),
@@ -141,7 +140,7 @@ def run_gold(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "p
         return lambda: overwrite_table(marts.mean_mart(silver, mart), table_path(lake, GOLD, mart.name), fmt=fmt)
 
     with sized_for(spark, table_bytes(spark, source)):
-        _in_parallel(
+        in_parallel(
             spark,
             lambda: overwrite_table(marts.fact(silver, spec.fact_columns), target, spec.silver_partitions, fmt=fmt),
             *[save_mart(mart) for mart in spec.marts],
@@ -213,10 +212,3 @@ def _published(spark: SparkSession, spec: DatasetSpec, lake: str, fmt: str) -> D
 
 def _record(metrics: DataFrame, lake: str, run_id: str, fmt: str) -> None:
     append_table(quality.with_run(metrics, run_id, SILVER), table_path(lake, DQ, CHECK_RESULTS), fmt=fmt)
-
-
-def _in_parallel(spark: SparkSession, *writes: Callable[[], None]) -> None:
-    """Independent writes share the cluster; the first failure is raised once all have ended."""
-    with ThreadPoolExecutor(len(writes)) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
-            done.result()

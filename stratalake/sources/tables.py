@@ -45,9 +45,11 @@ def overwrite_table(
 
     ``cluster`` shuffles rows to their partition before the write, for input that is spread over all partitions. It
     is a rebalance, so adaptive execution cuts a partition that holds much of the data into several even files and
-    joins small ones. Leave it off when each task already holds few partitions.
+    joins small ones. Leave it off when each task already holds few partitions. Without adaptive execution nothing is
+    shuffled: more files come out, but no task gets a whole large partition.
     """
-    out = df.hint("rebalance", *partition_by) if cluster and partition_by else df
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    out = df.hint("rebalance", *partition_by) if cluster and partition_by and adaptive else df
     writer = out.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

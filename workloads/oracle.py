@@ -256,7 +256,7 @@ ORACLES: dict[str, str] = {
     "shipment_metrics": f"SELECT *, {OUTCOME} FROM ({metrics(SHIPMENTS, SHIPMENT_CHECKS)})",
     "shipment_monthly_price": f"""
         SELECT strftime(l_shipdate, '%Y-%m') AS ship_year_month, count(*) AS shipments,
-               round(avg(l_extendedprice), 2) AS avg_price
+               round(avg(l_extendedprice), 3) AS avg_price
         FROM {SHIPMENTS}
         WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '2001-01-01'
           AND l_quantity > 0 AND l_discount < 0.1 AND NOT isnan(l_extendedprice)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.datasets.trips import trip_spec
+from stratalake.plans.parallel import in_parallel
 from stratalake.sources.layout import landing_root
 from stratalake.sources.tables import overwrite_table
 
@@ -32,10 +35,11 @@ def delivered_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_delivery(spark, sf_dir).select(*COLUMNS, delivery_key().alias("_source_file"))
 
 
-def delivery_key():
+def delivery_key() -> Column:
     month = F.col("delivery_month")
-    folder = F.concat(F.lit("landing/orders/year="), F.substring(month, 1, 4), F.lit("/month="), F.substring(month, 6, 2))
-    return F.concat(folder, F.lit("/orders_tripdata_"), month, F.lit("-"), F.col("copy").cast("string"), F.lit(".parquet"))
+    year, mm = F.substring(month, 1, 4), F.substring(month, 6, 2)
+    template = "landing/orders/year=%s/month=%s/orders_tripdata_%s-%d.parquet"
+    return F.format_string(template, year, mm, month, F.col("copy"))
 
 
 def _with_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +48,7 @@ def _with_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     minute = (k % 24) * 60 + k % 60
     copies = F.when(k % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
 
-    def at(minutes):
+    def at(minutes: Column) -> Column:
         return F.col("o_orderdate") + F.make_dt_interval(mins=minutes.cast("int"))
 
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
@@ -115,6 +119,6 @@ def land(spark: SparkSession, sf_dir: str, lake: str) -> str:
         variant = delivered.selectExpr(*columns, "delivery_month").withColumns(folders).drop("delivery_month")
         overwrite_table(variant, landing_root(lake, SPEC.name), list(folders), touched_only=True, cluster=True)
 
-    for (first, last), columns in VARIANTS.items():
-        write(first, last, columns)
+    # The variants touch different months, so they can be written side by side.
+    in_parallel(spark, *[partial(write, first, last, columns) for (first, last), columns in VARIANTS.items()])
     return lake
