@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,12 +58,23 @@ def dedup_rows(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def dedup_keys_only(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Enough for metrics when the keys hold every business column, and far less to shuffle than whole rows."""
-    if set(spec.keys) == set(spec.columns):
+    """Enough for metrics when the keys hold every column the checks read, and far less to shuffle than whole rows."""
+    if set(spec.keys) == set(spec.columns) and checks_business_columns_only(df, spec):
         return df.select(*spec.columns).distinct()
     return dedup_rows(df, spec)
 
 
+def checks_business_columns_only(df: DataFrame, spec: DatasetSpec) -> bool:
+    """False when some check reads provenance, such as the delivery month."""
+    try:
+        _ = df.select(*spec.columns).select(*[c.failed for c in spec.checks]).schema
+    except AnalysisException as error:
+        if (error.getCondition() or "").startswith(("UNRESOLVED_COLUMN", "CANNOT_RESOLVE_DATAFRAME_COLUMN")):
+            return False
+        raise
+    return True
+
+
 def run_bronze(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -95,7 +108,8 @@ def run_silver(spark: SparkSession, spec: DatasetSpec, lake: str, run_id: str, *
     rejected = table_path(lake, SILVER, spec.rejected_table)
     with sized_for(spark, table_bytes(spark, source)):
         _stop_if_blocked(spark, bronze, spec, lake, run_id, fmt)
-        with coded_payload(bronze, list(PROVENANCE)) as (rows, restore):
+        plain = checks_business_columns_only(bronze, spec)
+        with coded_payload(bronze, list(PROVENANCE)) if plain else nullcontext((bronze, _as_is)) as (rows, restore):
             cleaned = clean(rows, spec)
             valid = restore(cleaned.valid).select(*spec.columns, *PROVENANCE, *spec.time_columns)
             quarantine = restore(cleaned.quarantine).select(*spec.columns, *PROVENANCE, quality.REASON)
@@ -104,7 +118,7 @@ def run_silver(spark: SparkSession, spec: DatasetSpec, lake: str, run_id: str, *
                 lambda: overwrite_table(valid, target, spec.silver_partitions, fmt=fmt, cluster=True),
                 lambda: overwrite_table(quarantine, rejected, fmt=fmt),
             )
-        published = _published(spark, spec, lake, fmt)
+        published = _published(spark, spec, lake, fmt, [*spec.columns, *([] if plain else PROVENANCE)])
         _record(quality.check_metrics(published, spec.checks), lake, run_id, fmt)
     return target
 
@@ -204,10 +218,16 @@ def run_pipeline(
     return answers(spark, spec, lake, fmt=fmt)
 
 
-def _published(spark: SparkSession, spec: DatasetSpec, lake: str, fmt: str) -> DataFrame:
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def _published(
+    spark: SparkSession, spec: DatasetSpec, lake: str, fmt: str, columns: Sequence[str]
+) -> DataFrame:
     valid = read_table(spark, table_path(lake, SILVER, spec.table), spec.silver_schema, fmt)
     rejected = read_table(spark, table_path(lake, SILVER, spec.rejected_table), spec.rejected_schema, fmt)
-    return valid.select(*spec.columns).unionByName(rejected.select(*spec.columns))
+    return valid.select(*columns).unionByName(rejected.select(*columns))
 
 
 def _record(metrics: DataFrame, lake: str, run_id: str, fmt: str) -> None:

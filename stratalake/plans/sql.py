@@ -35,9 +35,9 @@ def mart_query(mart: MeanMart, view: str) -> str:
 
 
 def month_mean_query(view: str, time: str, value: str, alias: str, digits: int = 2) -> str:
-    """Mean per month straight from cleaned rows."""
+    """Mean per month straight from cleaned rows; the cast to a date keeps the session time zone out of the month."""
     return f"""
-        SELECT date_format({quoted(time)}, 'yyyy-MM') AS pickup_year_month,
+        SELECT date_format(to_date({quoted(time)}), 'yyyy-MM') AS pickup_year_month,
                count(*) AS trips,
                round(avg({quoted(value)}), {digits}) AS {quoted(alias)}
         FROM {quoted(view)}

@@ -34,7 +34,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value: object) -> object:
     if isinstance(value, float):
-        return round(value, 9) + 0.0
+        return value + 0.0  # no signed zero; otherwise values must be equal to the last bit
     if isinstance(value, (datetime, date)):
         return value.isoformat()
     return value

@@ -117,6 +117,17 @@ def test_block_check_on_a_dropped_copy_does_not_stop_the_run(spark, lake):
     assert (row["rows_in"], row["rows_failed"]) == (1, 0)
 
 
+def test_checks_may_read_provenance(spark, lake):
+    land_golden(spark, lake, "2023-01")
+    land_golden(spark, lake, "2023-02")
+    jobs.run_bronze(spark, SPEC, lake, "b")
+    spec = replace(SPEC, checks=[Check("delivered_in_february", "_source_month = '2023-02'")])
+    jobs.run_silver(spark, spec, lake, "r")
+    (row,) = jobs.check_history(spark, lake, "r").collect()
+    assert (row["rows_in"], row["rows_failed"]) == (RAW - 1, RAW - 1)
+    assert table(spark, lake, "silver", "yellow_trips_rejected").count() == RAW - 1
+
+
 def test_all_rows_rejected_leaves_readable_tables(spark, lake):
     land_golden(spark, lake)
     jobs.run_bronze(spark, SPEC, lake, "b")
