@@ -18,7 +18,7 @@ from stratalake.plans.sizing import sized_for, table_bytes
 from stratalake.plans.sql import answers
 from stratalake.sources.landing import ingest, read_conformed
 from stratalake.sources.layout import BRONZE, CHECK_RESULTS, DQ, GOLD, SILVER, landing_root, table_path
-from stratalake.sources.tables import append_table, overwrite_table, read_optional, read_table
+from stratalake.sources.tables import append_table, clustered, overwrite_table, read_optional, read_table
 from stratalake.spec import BRONZE_PARTITIONS, PROVENANCE, DatasetSpec, MeanMart
 
 
@@ -111,11 +111,13 @@ def run_silver(spark: SparkSession, spec: DatasetSpec, lake: str, run_id: str, *
         plain = checks_business_columns_only(bronze, spec)
         with coded_payload(bronze, list(PROVENANCE)) if plain else nullcontext((bronze, _as_is)) as (rows, restore):
             cleaned = clean(rows, spec)
-            valid = restore(cleaned.valid).select(*spec.columns, *PROVENANCE, *spec.time_columns)
+            # Provenance text is put back after the second shuffle, just before the write.
+            valid = restore(clustered(cleaned.valid, spec.silver_partitions))
+            valid = valid.select(*spec.columns, *PROVENANCE, *spec.time_columns)
             quarantine = restore(cleaned.quarantine).select(*spec.columns, *PROVENANCE, quality.REASON)
             in_parallel(
                 spark,
-                lambda: overwrite_table(valid, target, spec.silver_partitions, fmt=fmt, cluster=True),
+                lambda: overwrite_table(valid, target, spec.silver_partitions, fmt=fmt),
                 lambda: overwrite_table(quarantine, rejected, fmt=fmt),
             )
         published = _published(spark, spec, lake, fmt, [*spec.columns, *([] if plain else PROVENANCE)])

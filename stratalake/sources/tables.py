@@ -32,6 +32,17 @@ def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE")
 
 
+def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought to their partition, for a partitioned write of input that is spread over all partitions.
+
+    It is a rebalance, so adaptive execution cuts a partition that holds much of the data into several even files and
+    joins small ones. Without adaptive execution nothing is shuffled: more files come out, but no task gets a whole
+    large partition.
+    """
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return df.hint("rebalance", *partition_by) if adaptive else df
+
+
 def overwrite_table(
     df: DataFrame,
     path: str,
@@ -39,18 +50,9 @@ def overwrite_table(
     *,
     fmt: str = "parquet",
     touched_only: bool = False,
-    cluster: bool = False,
 ) -> None:
-    """Replace a table and its schema, or with ``touched_only`` just the partitions that ``df`` has rows for.
-
-    ``cluster`` shuffles rows to their partition before the write, for input that is spread over all partitions. It
-    is a rebalance, so adaptive execution cuts a partition that holds much of the data into several even files and
-    joins small ones. Leave it off when each task already holds few partitions. Without adaptive execution nothing is
-    shuffled: more files come out, but no task gets a whole large partition.
-    """
-    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    out = df.hint("rebalance", *partition_by) if cluster and partition_by and adaptive else df
-    writer = out.write.format(fmt).mode("overwrite")
+    """Replace a table and its schema, or with ``touched_only`` just the partitions that ``df`` has rows for."""
+    writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if touched_only:

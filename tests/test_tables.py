@@ -13,7 +13,7 @@ from stratalake.plans.sizing import (
     split_bytes_for,
     table_bytes,
 )
-from stratalake.sources.tables import append_table, overwrite_table, read_optional, read_table
+from stratalake.sources.tables import append_table, clustered, overwrite_table, read_optional, read_table
 
 
 def test_round_trip_and_replaced_schema(spark, tmp_path):
@@ -56,7 +56,7 @@ def test_hot_partition_is_cut_into_several_files(spark, tmp_path):
         rows = spark.range(0, 200_000, 1, 16).selectExpr(
             "id", "rand(3) AS noise", "IF(id % 10 < 8, '05', cast(id % 4 AS string)) AS m"
         )
-        overwrite_table(rows, str(path), ["m"], cluster=True)
+        overwrite_table(clustered(rows, ["m"]), str(path), ["m"])
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     out = read_table(spark, str(path))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratalake.datasets.trips import trip_spec
 from stratalake.plans.parallel import in_parallel
 from stratalake.sources.layout import landing_root
-from stratalake.sources.tables import overwrite_table
+from stratalake.sources.tables import clustered, overwrite_table
 
 WINDOW_START = "1996-01-01 00:00:00"
 WINDOW_END = "2001-01-01 00:00:00"
@@ -117,7 +117,9 @@ def land(spark: SparkSession, sf_dir: str, lake: str) -> str:
         if last:
             delivered = delivered.filter(month < last)
         variant = delivered.selectExpr(*columns, "delivery_month").withColumns(folders).drop("delivery_month")
-        overwrite_table(variant, landing_root(lake, SPEC.name), list(folders), touched_only=True, cluster=True)
+        overwrite_table(
+            clustered(variant, list(folders)), landing_root(lake, SPEC.name), list(folders), touched_only=True
+        )
 
     # The variants touch different months, so they can be written side by side.
     in_parallel(spark, *[partial(write, first, last, columns) for (first, last), columns in VARIANTS.items()])

@@ -27,7 +27,7 @@ from stratalake.plans.jobs import (
 from stratalake.plans.sql import answers, hour_mean_query, month_mean_query
 from stratalake.sources import landing
 from stratalake.sources.layout import CHECK_RESULTS, DQ, GOLD, SILVER, table_path
-from stratalake.sources.tables import append_table, overwrite_table, read_table
+from stratalake.sources.tables import append_table, clustered, overwrite_table, read_table
 from stratalake.spec import DatasetSpec, MeanMart
 from workloads.order_trips import COLUMNS, SPEC, delivered_trips, land, trips
 from workloads.scratch import scratch_folder
@@ -235,7 +235,7 @@ def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def roundtrip_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = table_path(scratch_folder(spark), GOLD, SPEC.fact_table)
-    overwrite_table(gold_fact(spark, sf_dir), path, SPEC.silver_partitions, cluster=True)
+    overwrite_table(clustered(gold_fact(spark, sf_dir), SPEC.silver_partitions), path, SPEC.silver_partitions)
     return read_table(spark, path, SPEC.fact_schema)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.datasets.trips import yellow
 from stratalake.sources.layout import landing_root
-from stratalake.sources.tables import overwrite_table
+from stratalake.sources.tables import clustered, overwrite_table
 
 SPEC = yellow()
 FIRST_MONTH = "2023-01"
@@ -57,4 +57,4 @@ def land_volume(spark: SparkSession, sf_dir: str, lake: str, copies: int) -> Non
         others = [c for c in SPEC.columns if c != "passenger_count"]
         folders = ("year", "month", "delivery")
         variant = deliveries.filter(where).selectExpr(passengers, *others, "store_and_fwd_flag", *folders)
-        overwrite_table(variant, landing_root(lake, SPEC.name), folders, touched_only=True, cluster=True)
+        overwrite_table(clustered(variant, folders), landing_root(lake, SPEC.name), folders, touched_only=True)
