@@ -8,6 +8,8 @@ import pytest
 from oracle_compare import connect, differences
 
 import __spark_entry__ as contract
+from workloads.oracle import ORACLES
+from workloads.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
@@ -19,13 +21,13 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, name):
     assert differences(contract.queries()[name](spark, SF_DIR), con, contract.oracle_sql()[name]) == []
 
 
 def test_only_the_manifest_has_no_sql(spark):
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"landing_manifest"}
+    assert set(QUERIES) - set(contract.oracle_sql()) == {"landing_manifest"}
     manifest = contract.queries()["landing_manifest"](spark, SF_DIR).collect()
     assert {len(r["sha256"]) for r in manifest} == {64}
     assert len({r["month"] for r in manifest}) == 80
