@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,19 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def with_key(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with the key of each row and its own columns under neutral names, and the way back to those columns."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    column = dict(zip(docs.columns, names, strict=True))
+    held = docs.toDF(*names).withColumns(
+        {
+            KEY[0]: F.coalesce(F.col(column["doc_id"]), F.lit(NULL_ID)),
+            KEY[1]: F.xxhash64(F.coalesce(F.col(column["text"]), F.lit(""))),
+        }
+    )
+    return held, lambda df: df.select(*names).toDF(*docs.columns)
+
+
 def public_id(column: str = "_id") -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column))
 

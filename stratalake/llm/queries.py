@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import exact_dedup, line_dedup, mixing, token_arrow
-from stratalake.llm.common import table
+from stratalake.llm import decontam, exact_dedup, line_dedup, mixing, simhash, token_arrow
+from stratalake.llm.common import KEY, public_id, table
 
 
 def vocabulary() -> str:
@@ -21,6 +21,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", first)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop(*KEY)
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return near.select("doc_id", digits, public_id("component").alias("component_id"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -36,6 +47,8 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_decontamination": op3_decontamination,
+    "op4_simhash": op4_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_ids": op10_token_ids,
@@ -66,6 +79,25 @@ SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken
   CASE WHEN copies > 0 THEN CASE WHEN need <= 0 THEN 0.0::DOUBLE ELSE
     least(2 * need / (w0 + sqrt(greatest(w0 * w0 + 2 * slope * need, 0))), 1) END END AS first_position
 FROM e""",
+    "op3_decontamination": r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(greatest(len(w) - 12, 1))) AS i FROM iw WHERE len(w) > 0),
+win AS (SELECT item_id, n, array_to_string(w[i + 1:i + n], ' ') AS t FROM s),
+p AS (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+hit AS (SELECT doc_id, item_id, i, p.n FROM p JOIN win ON p.n = win.n AND array_to_string(w[i + 1:i + p.n], ' ') = win.t),
+words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit)
+  GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op7_exact_dedup": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k
   FROM documents),
