@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, exact_dedup, line_dedup, mixing, simhash, token_arrow
+from stratalake.llm import decontam, exact_dedup, line_dedup, mixing, quality_fm, simhash, token_arrow, toxicity
 from stratalake.llm.common import KEY, public_id, table
+from stratalake.llm.sampling import remainder
 
 
 def vocabulary() -> str:
@@ -32,6 +33,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", digits, public_id("component").alias("component_id"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 4) == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 3) == 1
+    machine = quality_fm.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality_fm.quality(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -49,6 +62,8 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_ids": op10_token_ids,
