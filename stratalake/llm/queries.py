@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, exact_dedup, line_dedup, mixing, quality_fm, simhash, token_arrow, toxicity
+from stratalake.llm import (
+    decontam,
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality_fm,
+    simhash,
+    token_arrow,
+    toxicity,
+    warc,
+)
 from stratalake.llm.common import KEY, public_id, table
 from stratalake.llm.sampling import remainder
 
@@ -16,6 +27,19 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def document_path() -> Column:
+    """A place for each document: at three depths below its source, by its number."""
+    folders = F.array("source", "lang", (F.col("doc_id") % 16).cast("string"))
+    deep = F.slice(folders, 1, (F.coalesce(F.col("doc_id"), F.lit(0)) % 3 + 1).cast("int"))
+    return F.concat_ws("/", F.array_compact(deep), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+
+
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document with a notice of its own speaks for its directory."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan_licences(docs, document_path(), is_licence_file=F.col("own").isNotNull())
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     first = F.try_element_at("positions", F.lit(1)).alias("first_position")
@@ -49,6 +73,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -59,12 +88,14 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_ids": op10_token_ids,
 }
@@ -118,6 +149,13 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text,
   FROM documents),
 g AS (SELECT k, count(*) AS group_size, arg_min(doc_id, (-length(t), doc_id)) AS keep_id FROM d GROUP BY k)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(k) AS text_sha256 FROM d JOIN g USING (k)""",
+    "op8_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS last FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN last <> page_id THEN last END AS refers_to, true AS complete
+FROM p LEFT JOIN g ON p.html = g.html""",
     "op9_line_dedup": r"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
