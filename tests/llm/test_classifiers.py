@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm import quality_fm, toxicity
+from stratalake.llm.sampling import logistic, remainder
+
+ALL = F.lit(True)
+
+
+@pytest.fixture(scope="module")
+def labelled(frame, spark):
+    rng = random.Random(9)
+    plain = [f"{a}{b}" for a in ("ta", "mo", "ri", "se", "lu") for b in ("ka", "no", "pi", "du", "we", "xo")]
+    nasty = ["vermin", "blockhead", "nitwit"]
+    rows, labels = [], []
+    for i in range(800):
+        bad = i % 4 == 0
+        text = [rng.choice(nasty if bad and rng.random() < 0.12 else plain) for _ in range(80)]
+        poor = i % 5 == 0
+        rows.append((i, " | ".join(w.upper() for w in text) if poor else " ".join(text) + "."))
+        labels.append((i, int(not poor), int(bad)))
+    labels += [(None, 1, 1), (3, None, None), (5000, 1, 0), (1, 1, 0)]
+    return frame(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def held_out_accuracy(result, labels, label):
+    known = labels.filter(remainder("doc_id", 4) == 2).select("doc_id", label).dropna()
+    rows = result.join(known, "doc_id").collect()
+    assert len(rows) > 100
+    return np.mean([r["predicted"] == r[label] for r in rows])
+
+
+def test_toxicity_of_held_out_documents(labelled, awkward, nothing):
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels, remainder("doc_id", 4) != 2)
+    assert held_out_accuracy(toxicity.toxicity(docs, model), labels, "toxic") > 0.95
+    rows = toxicity.toxicity(awkward, model).collect()
+    assert len(rows) == awkward.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert toxicity.toxicity(nothing, model).collect() == []
+
+
+def test_quality_of_held_out_documents(labelled, awkward, nothing):
+    docs, labels = labelled
+    machine = quality_fm.fit(docs, labels, remainder("doc_id", 4) != 2)
+    assert held_out_accuracy(quality_fm.quality(docs, machine), labels, "quality") > 0.97
+    rows = quality_fm.quality(awkward, machine).collect()
+    assert len(rows) == awkward.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert quality_fm.quality(nothing, machine).collect() == []
+    kept = quality_fm.good_documents(docs, machine)
+    assert kept.columns == docs.columns
+    good = {r["doc_id"] for r in quality_fm.quality(docs, machine).filter("predicted = 1").collect()}
+    assert {r["doc_id"] for r in kept.collect()} == good
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 1)], [(1, None, None)]])
+def test_without_both_classes_the_score_is_constant(awkward, spark, labels):
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    bad = toxicity.toxicity(awkward, toxicity.fit(awkward, labels, ALL))
+    good = quality_fm.quality(awkward, quality_fm.fit(awkward, labels, ALL))
+    for rows in (bad.collect(), good.collect()):
+        assert len({round(r["score"], 6) for r in rows}) == 1
+
+
+def test_sum_of_squares_equals_pairs():
+    rng = np.random.default_rng(1)
+    size = quality_fm.N_STATISTICS + quality_fm.BUCKETS
+    machine = quality_fm.Machine(
+        np.zeros(quality_fm.N_STATISTICS), np.ones(quality_fm.N_STATISTICS), 0.3, rng.normal(size=size), rng.normal(size=(size, quality_fm.FACTORS))
+    )
+    index, value, start = machine.rows([quality_fm.raw_features("a few Words, a few!"), quality_fm.raw_features("")])
+    margins, _ = machine.margin(index, value, start)
+    for k, (a, b) in enumerate(zip(start, [*start[1:], len(index)], strict=True)):
+        i, x = index[a:b], value[a:b]
+        pairs = sum(machine.factors[i[p]] @ machine.factors[i[q]] * x[p] * x[q] for p in range(len(i)) for q in range(p))
+        assert margins[k] == pytest.approx(0.3 + machine.linear[i] @ x + pairs)
+
+
+def test_dictionaries_tell_their_words():
+    toxic = toxicity.Dictionaries(b"blockhead nitwit vermin common words here", b"gentle kindly common words here")
+    saved = toxicity.savings("you blockhead and nitwit, vermin", *toxic.compressors())
+    assert saved.max() > 5 and toxicity.savings("", *toxic.compressors()).tolist() == [0]
+
+
+def test_logistic_recovers_a_slope():
+    x = np.c_[np.ones(4000), np.linspace(-3, 3, 4000)]
+    y = (np.random.default_rng(0).random(4000) < 1 / (1 + np.exp(-(0.5 + 2 * x[:, 1])))).astype(float)
+    assert logistic(x, y) == pytest.approx([0.5, 2.0], abs=0.2)
