@@ -37,6 +37,9 @@ LATIN_PIECE = re.compile(
     r"|[^\t-\r \x85\xa0a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+"
 )
 ODD_SPACE = re.compile("[\x1c-\x1f]")
+# Byte-level spelling: bytes that are no visible Latin-1 character stand for the characters from 256 on, in order.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+BYTE_LETTERS = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 
 
 class WordIds(dict):
@@ -47,12 +50,15 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MEMO:
             self.clear()
-        ids = self[piece] = self.whole(piece)
+        # The vocabulary spells bytes as characters; its model takes a piece in that spelling, without the steps before.
+        spelled = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = self[piece] = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
         return ids
 
     def whole(self, text: str) -> bytes:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stratalake.llm import quality_fm, toxicity
 from stratalake.llm.sampling import logistic, remainder
 
-ALL = F.lit(True)
+
 
 
 @pytest.fixture(scope="module")
@@ -60,8 +60,8 @@ def test_quality_of_held_out_documents(labelled, awkward, nothing):
 @pytest.mark.parametrize("labels", [[], [(1, 1, 1)], [(1, None, None)]])
 def test_without_both_classes_the_score_is_constant(awkward, spark, labels):
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    bad = toxicity.toxicity(awkward, toxicity.fit(awkward, labels, ALL))
-    good = quality_fm.quality(awkward, quality_fm.fit(awkward, labels, ALL))
+    bad = toxicity.toxicity(awkward, toxicity.fit(awkward, labels, F.lit(True)))
+    good = quality_fm.quality(awkward, quality_fm.fit(awkward, labels, F.lit(True)))
     for rows in (bad.collect(), good.collect()):
         assert len({round(r["score"], 6) for r in rows}) == 1
 
