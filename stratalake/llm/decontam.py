@@ -75,7 +75,7 @@ def windows(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     out = out.withColumn("start", F.explode(F.expr("sequence(0, size(words) - length)")))
     rarest = "array_sort(transform(slice(places, start + 1, length), p -> struct(p.n, p.term, p.j)))"
     out = out.withColumn("rarest", F.expr(rarest)).withColumn("first", F.expr("rarest[0]"))
-    out = out.withColumn("second", F.expr("coalesce(filter(rarest, r -> r.term <> first.term)[0], first)"))
+    out = out.withColumn("second", F.expr("coalesce(get(filter(rarest, r -> r.term <> first.term), 0), first)"))
     return out.select(
         "item", "item_id", "words", "length", "start", F.col("first.j").alias("j1"), F.col("first.term").alias("term1"),
         F.col("second.j").alias("j2"), F.col("second.term").alias("term2"),
@@ -95,10 +95,11 @@ def build_index(texts: DataFrame, terms: DataFrame, reach: int, block: int = BLO
         lead = F.least("pos", F.lit(reach))
         before = F.reverse(F.slice("words", F.col("pos") - lead + 1, lead))
         after = F.slice("words", F.col("pos") + 2, reach)
-        postings = met.select(
-            "term", *KEY, "pos", *[F.when(F.col("around"), F.transform(w, fold)).alias(n) for w, n in ((before, "before"), (after, "after"))]
-        )
-        stored = written(postings)
+        # No lambda may stand here: it would break the generated code in two, and every posting would hold a copy of
+        # its document's words between the halves. Words keep their case until they are read.
+        around = [F.when(F.col("around"), w).alias(n) for w, n in ((before, "before"), (after, "after"))]
+        stored = written(met.select("term", *KEY, "pos", *around))
+        stored = stored.withColumns({n: F.transform(n, fold) for n in ("before", "after")})
         out = stored if out is None else out.unionByName(stored)
     return out
 
