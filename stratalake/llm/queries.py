@@ -114,7 +114,7 @@ p AS (SELECT *, 2.0::DOUBLE * source_size AS cap, weight * f0 AS w0, weight * f1
 o AS (SELECT *, coalesce(sum(cap) OVER ahead, 0) AS capped,
   sum(area) OVER () - coalesce(sum(area) OVER ahead, 0) AS rest FROM p
   WINDOW ahead AS (ORDER BY cap / area, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT *, least(cap, greatest((tokens - capped) / rest, 0) * area) AS target FROM o),
+t AS (SELECT *, least(cap, max(greatest((tokens - capped) / rest, 0)) OVER () * area) AS target FROM o),
 c AS (SELECT d.doc_id, d.size, t.*, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord, d.doc_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),

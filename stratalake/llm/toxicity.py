@@ -89,7 +89,7 @@ def train_dictionaries(sample: DataFrame) -> Dictionaries:
         return _joined([bytes(r["word"]) for r in df.orderBy(order, "word").limit(room // 2).collect()], room)
 
     own = counts.filter(F.length("word") > 3)
-    common = best(counts, F.desc("n0"), COMMON)
+    common = best(counts.filter(F.abs("z") <= APART), F.desc("n0"), COMMON)
     toxic, ordinary = best(own.filter(F.col("z") > APART), F.desc("z"), OWN), best(own.filter(F.col("z") < -APART), F.asc("z"), OWN)
     return Dictionaries(toxic + b" " + common, ordinary + b" " + common)
 
