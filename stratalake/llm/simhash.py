@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import KEY, keyed, public_id, with_key, written
+from stratalake.llm.common import KEY, keyed, public_id, written
 from stratalake.llm.components import components
 
 WORDS = 3
@@ -30,24 +30,32 @@ BLOCKS, BLOCK_BITS = 8, 8
 PIECE = 8192
 
 
-def fingerprint(text: str, words: int = WORDS) -> int:
-    """A-Z lower-cased, split at ASCII white space; a bit is set if more than half of the shingles' hashes set it."""
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """Hashes of a text's runs of ``words`` words, repeats included: A-Z lower-cased, split at ASCII white space. A text
+    of fewer words is one run; one without words has none."""
     parts = text.encode().lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(parts)
     if len(parts) <= words:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     length = np.fromiter(map(len, parts), np.int64, len(parts))
     end = np.cumsum(length + 1) - 1
     begins, ends = (end - length)[: len(parts) - words + 1].tolist(), end[words - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    total, n = np.zeros(64, np.int64), len(begins)
-    for i in range(0, n, 65_536):
-        some = [digest(joined[a:b], SEED) for a, b in zip(begins[i : i + 65_536], ends[i : i + 65_536], strict=True)]
-        bits = np.unpackbits(np.array(some, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        total += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * total > n, bitorder="little").view(np.uint64)[0])
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(begins, ends, strict=True)], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is set if more than half of the hashes set it."""
+    total = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), 65_536):
+        total += _bits(hashes[i : i + 65_536]).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(text: str, words: int = WORDS) -> int:
+    return majority(shingle_hashes(text, words))
 
 
 def _fingerprints(words: int):
@@ -261,28 +269,29 @@ def _linked(code: np.ndarray, probe: np.ndarray, distance: int) -> Iterator[tupl
                 left, asks = left[~hit], asks[~hit]
 
 
+def whole_buckets(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """``bucket``, ``piece`` and other columns of rows sorted by the two, many at a time, no bucket's piece torn."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "piece", *columns))
+        held.append(now)
+        if now[0][0] == now[0][-1] and now[1][0] == now[1][-1]:
+            continue
+        whole = tuple(np.concatenate(c) for c in zip(*held, strict=True))
+        last = np.flatnonzero((whole[0] != whole[0][-1]) | (whole[1] != whole[1][-1]))[-1] + 1
+        yield tuple(c[:last] for c in whole)
+        held = [tuple(c[last:] for c in whole)]
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+
+
 def _verify(distance: int):
     """Links within buckets; rows come sorted by bucket and piece."""
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-        """Whole buckets, many at a time."""
-        held: list[tuple[np.ndarray, ...]] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "piece", "code", "probe"))
-            held.append(now)
-            if now[0][0] == now[0][-1] and now[1][0] == now[1][-1]:
-                continue
-            whole = tuple(np.concatenate(c) for c in zip(*held, strict=True))
-            last = np.flatnonzero((whole[0] != whole[0][-1]) | (whole[1] != whole[1][-1]))[-1] + 1
-            yield tuple(c[:last] for c in whole)
-            held = [tuple(c[last:] for c in whole)]
-        if held:
-            yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, piece, code, probe in runs(batches):
+        for bucket, piece, code, probe in whole_buckets(batches, "code", "probe"):
             new = np.r_[True, (bucket[1:] != bucket[:-1]) | (piece[1:] != piece[:-1])]
             group = np.cumsum(new) - 1
             size = np.bincount(group)
@@ -308,31 +317,34 @@ def _verify(distance: int):
     return run
 
 
-def links(codes: DataFrame, plan: Pigeonhole, piece: int = PIECE) -> DataFrame:
-    """Pairs (a, b) of codes that connect all codes within the plan's distance, as stars, not all pairs."""
-    spark = codes.sparkSession
-    entries = codes.select("code").mapInArrow(_entries(plan), ENTRY)
+def in_pieces(entries: DataFrame, members: list[str], piece: int) -> DataFrame:
+    """``entries`` (bucket, probe, members) with a ``piece``, sorted by both within partitions. Any two members of a
+    bucket of which one probes meet in some piece.
+
+    A bucket of more than ``piece`` members is a table: its probing members are cut into rows and all members into
+    columns, and each cell is a piece.
+    """
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("all"), F.count_if("probe").alias("asking"))
     large = written(sizes.filter(F.col("all") > piece))
-    # A large bucket's probing members are cut into rows and all members into columns; each row meets each column.
-    cut = entries.join(
-        large.select("bucket", F.ceil(F.col("asking") / piece).alias("rows"), F.ceil(F.col("all") / piece).alias("columns")),
-        "bucket",
-        "left",
-    )
-    # Members go to the cells of their column; probing ones also to those of their row.
+    large = large.select("bucket", F.ceil(F.col("asking") / piece).alias("rows"), F.ceil(F.col("all") / piece).alias("columns"))
+    row, column = (F.pmod(F.xxhash64(*members, F.lit(salt)), F.greatest(F.lit(1), F.col(n))) for salt, n in ((0, "rows"), (1, "columns")))
+    cut = entries.join(large, "bucket", "left").withColumns({"row": row, "column": column})
     at = F.expr(
         """CASE WHEN rows IS NULL THEN array(0L)
-        WHEN probe THEN array_union(
-            transform(sequence(0L, columns - 1), c -> pmod(xxhash64(code), rows) * columns + c),
-            transform(sequence(0L, rows - 1), r -> r * columns + pmod(xxhash64(code, 1), columns)))
-        WHEN rows > 0 THEN transform(sequence(0L, rows - 1), r -> r * columns + pmod(xxhash64(code, 1), columns))
+        WHEN probe THEN array_union(transform(sequence(0L, columns - 1), c -> row * columns + c),
+            transform(sequence(0L, rows - 1), r -> r * columns + column))
+        WHEN rows > 0 THEN transform(sequence(0L, rows - 1), r -> r * columns + column)
         ELSE array() END"""
     )
-    placed = cut.select("bucket", F.explode(at).alias("piece"), "code", "probe")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = placed.repartition(n, "bucket", "piece").sortWithinPartitions("bucket", "piece")
-    return ordered.mapInArrow(_verify(plan.distance), "a long, b long")
+    placed = cut.select("bucket", F.explode(at).alias("piece"), *members, "probe")
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return placed.repartition(n, "bucket", "piece").sortWithinPartitions("bucket", "piece")
+
+
+def links(codes: DataFrame, plan: Pigeonhole, piece: int = PIECE) -> DataFrame:
+    """Pairs (a, b) of codes that connect all codes within the plan's distance, as stars, not all pairs."""
+    entries = codes.select("code").mapInArrow(_entries(plan), ENTRY)
+    return in_pieces(entries, ["code"], piece).mapInArrow(_verify(plan.distance), "a long, b long")
 
 
 def near_components(prints: DataFrame, distance: int = DISTANCE, piece: int = PIECE) -> DataFrame:
@@ -360,12 +372,3 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     prints = written(fingerprints(keyed(docs), words))
     found = prints.join(near_components(prints, distance, piece), "fp")
     return found.select(*KEY, public_id().alias("doc_id"), "fp", "component")
-
-
-def one_of_each(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; of rows with the same key, one."""
-    stay = near_duplicates(docs, words, distance).filter("_id = component")
-    # Rows of one id may have several texts: the smallest hash stays.
-    stay = stay.groupBy("_id").agg(F.min("_hash").alias("_hash"))
-    held, back = with_key(docs)
-    return back(held.join(written(stay), list(KEY)).dropDuplicates(list(KEY)))

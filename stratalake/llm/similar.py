@@ -1,0 +1,172 @@
+"""Near duplicates for a corpus: SimHash proposes, shingles decide.
+
+Documents are alike if their fingerprints link (see ``simhash``), or if the Jaccard similarity of their sets of word
+shingles reaches a bound. At a bound of 0.8 fingerprints differ in about every seventh bit, too many for the pigeonhole
+principle to stay selective; so these pairs are looked for in tables over bits drawn from a fingerprint of 128 bits, as
+many as find a pair at the bound with the asked probability. A pair that agrees in a table and is near on all bits is
+then compared shingle by shingle.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stratalake.llm.common import KEY, keyed, with_key, written
+from stratalake.llm.components import components
+from stratalake.llm.simhash import DISTANCE, PIECE, in_pieces, majority, near_duplicates, shingle_hashes, whole_buckets
+
+WORDS, SIMILARITY = 5, 0.8
+#: Probability with which the tables find a pair exactly at the bound; above it the probability is higher.
+RECALL = 0.98
+WIDTH = 128
+
+
+def _again(h: np.ndarray) -> np.ndarray:
+    """Other 64 bits from each hash, as independent as a mixing function makes them."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _wide(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in batch.column("_text")]
+            f = np.array([(majority(h), majority(_again(h))) for h in sets], np.uint64).reshape(-1, 2).view(np.int64)
+            columns = [batch.column("_id"), batch.column("_hash"), pa.array(f[:, 0].copy()), pa.array(f[:, 1].copy())]
+            yield pa.RecordBatch.from_arrays(columns, [*KEY, "f", "g"])
+
+    return run
+
+
+def agreement(similarity: float) -> float:
+    """The share of fingerprint bits in which two sets of equal size agree at a Jaccard similarity."""
+    return float(1 - np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def tables(count: int, similarity: float, recall: float = RECALL) -> np.ndarray:
+    """Bits of each table: enough bits that unlike documents rarely meet, enough tables that alike ones do."""
+    bits = max(12, int(np.ceil(np.log2(max(2, count)))))
+    n = int(np.ceil(np.log(1 - recall) / np.log(1 - agreement(similarity) ** bits)))
+    rng = np.random.default_rng(bits)
+    return np.array([rng.permutation(WIDTH)[:bits] for _ in range(n)])
+
+
+def _entries(chosen: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.int64(1) << np.arange(chosen.shape[1], dtype=np.int64)
+        for batch in batches:
+            pair = np.stack([batch.column(c).to_numpy() for c in ("f", "g")], axis=1)
+            bits = np.unpackbits(np.ascontiguousarray(pair).view(np.uint8).reshape(-1, 16), axis=1, bitorder="little")
+            for k, own in enumerate(chosen):
+                bucket = (bits[:, own] @ weight) | np.int64(k << 48)
+                yes = pa.array(np.ones(len(bucket), bool))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), batch.column("f"), batch.column("g"), yes], ["bucket", "f", "g", "probe"])
+
+    return run
+
+
+def _apart(f: np.ndarray, g: np.ndarray, f2: np.ndarray, g2: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(f ^ f2).astype(np.int16) + np.bitwise_count(g ^ g2)
+
+
+def _tree(f: np.ndarray, g: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a large bucket that connect all that is near in it: each member with the one it was first reached from."""
+    left = np.arange(len(f))
+    while len(left) > 1:
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            some, front = front[:128], front[128:]
+            near = _apart(f[some][:, None], g[some][:, None], f[left], g[left]) <= most
+            hit = near.any(axis=0)
+            if hit.any():
+                yield some[near[:, hit].argmax(axis=0)], left[hit]
+                front, left = np.r_[front, left[hit]], left[~hit]
+
+
+def _pairs(most: int):
+    """Pairs within ``most`` bits: all of a small bucket, those of a tree of a large one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, piece, f, g in whole_buckets(batches, "f", "g"):
+            f, g = f.view(np.uint64), g.view(np.uint64)
+            new = np.r_[True, (bucket[1:] != bucket[:-1]) | (piece[1:] != piece[:-1])]
+            group = np.cumsum(new) - 1
+            size = np.bincount(group)
+            few = size <= 16
+            u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for step in range(1, int(size[few].max(initial=0))):
+                i = np.flatnonzero((group[step:] == group[:-step]) & few[group[step:]])
+                i = i[_apart(f[i], g[i], f[i + step], g[i + step]) <= most]
+                u.append(i)
+                v.append(i + step)
+            start = np.flatnonzero(new)
+            for k in np.flatnonzero(~few).tolist():
+                part = slice(start[k], start[k] + size[k])
+                for a, b in _tree(f[part], g[part], most):
+                    u.append(a + start[k])
+                    v.append(b + start[k])
+            u, v = np.concatenate(u), np.concatenate(v)
+            swap = (f[u] > f[v]) | ((f[u] == f[v]) & (g[u] > g[v]))
+            u, v = np.where(swap, v, u), np.where(swap, u, v)
+            columns = [pa.array(x.view(np.int64)) for x in (f[u], g[u], f[v], g[v])]
+            yield pa.RecordBatch.from_arrays(columns, ["f1", "g1", "f2", "g2"])
+
+    return run
+
+
+def _sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in batch.column("_text")]
+            yield pa.RecordBatch.from_arrays([batch.column("f"), batch.column("g"), pa.array(sets, pa.list_(pa.int64()))], ["f", "g", "shingles"])
+
+    return run
+
+
+def similar_links(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL, piece: int = PIECE) -> DataFrame:
+    """Pairs (a, b) of ``_id`` that connect texts whose shingle sets have the similarity, and copies of a text.
+
+    Of texts with the same 128 bits one is compared; they count as one, as do those with no shingle at all.
+    """
+    prints = written(texts.select(*KEY, "_text").mapInArrow(_wide(words), "_id long, _hash long, f long, g long"))
+    nodes = written(prints.groupBy("f", "g").agg(F.min(F.struct(*KEY)).alias("key")).select("f", "g", "key.*"))
+    chosen = tables(nodes.count(), similarity, recall)
+    spread = WIDTH * (1 - agreement(similarity))
+    most = int(spread + 3 * np.sqrt(spread))
+    entries = nodes.select("f", "g").mapInArrow(_entries(chosen), "bucket long, f long, g long, probe boolean")
+    near = in_pieces(entries, ["f", "g"], piece).mapInArrow(_pairs(most), "f1 long, g1 long, f2 long, g2 long")
+    near = written(near.distinct())
+    met = near.select(F.col("f1").alias("f"), F.col("g1").alias("g")).unionByName(near.select(F.col("f2").alias("f"), F.col("g2").alias("g")))
+    wanted = written(nodes.join(met.distinct(), ["f", "g"]))
+    # A row that is repeated would double the sets below.
+    held = texts.join(wanted, list(KEY)).dropDuplicates(list(KEY))
+    held = held.mapInArrow(_sets(words), "f long, g long, shingles array<long>")
+    held = written(held.join(nodes.select("f", "g", "_id"), ["f", "g"]))
+    one, two = (held.toDF(f"f{k}", f"g{k}", f"s{k}", f"id{k}") for k in (1, 2))
+    both = near.join(one, ["f1", "g1"]).join(two, ["f2", "g2"])
+    shared = F.size(F.array_intersect("s1", "s2"))
+    alike = shared >= similarity * (F.size("s1") + F.size("s2") - shared)
+    same = prints.join(nodes.withColumnsRenamed({"_id": "first", "_hash": "_first"}), ["f", "g"]).select(F.col("_id").alias("a"), F.col("first").alias("b"))
+    return both.filter(alike).select(F.col("id1").alias("a"), F.col("id2").alias("b")).unionByName(same.filter("a <> b"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` but those that chain to a document with a smaller doc_id by near fingerprints (``distance``
+    bits, see ``simhash``) or by similar shingle sets; of rows that repeat an id, one.
+
+    Texts without words are alike. A null doc_id comes after all others. All columns stay; an empty table stays empty.
+    """
+    texts = keyed(docs)
+    by_print = near_duplicates(docs, distance=distance).filter("_id <> component")
+    by_print = by_print.select(F.col("_id").alias("a"), F.col("component").alias("b"))
+    gone = components(by_print.unionByName(similar_links(texts, words, similarity))).select(F.col("node").alias("_id"))
+    stay = texts.groupBy("_id").agg(F.min("_hash").alias("_hash"))
+    held, back = with_key(docs)
+    held = held.join(written(stay.join(written(gone), "_id", "left_anti")), list(KEY))
+    return back(held.dropDuplicates(list(KEY)))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from stratalake.llm import simhash
+from stratalake.llm import similar, simhash
 from stratalake.llm.components import components
 
 
@@ -79,12 +79,34 @@ def test_awkward_rows_have_a_result_each(awkward):
 
 
 def test_one_of_each_keeps_columns_and_one_row(awkward):
-    kept = simhash.one_of_each(awkward)
+    kept = similar.one_of_each(awkward)
     assert kept.columns == awkward.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert len(ids) == len(set(ids)) and 3 not in ids and 2 in ids
 
 
+@pytest.mark.parametrize("piece", [8192, 20])
+def test_similar_texts_are_found(spark, frame, piece):
+    """Texts with more and more words replaced: at least nine in ten pairs at 0.8 and above, none below."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(120):
+        text = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+        rows.append((2 * k, " ".join(text)))
+        for _ in range(rng.randrange(1, 9)):
+            text[rng.randrange(200)] = "other"
+        rows.append((2 * k + 1, " ".join(text)))
+    rows += [(1000 + k, f"{rows[0][1]} tail{k}") for k in range(60)]
+    shingles = {i: set(zip(*[t.split()[n:] for n in range(5)])) for i, t in rows}
+    alike = lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])
+    want = {(2 * k, 2 * k + 1) for k in range(120) if alike(2 * k, 2 * k + 1)}
+    found = similar.similar_links(simhash.keyed(frame(rows)), piece=piece).collect()
+    pairs = {tuple(sorted((r["a"], r["b"]))) for r in found}
+    assert all(alike(*p) for p in pairs)
+    assert len(want & pairs) >= 0.9 * len(want) and 40 <= len(want) < 120
+    assert len({find for find in roots(pairs, shingles).values() if find >= 1000}) == 0
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
@@ -96,4 +118,4 @@ def test_components_of_chains_and_stars(spark):
 
 
 def test_empty_table(nothing):
-    assert simhash.near_duplicates(nothing).collect() == [] and simhash.one_of_each(nothing).collect() == []
+    assert simhash.near_duplicates(nothing).collect() == [] and similar.one_of_each(nothing).collect() == []
