@@ -16,6 +16,8 @@ from stratalake.sources.landing import ingest, ingest_totals
 from stratalake.spec import DatasetSpec
 
 DATASETS = {"yellow": trips.yellow, "green": trips.green}
+#: Rows of a result that are printed; the rest is counted.
+SHOWN = 50
 COMMANDS = ("ingest", "bronze", "silver", "gold", "analyze", "eda", "report", "reconcile", "pipeline")
 
 
@@ -24,25 +26,37 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("command", choices=COMMANDS)
     parser.add_argument("--lake", required=True, help="root folder or URI of the lake")
     parser.add_argument("--dataset", choices=sorted(DATASETS), default="yellow")
-    parser.add_argument("--start", default="2023-01", help="first month, yyyy-MM")
-    parser.add_argument("--end", default="2023-05", help="last month, yyyy-MM, included")
-    parser.add_argument("--base-url", default="", help="where the landed files came from, kept in the manifest")
-    parser.add_argument("--force", action="store_true", help="ingest months again that are registered")
-    parser.add_argument("--format", default="parquet", help="table format of the layers")
+    parser.add_argument("--start", default="2023-01", help="month (yyyy-MM) to begin with")
+    parser.add_argument("--end", default="2023-05", help="month (yyyy-MM) to finish with")
+    parser.add_argument("--window-start", help="earliest valid pickup; by default the beginning of --start")
+    parser.add_argument("--window-end", help="pickups must lie before it; by default the end of --end")
+    parser.add_argument("--base-url", default="", help="source of the landed files, noted in the manifest")
+    parser.add_argument("--force", action="store_true", help="register months anew")
+    parser.add_argument("--format", default="parquet", help="format that layer tables are written in")
     return parser.parse_args(argv)
 
 
 def main(argv: Sequence[str] | None = None) -> int:
     args = parse(argv)
     spark = SparkSession.builder.appName("stratalake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    spec = DATASETS[args.dataset]()
+    spec = DATASETS[args.dataset](*window(args))
     run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
     for title, result in execute(spark, spec, args, run_id).items():
         print(f"\n{title}")
-        result.show(50, truncate=False)
+        rows = result.count()
+        result.show(SHOWN, truncate=False)
+        if rows > SHOWN:
+            print(f"{rows - SHOWN} more of {rows} rows are not shown")
     return 0
 
 
+def window(args: argparse.Namespace) -> tuple[str, str]:
+    """The valid pickup times, half open: those of the asked months unless they are given."""
+    year, month = map(int, args.end.split("-"))
+    after = f"{year + month // 12:04d}-{month % 12 + 1:02d}-01 00:00:00"
+    return args.window_start or f"{args.start}-01 00:00:00", args.window_end or after
+
+
 def execute(spark: SparkSession, spec: DatasetSpec, args: argparse.Namespace, run_id: str) -> dict[str, DataFrame]:
     """Run one command; the returned frames are what it has to show."""
     lake, fmt = args.lake, args.format

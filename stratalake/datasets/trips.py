@@ -28,6 +28,7 @@ def trip_spec(
     window_start: str = WINDOW_START,
     window_end: str = WINDOW_END,
     passenger_month: int = PASSENGER_MONTH,
+    plain_marts: bool = False,
 ) -> DatasetSpec:
     """The trip policy over any naming of its six columns.
 
@@ -35,6 +36,7 @@ def trip_spec(
     """
     return DatasetSpec(
         name=name,
+        plain_marts=plain_marts,
         columns={
             vendor: "int",
             passengers: "double",
@@ -45,6 +47,7 @@ def trip_spec(
         },
         time_column=pickup,
         dedup_keys=(pickup, amount, dropoff, distance, vendor, passengers),
+        # The names of the checks.
         checks=(
             Check("vendor_not_null", not_null(vendor), QUARANTINE),
             Check("pickup_not_null", not_null(pickup), QUARANTINE),
@@ -75,6 +78,7 @@ def yellow(window_start: str = WINDOW_START, window_end: str = WINDOW_END) -> Da
         vendor="VendorID",
         pickup="tpep_pickup_datetime",
         dropoff="tpep_dropoff_datetime",
+        plain_marts=True,
         window_start=window_start,
         window_end=window_end,
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a delivery month as it is written in file keys.
-MONTH_PATTERN = r"(\d{4})-(\d{2})"
+# A delivery month as it is written in folders and in file names.
+FOLDER_MONTH = r"(?:^|/)year=(\d{4})/month=(\d{2})(?:/|$)"
+FILE_MONTH = r"_tripdata_(\d{4}-\d{2})"
 
 
 def year_month(ts: Column) -> Column:
@@ -26,8 +27,13 @@ def time_dimensions(time_column: str, prefix: str) -> dict[str, Column]:
 
 
 def source_month(source_file: Column) -> Column:
-    """Delivery month named in a file key, or an empty string (never NULL) when it names none."""
-    return F.regexp_extract(source_file, MONTH_PATTERN, 0)
+    """Delivery month of a file key, or an empty string (never NULL) when it names none.
+
+    The folders decide, then the name of the delivery; digits in part-file names mean nothing.
+    """
+    year, month = (F.regexp_extract(source_file, FOLDER_MONTH, k) for k in (1, 2))
+    named = F.regexp_extract(source_file, FILE_MONTH, 1)
+    return F.coalesce(F.when(year != "", F.concat_ws("-", year, month)).otherwise(named), F.lit(""))
 
 
 def source_month_parts(month: Column) -> dict[str, Column]:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.functions.predicates import quoted
 from stratalake.functions.timedims import source_month, source_month_parts
@@ -22,7 +23,13 @@ def conform(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ())
     out = []
     for name, type_name in columns.items():
         found = present.get(name.lower())
-        value = F.lit(None).cast(type_name) if found is None else F.col(quoted(found)).try_cast(type_name)
+        if found is None:
+            value = F.lit(None).cast(type_name)
+        elif type_name == "timestamp_ntz" and isinstance(df.schema[found].dataType, T.TimestampType):
+            # A moment becomes its UTC time, whatever the session's zone.
+            value = F.expr(f"timestampadd(MICROSECOND, unix_micros({quoted(found)}), TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+        else:
+            value = F.col(quoted(found)).try_cast(type_name)
         out.append(value.alias(name))
     return df.select(*out, *keep)
 

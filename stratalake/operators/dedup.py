@@ -14,8 +14,11 @@ MAX_CODES = 500_000
 CODE = "_payload_code"
 
 
-def deduplicate(df: DataFrame, keys: Sequence[str], derived: Mapping[str, Column] | None = None) -> DataFrame:
-    """One row per distinct ``keys``; among copies the smallest payload wins, so a rerun keeps the same row.
+def deduplicate(
+    df: DataFrame, keys: Sequence[str], derived: Mapping[str, Column] | None = None, copies: str | None = None
+) -> DataFrame:
+    """One row per distinct ``keys``; among copies the smallest payload wins (NULL is smallest), so a rerun keeps the
+    same row. ``copies`` names a column for the number of rows that each stands for.
 
     Copies collapse inside each map task before the shuffle, so one heavily copied row sends at most one record per
     task. ``derived`` names payload columns that follow from other columns: they are left out of the shuffle and
@@ -24,14 +27,18 @@ def deduplicate(df: DataFrame, keys: Sequence[str], derived: Mapping[str, Column
     """
     derived = dict(derived or {})
     payload = [c for c in df.columns if c not in keys and c not in derived]
+    counted = [] if copies is None else [F.count(F.lit(1)).alias(copies)]
+    names = [*df.columns, *([] if copies is None else [copies])]
     if not payload:
-        return df.select(*keys).distinct().withColumns(derived).select(*df.columns)
+        distinct = df.groupBy(*keys).agg(*counted) if counted else df.select(*keys).distinct()
+        return distinct.withColumns(derived).select(*names)
     if len(payload) == 1:
-        # A lone number stays in the aggregate's fixed-width buffer, which hashes rows instead of sorting them.
-        survivors = df.groupBy(*keys).agg(F.min(payload[0]).alias(payload[0]))
-        return survivors.withColumns(derived).select(*df.columns)
-    survivors = df.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_survivor"))
-    return survivors.select(*keys, "_survivor.*").withColumns(derived).select(*df.columns)
+        # Two fixed-width figures, if the value is a number: rows are hashed instead of sorted.
+        lone = F.when(F.count_if(F.col(payload[0]).isNull()) == 0, F.min(payload[0])).alias(payload[0])
+        return df.groupBy(*keys).agg(lone, *counted).withColumns(derived).select(*names)
+    survivors = df.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_survivor"), *counted)
+    kept = [*keys, "_survivor.*", *([] if copies is None else [copies])]
+    return survivors.select(*kept).withColumns(derived).select(*names)
 
 
 @contextmanager

@@ -6,6 +6,7 @@ A check states when a row is valid. A predicate that is NULL counts as failed. B
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -41,21 +42,77 @@ class Check:
 
     @property
     def predicate(self) -> Column:
-        return F.expr(self.valid_when) if isinstance(self.valid_when, str) else self.valid_when
+        return self.valid_when if isinstance(self.valid_when, Column) else F.expr(self.valid_when)
 
     @property
     def failed(self) -> Column:
-        return ~F.coalesce(self.predicate, F.lit(False))
+        """NOT (predicate IS TRUE), so that NULL fails."""
+        return self.predicate.eqNullSafe(F.lit(True)) == F.lit(False)
+
+
+def bound(df: DataFrame, checks: Sequence[Check]) -> list[Check]:
+    """The checks with the clock read once, now, for every query that will use them.
+
+    Functions that tell the time are replaced in SQL text, outside quotes. A predicate that may answer differently when
+    asked twice (``rand()``, or the clock inside a Column) is refused, because a row could then be valid for one table
+    and for the other alike, or for neither.
+    """
+    clock = None
+    out = []
+    for check in checks:
+        rule = check.valid_when
+        if isinstance(rule, str) and any(CLOCK.search(part) for part in QUOTED.split(rule)[::2]):
+            if clock is None:
+                clock = _clock(df)
+            rule = "".join(
+                part if i % 2 else CLOCK.sub(lambda m: clock[m[1].lower()], part) for i, part in enumerate(QUOTED.split(rule))
+            )
+        plan = df.select(Check(check.name, rule).predicate.alias("p"))._jdf.queryExecution().analyzed()
+        if not plan.deterministic() or _tells_time(plan.expressions()):
+            raise ValueError(f"check {check.name!r} does not give the same answer whenever it is asked")
+        out.append(Check(check.name, rule, check.severity))
+    return out
+
+
+CLOCK = re.compile(r"\b(current_timestamp|now|localtimestamp|current_date|curdate)\b(?:\s*\(\s*\))?(?!\s*\()", re.I)
+QUOTED = re.compile(r"""('(?:[^'\\\\]|\\\\.)*'|"(?:[^"\\\\]|\\\\.)*"|`[^`]*`)""")
+
+
+def _tells_time(expressions) -> bool:
+    each = (expressions.apply(i) for i in range(expressions.size()))
+    return any(
+        e.getClass().getSimpleName() in ("CurrentTimestamp", "Now", "LocalTimestamp", "CurrentDate")
+        or _tells_time(e.children())
+        for e in each
+    )
+
+
+def _clock(df: DataFrame) -> dict[str, str]:
+    row = df.sparkSession.sql(
+        "SELECT unix_micros(current_timestamp()) AS micros, cast(localtimestamp() AS string) AS here, "
+        "cast(current_date() AS string) AS day"
+    ).collect()[0]
+    moment, day = f"timestamp_micros({row['micros']})", f"DATE '{row['day']}'"
+    return {
+        "current_timestamp": moment,
+        "now": moment,
+        "localtimestamp": f"TIMESTAMP_NTZ '{row['here']}'",
+        "current_date": day,
+        "curdate": day,
+    }
 
 
 def gating(checks: Sequence[Check]) -> list[Check]:
-    return [c for c in checks if c.severity != WARN]
+    """The checks whose failure sends a row to quarantine: all but WARN."""
+    return list(filter(lambda check: check.severity in (BLOCK, QUARANTINE), checks))
 
 
 def reasons(checks: Sequence[Check]) -> Column:
     """Names of the failed gates in check order; an empty array for a clean row."""
-    failures = [F.when(c.failed, F.lit(c.name)) for c in gating(checks)]
-    return F.array_compact(F.array(*failures).cast("array<string>"))
+    outcomes = [F.struct(F.lit(c.name).alias("name"), c.failed.alias("failed")) for c in gating(checks)]
+    if not outcomes:
+        return F.array().cast("array<string>")
+    return F.transform(F.filter(F.array(*outcomes), lambda o: o["failed"]), lambda o: o["name"])
 
 
 def tag(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -122,8 +179,10 @@ def with_outcome(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("outcome", outcome)
 
 
-def with_run(metrics: DataFrame, run_id: str, layer: str) -> DataFrame:
-    return metrics.withColumns({"run_id": F.lit(run_id), "layer": F.lit(layer)})
+def with_run(metrics: DataFrame, run_id: str, layer: str, dataset: str | None = None) -> DataFrame:
+    """Metrics as they go to a history; ``dataset`` tells tables that share one apart."""
+    named = {} if dataset is None else {"dataset": F.lit(dataset)}
+    return metrics.withColumns({"layer": F.lit(layer), **named, "run_id": F.lit(run_id)})
 
 
 def assert_no_block_failures(metrics: DataFrame) -> None:
@@ -148,9 +207,10 @@ def reason_counts(quarantine: DataFrame) -> DataFrame:
     )
 
 
-def latest_runs(history: DataFrame, rows: int = 20) -> DataFrame:
-    """The newest metric rows; the check name settles the order inside one run."""
-    return history.orderBy(F.desc("run_id"), "check").limit(rows)
+def latest_runs(history: DataFrame, runs: int = 3) -> DataFrame:
+    """All rows of the newest ``runs`` runs, newest first; the check name settles the order inside one run."""
+    newest = history.select("run_id").distinct().orderBy(F.desc("run_id")).limit(runs)
+    return history.join(F.broadcast(newest), "run_id", "left_semi").orderBy(F.desc("run_id"), "check")
 
 
 def reconcile(df: DataFrame, keys: Sequence[str], checks: Sequence[Check]) -> DataFrame:
@@ -160,7 +220,7 @@ def reconcile(df: DataFrame, keys: Sequence[str], checks: Sequence[Check]) -> Da
     key columns only.
     """
     gates = gating(checks)
-    failures = reduce(lambda a, b: a + b, [c.failed.cast("int") for c in gates]) if gates else F.lit(0)
+    failures = F.size(reasons(checks))
     distinct_rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     clean = reduce(and_, [F.coalesce(c.predicate, F.lit(False)) for c in gates]) if gates else F.lit(True)
     totals = distinct_rows.agg(

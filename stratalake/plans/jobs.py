@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from contextlib import nullcontext
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.timedims import source_month_parts
@@ -17,9 +17,19 @@ from stratalake.plans.parallel import in_parallel
 from stratalake.plans.sizing import sized_for, table_bytes
 from stratalake.plans.sql import answers
 from stratalake.sources.landing import ingest, read_conformed
-from stratalake.sources.layout import BRONZE, CHECK_RESULTS, DQ, GOLD, SILVER, landing_root, table_path
-from stratalake.sources.tables import append_table, clustered, overwrite_table, read_optional, read_table
-from stratalake.spec import BRONZE_PARTITIONS, PROVENANCE, DatasetSpec, MeanMart
+from stratalake.sources.layout import BRONZE, CHECK_RESULTS, DQ, GOLD, SILVER, landing_month, landing_root, table_path
+from stratalake.sources.tables import clustered, drop_folders, overwrite_table, read_optional, read_table
+from stratalake.spec import (
+    BRONZE_PARTITIONS,
+    HISTORY_PARTITIONS,
+    HISTORY_SCHEMA,
+    PROVENANCE,
+    DatasetSpec,
+    MeanMart,
+)
+
+#: Rows of bronze that a deduplicated row stands for; not written.
+COPIES = "_copies"
 
 
 @dataclass(frozen=True)
@@ -33,28 +43,31 @@ class Clean:
     rows: DataFrame
     spec: DatasetSpec
 
+    copies: str | None = None
+
     @property
     def valid(self) -> DataFrame:
-        accepted = quality.valid_rows(dedup_rows(self.rows, self.spec), self.spec.checks)
+        accepted = quality.valid_rows(dedup_rows(self.rows, self.spec, self.copies), self.spec.checks)
         return marts.enrich(accepted, self.spec.time_column, self.spec.time_prefix)
 
     @property
     def quarantine(self) -> DataFrame:
-        return quality.quarantined_rows(dedup_rows(self.rows, self.spec), self.spec.checks)
+        return quality.quarantined_rows(dedup_rows(self.rows, self.spec, self.copies), self.spec.checks)
 
     @property
     def metrics(self) -> DataFrame:
         return quality.check_metrics(dedup_keys_only(self.rows, self.spec), self.spec.checks)
 
 
-def clean(df: DataFrame, spec: DatasetSpec) -> Clean:
-    return Clean(df, spec)
+def clean(df: DataFrame, spec: DatasetSpec, copies: str | None = None) -> Clean:
+    """The checks' clock is read once here, for all results. ``copies`` names a column for the rows each stands for."""
+    return Clean(df, replace(spec, checks=quality.bound(df, spec.checks)), copies)
 
 
-def dedup_rows(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+def dedup_rows(df: DataFrame, spec: DatasetSpec, copies: str | None = None) -> DataFrame:
     """Year and month of the delivery are cut from ``_source_month`` after the shuffle instead of going through it."""
     derived = source_month_parts(F.col("_source_month")) if "_source_month" in df.columns else {}
-    return deduplicate(df, spec.keys, {c: e for c, e in derived.items() if c in df.columns})
+    return deduplicate(df, spec.keys, {c: e for c, e in derived.items() if c in df.columns}, copies)
 
 
 def dedup_keys_only(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -90,8 +103,17 @@ def run_bronze(
     """
     target = table_path(lake, BRONZE, spec.table)
     rows = read_conformed(spark, lake, spec.name, spec.columns, batch_id, months)
-    with sized_for(spark, table_bytes(spark, landing_root(lake, spec.name))):
-        overwrite_table(rows, target, BRONZE_PARTITIONS, fmt=fmt, touched_only=months is not None)
+    folders = [landing_root(lake, spec.name)] if months is None else [landing_month(lake, spec.name, m) for m in months]
+    with sized_for(spark, sum(table_bytes(spark, folder) for folder in folders)):
+        if months is None:
+            overwrite_table(rows, target, BRONZE_PARTITIONS, fmt=fmt)
+            return target
+        found = Observation("delivered months")
+        seen = rows.observe(found, F.collect_set("_source_month").alias("months"))
+        overwrite_table(seen, target, BRONZE_PARTITIONS, fmt=fmt, touched_only=True)
+    # A month that was delivered again without rows has nothing to overwrite its old ones with.
+    empty = sorted(set(months) - set(found.get["months"]))
+    drop_folders(spark, target, [f"source_year={m[:4]}/source_month={m[5:7]}" for m in empty])
     return target
 
 
@@ -100,28 +122,39 @@ def run_silver(spark: SparkSession, spec: DatasetSpec, lake: str, run_id: str, *
 
     BLOCK checks are looked for first, with a filter that stops at the first hit, so a blocked run publishes nothing
     but its metrics. Otherwise the metrics are counted from the two published tables: together they are exactly the
-    deduplicated input, so no third deduplication is run and no intermediate copy of the data is kept.
+    deduplicated input, so no third deduplication is run and no intermediate copy of the data is kept. That they are is
+    proven on the way: every row of the two tables carries the number of bronze rows it stands for up to its write, and
+    the sums must be the rows of bronze.
     """
     source = table_path(lake, BRONZE, spec.table)
     bronze = read_table(spark, source, spec.bronze_schema, fmt)
     target = table_path(lake, SILVER, spec.table)
     rejected = table_path(lake, SILVER, spec.rejected_table)
+    spec = replace(spec, checks=quality.bound(bronze, spec.checks))
+    kept, refused = Observation("valid"), Observation("rejected")
+    standing = F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows")
     with sized_for(spark, table_bytes(spark, source)):
         _stop_if_blocked(spark, bronze, spec, lake, run_id, fmt)
         plain = checks_business_columns_only(bronze, spec)
         with coded_payload(bronze, list(PROVENANCE)) if plain else nullcontext((bronze, _as_is)) as (rows, restore):
-            cleaned = clean(rows, spec)
+            cleaned = Clean(rows, spec, COPIES)
             # Provenance text is put back after the second shuffle, just before the write.
-            valid = restore(clustered(cleaned.valid, spec.silver_partitions))
+            valid = restore(clustered(cleaned.valid, spec.silver_partitions)).observe(kept, standing)
             valid = valid.select(*spec.columns, *PROVENANCE, *spec.time_columns)
-            quarantine = restore(cleaned.quarantine).select(*spec.columns, *PROVENANCE, quality.REASON)
+            quarantine = restore(cleaned.quarantine).observe(refused, standing)
+            quarantine = quarantine.select(*spec.columns, *PROVENANCE, quality.REASON)
             in_parallel(
                 spark,
                 lambda: overwrite_table(valid, target, spec.silver_partitions, fmt=fmt),
                 lambda: overwrite_table(quarantine, rejected, fmt=fmt),
             )
+        total = bronze.count()
+        if kept.get["rows"] + refused.get["rows"] != total:
+            raise quality.ReconciliationError(
+                f"{total} bronze rows, but {kept.get['rows']} valid and {refused.get['rows']} rejected ones"
+            )
         published = _published(spark, spec, lake, fmt, [*spec.columns, *([] if plain else PROVENANCE)])
-        _record(quality.check_metrics(published, spec.checks), lake, run_id, fmt)
+        _record(quality.check_metrics(published, spec.checks), spec, lake, run_id, fmt)
     return target
 
 
@@ -133,12 +166,12 @@ def _stop_if_blocked(
     breaking = quality.breaks_block_check(bronze, spec.checks)
     if breaking is None or breaking.isEmpty():
         return
-    counted = clean(bronze, spec).metrics
+    counted = Clean(bronze, spec).metrics
     metrics = spark.createDataFrame(counted.collect(), counted.schema)
     try:
         quality.assert_no_block_failures(metrics)
     except quality.BlockedRunError:
-        _record(metrics, lake, run_id, fmt)
+        _record(metrics, spec, lake, run_id, fmt)
         raise
 
 
@@ -153,7 +186,7 @@ def run_gold(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "p
     target = table_path(lake, GOLD, spec.fact_table)
 
     def save_mart(mart: MeanMart) -> Callable[[], None]:
-        return lambda: overwrite_table(marts.mean_mart(silver, mart), table_path(lake, GOLD, mart.name), fmt=fmt)
+        return lambda: overwrite_table(marts.mean_mart(silver, mart), table_path(lake, GOLD, spec.mart_table(mart)), fmt=fmt)
 
     with sized_for(spark, table_bytes(spark, source)):
         in_parallel(
@@ -168,7 +201,7 @@ def check_history(
     spark: SparkSession, lake: str, run_id: str | None = None, *, fmt: str = "parquet"
 ) -> DataFrame:
     """Recorded check results, of all runs or of one."""
-    history = read_table(spark, table_path(lake, DQ, CHECK_RESULTS), fmt=fmt)
+    history = read_table(spark, table_path(lake, DQ, CHECK_RESULTS), HISTORY_SCHEMA, fmt)
     return history if run_id is None else history.filter(F.col("run_id") == run_id)
 
 
@@ -188,7 +221,7 @@ def run_profile(
     """Volume, amount figures, value distribution, reject reasons and, where there is a history, the latest checks."""
     silver = read_table(spark, table_path(lake, SILVER, spec.table), spec.silver_schema, fmt)
     rejected = read_table(spark, table_path(lake, SILVER, spec.rejected_table), spec.rejected_schema, fmt)
-    history = read_optional(spark, table_path(lake, DQ, CHECK_RESULTS), fmt=fmt)
+    history = read_optional(spark, table_path(lake, DQ, CHECK_RESULTS), HISTORY_SCHEMA, fmt)
     out = {
         "volume": profile.volume(silver, f"{spec.time_prefix}_year_month"),
         "amount": profile.numeric_profile(silver, amount),
@@ -196,7 +229,7 @@ def run_profile(
         "reasons": quality.reason_counts(rejected),
     }
     if history is not None:
-        out["latest_checks"] = quality.latest_runs(history)
+        out["latest_checks"] = quality.latest_runs(history.filter(F.col("dataset") == spec.name))
     return out
 
 
@@ -232,5 +265,7 @@ def _published(
     return valid.select(*columns).unionByName(rejected.select(*columns))
 
 
-def _record(metrics: DataFrame, lake: str, run_id: str, fmt: str) -> None:
-    append_table(quality.with_run(metrics, run_id, SILVER), table_path(lake, DQ, CHECK_RESULTS), fmt=fmt)
+def _record(metrics: DataFrame, spec: DatasetSpec, lake: str, run_id: str, fmt: str) -> None:
+    """A run that is tried again replaces its own metrics."""
+    rows = quality.with_run(metrics, run_id, SILVER, spec.name)
+    overwrite_table(rows, table_path(lake, DQ, CHECK_RESULTS), HISTORY_PARTITIONS, fmt=fmt, touched_only=True)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratalake.functions.predicates import quoted
 from stratalake.sources.layout import DQ, GOLD, SILVER, CHECK_RESULTS, table_path
 from stratalake.sources.tables import read_optional
-from stratalake.spec import DatasetSpec, MeanMart
+from stratalake.spec import HISTORY_SCHEMA, DatasetSpec, MeanMart
 
 
 def register_views(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "parquet") -> list[str]:
@@ -16,8 +16,8 @@ def register_views(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: st
         f"silver_{spec.table}": (SILVER, spec.table, spec.silver_schema),
         f"silver_{spec.rejected_table}": (SILVER, spec.rejected_table, spec.rejected_schema),
         f"gold_{spec.fact_table}": (GOLD, spec.fact_table, spec.fact_schema),
-        **{f"gold_{mart.name}": (GOLD, mart.name, None) for mart in spec.marts},
-        f"dq_{CHECK_RESULTS}": (DQ, CHECK_RESULTS, None),
+        **{f"gold_{spec.mart_table(mart)}": (GOLD, spec.mart_table(mart), None) for mart in spec.marts},
+        f"dq_{CHECK_RESULTS}": (DQ, CHECK_RESULTS, HISTORY_SCHEMA),
     }
     registered = []
     for view, (layer, name, schema) in tables.items():
@@ -34,10 +34,10 @@ def mart_query(mart: MeanMart, view: str) -> str:
     return f"SELECT {keys}, {quoted(mart.count_alias)}, {quoted(mart.alias)} FROM {quoted(view)} ORDER BY {keys}"
 
 
-def month_mean_query(view: str, time: str, value: str, alias: str, digits: int = 2) -> str:
+def month_mean_query(view: str, time: str, value: str, alias: str, digits: int = 2, prefix: str = "pickup") -> str:
     """Mean per month straight from cleaned rows; the cast to a date keeps the session time zone out of the month."""
     return f"""
-        SELECT date_format(to_date({quoted(time)}), 'yyyy-MM') AS pickup_year_month,
+        SELECT date_format(to_date({quoted(time)}), 'yyyy-MM') AS {quoted(prefix + '_year_month')},
                count(*) AS trips,
                round(avg({quoted(value)}), {digits}) AS {quoted(alias)}
         FROM {quoted(view)}
@@ -46,14 +46,19 @@ def month_mean_query(view: str, time: str, value: str, alias: str, digits: int =
     """
 
 
-def hour_mean_query(view: str, time: str, value: str, alias: str, month: int, digits: int = 3) -> str:
-    """Mean of positive values per hour of one month of the year straight from cleaned rows."""
+def hour_mean_query(
+    view: str, time: str, value: str, alias: str, month: int, digits: int = 3, prefix: str = "pickup"
+) -> str:
+    """Mean of positive values per hour of one month of the year straight from cleaned rows.
+
+    The month is asked of its own column, by which silver is partitioned, so other months' folders are not read.
+    """
     return f"""
-        SELECT hour({quoted(time)}) AS pickup_hour,
+        SELECT hour({quoted(time)}) AS {quoted(prefix + '_hour')},
                count(*) AS trips,
                round(avg({quoted(value)}), {digits}) AS {quoted(alias)}
         FROM {quoted(view)}
-        WHERE month({quoted(time)}) = {month} AND {quoted(value)} > 0
+        WHERE {quoted(prefix + '_month')} = {month} AND {quoted(value)} > 0
         GROUP BY 1
         ORDER BY 1
     """
@@ -62,4 +67,4 @@ def hour_mean_query(view: str, time: str, value: str, alias: str, month: int, di
 def answers(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "parquet") -> dict[str, DataFrame]:
     """One result per mart of the spec, read with SQL from the gold layer."""
     register_views(spark, spec, lake, fmt=fmt)
-    return {mart.name: spark.sql(mart_query(mart, f"gold_{mart.name}")) for mart in spec.marts}
+    return {mart.name: spark.sql(mart_query(mart, f"gold_{spec.mart_table(mart)}")) for mart in spec.marts}

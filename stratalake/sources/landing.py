@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -36,9 +37,13 @@ def months_between(bounds: DataFrame, first: str, last: str) -> DataFrame:
     return bounds.select(F.explode(days).alias("day")).select(F.substring(F.col("day").cast("string"), 1, 7).alias("month"))
 
 
-def file_key(path: Column) -> Column:
-    """Path below the lake root (``landing/...``); the whole path when the file lies outside a landing folder."""
-    inside = F.regexp_extract(path, rf"(?:^|/)({LANDING}/.*)$", 1)
+def file_key(path: Column, dataset: str | None = None) -> Column:
+    """Path below the lake root (``landing/...``); the whole path when the file lies outside a landing folder.
+
+    The last ``landing/<dataset>/`` counts, so a lake root may have a folder of that name itself.
+    """
+    below = "[^/]+" if dataset is None else re.escape(dataset)
+    inside = F.regexp_extract(path, rf"^(?:.*/)?({LANDING}/{below}/.*)$", 1)
     return F.when(inside != "", inside).otherwise(path)
 
 
@@ -49,7 +54,7 @@ def landing_files(spark: SparkSession, lake: str, dataset: str) -> DataFrame:
         listing = parquet_files(spark).format("binaryFile").load(root)
     except AnalysisException as error:
         raise _nothing_landed(root, error) from error
-    key = file_key(F.col("path"))
+    key = file_key(F.col("path"), dataset)
     return listing.select("path", key.alias("key"), source_month(key).alias("month"), "length")
 
 
@@ -65,7 +70,7 @@ def landing_manifest(
         files = parquet_files(spark).format("binaryFile").load(folders)
     except AnalysisException as error:
         raise _nothing_landed(", ".join(folders), error) from error
-    key = file_key(F.col("path"))
+    key = file_key(F.col("path"), dataset)
     return files.select(
         F.lit(dataset).alias("dataset"),
         source_month(key).alias("month"),
@@ -160,8 +165,8 @@ def read_conformed(
         rows = scan_conformed(spark, folders, columns)
     except AnalysisException as error:
         raise _nothing_landed(", ".join(folders), error) from error
-    key, month = file_key(F.col(SOURCE_PATH)), None
-    files = _file_names(spark, folders)
+    key, month = file_key(F.col(SOURCE_PATH), dataset), None
+    files = _file_names(spark, folders, dataset)
     if files.count() <= MAX_BROADCAST_FILES:
         # Patterns are matched once per file instead of once per row; a path the listing spells differently is not.
         rows = rows.join(F.broadcast(files), SOURCE_PATH, "left")
@@ -170,10 +175,10 @@ def read_conformed(
     return add_provenance(rows, key, batch_id, month).drop(SOURCE_PATH, "_file_key", "_file_month")
 
 
-def _file_names(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+def _file_names(spark: SparkSession, folders: Sequence[str], dataset: str) -> DataFrame:
     files = parquet_files(spark).format("binaryFile").load(list(folders))
     path = F.col("_metadata.file_path")
-    key = file_key(path)
+    key = file_key(path, dataset)
     return files.select(path.alias(SOURCE_PATH), key.alias("_file_key"), source_month(key).alias("_file_month"))
 
 

@@ -62,5 +62,13 @@ def overwrite_table(
     writer.save(path)
 
 
+def drop_folders(spark: SparkSession, path: str, folders: Sequence[str]) -> None:
+    """Remove partition folders of a plain file table; those that do not exist are passed over."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for folder in folders:
+        place = hadoop.Path(f"{path}/{folder}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def append_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").save(path)

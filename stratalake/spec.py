@@ -18,6 +18,11 @@ PROVENANCE = {
     "_ingested_at": "timestamp",
 }
 BRONZE_PARTITIONS = ("source_year", "source_month")
+HISTORY_SCHEMA = (
+    "check string, severity string, rows_in bigint, rows_failed bigint, passed boolean, layer string, dataset string, "
+    "run_id string"
+)
+HISTORY_PARTITIONS = ("dataset", "run_id")
 
 
 @dataclass(frozen=True)
@@ -43,6 +48,8 @@ class DatasetSpec:
     marts: Sequence[MeanMart] = ()
     entity: str = "trips"
     time_prefix: str = "pickup"
+    #: The one dataset of a lake whose marts are published under their plain names.
+    plain_marts: bool = False
 
     def __post_init__(self) -> None:
         known = set(self.columns)
@@ -62,6 +69,9 @@ class DatasetSpec:
     def table(self) -> str:
         return f"{self.name}_{self.entity}"
 
+    def mart_table(self, mart: MeanMart) -> str:
+        return mart.name if self.plain_marts else f"{self.table}_{mart.name}"
+
     @property
     def rejected_table(self) -> str:
         return f"{self.table}_rejected"

@@ -30,7 +30,7 @@ def stream_bronze(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(landing_root(lake, spec.name))
-        .select(source_month(file_key(F.col("path"))).alias("month"))
+        .select(source_month(file_key(F.col("path"), spec.name)).alias("month"))
     )
 
     def rebuild(batch: DataFrame, batch_number: int) -> None:

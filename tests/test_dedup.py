@@ -21,6 +21,15 @@ def test_smallest_payload_survives_whole(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "a", 3), (2, "c", 5)]
 
 
+def test_null_payload_is_smallest_and_copies_are_counted(spark):
+    rows = [(1, 5.0), (1, None), (2, 7.0), (2, 6.0), (2, 6.0)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    lone = deduplicate(df, ["k"], copies="n").collect()
+    paired = deduplicate(df.withColumn("w", F.lit("x")), ["k"], copies="n").drop("w").collect()
+    assert sorted(map(tuple, lone)) == sorted(map(tuple, paired)) == [(1, None, 2), (2, 6.0, 3)]
+    assert sorted(map(tuple, deduplicate(df, ["k", "v"], copies="n").select("k", "n").collect())) == [(1, 1), (1, 1), (2, 1), (2, 2)]
+
+
 def test_derived_columns_follow_the_survivor(spark):
     rows = [(1, "2023-02"), (1, "2023-01")]
     df = spark.createDataFrame(rows, "k int, m string").withColumn("year", F.substring("m", 1, 4))

@@ -3,11 +3,12 @@ from __future__ import annotations
 from dataclasses import replace
 from pathlib import Path
 
+import duckdb
 import pytest
 from golden import FAILED, Q1, Q2, QUARANTINED, RAW, SPEC, VALID, golden, land_golden
 
-from stratalake.__main__ import execute, parse
-from stratalake.datasets.trips import HOURLY_MART, MONTHLY_MART, green
+from stratalake.__main__ import execute, parse, window
+from stratalake.datasets.trips import HOURLY_MART, MONTHLY_MART, green, yellow
 from stratalake.operators import quality
 from stratalake.operators.quality import BLOCK, Check
 from stratalake.plans import jobs
@@ -85,6 +86,48 @@ def test_one_month_is_rebuilt_in_place(spark, lake):
         jobs.run_bronze(spark, SPEC, lake, "b3", months=["2023-03"])
 
 
+def test_month_delivered_again_without_rows_disappears(spark, lake):
+    land_golden(spark, lake, "2023-01")
+    land_golden(spark, lake, "2023-02")
+    jobs.run_bronze(spark, SPEC, lake, "b1")
+    golden(spark).limit(0).write.mode("overwrite").parquet(f"{landing_month(lake, 'yellow', '2023-02')}/yellow_tripdata_2023-02.parquet")
+    jobs.run_bronze(spark, SPEC, lake, "b2", months=["2023-02"])
+    bronze = table(spark, lake, "bronze", "yellow_trips", SPEC.bronze_schema)
+    assert {r["source_month"] for r in bronze.collect()} == {"01"} and bronze.count() == RAW
+
+
+def test_silver_refuses_chance_and_missing_rows(spark, lake, monkeypatch):
+    land_golden(spark, lake)
+    jobs.run_bronze(spark, SPEC, lake, "b")
+    with pytest.raises(ValueError, match="same answer"):
+        jobs.run_silver(spark, replace(SPEC, checks=[Check("luck", "rand() < 0.5")]), lake, "r")
+    whole = quality.quarantined_rows
+    monkeypatch.setattr(quality, "quarantined_rows", lambda df, checks: whole(df, checks).filter("total_amount > 0"))
+    with pytest.raises(quality.ReconciliationError, match="12 bronze rows"):
+        jobs.run_silver(spark, SPEC, lake, "r")
+
+
+def test_a_retried_run_replaces_its_metrics(spark, lake):
+    land_golden(spark, lake)
+    jobs.run_bronze(spark, SPEC, lake, "b")
+    for run in ("007", "007", "008"):
+        jobs.run_silver(spark, SPEC, lake, run)
+    history = jobs.check_history(spark, lake)
+    assert history.count() == 16 and {(r["run_id"], r["dataset"]) for r in history.collect()} == {("007", "yellow"), ("008", "yellow")}
+
+
+def test_another_engine_reads_the_tables(spark, lake):
+    land_golden(spark, lake)
+    jobs.run_pipeline(spark, SPEC, lake, "2023-01", "2023-01", "r")
+    con = duckdb.connect()
+    silver = f"read_parquet('{lake}/silver/yellow_trips/**/*.parquet', hive_partitioning = true)"
+    count, mean, months = con.sql(f"SELECT count(*), avg(total_amount), list(DISTINCT pickup_month) FROM {silver}").fetchall()[0]
+    rows = table(spark, lake, "silver", "yellow_trips", SPEC.silver_schema)
+    assert (count, mean) == (VALID, rows.agg({"total_amount": "avg"}).first()[0]) and sorted(months) == [1, 2, 5]
+    monthly = con.sql(f"SELECT * FROM '{lake}/gold/{MONTHLY_MART}/*.parquet' ORDER BY 1").fetchall()
+    assert monthly == sorted(map(tuple, table(spark, lake, "gold", MONTHLY_MART).collect()))
+
+
 def test_block_failure_publishes_metrics_only(spark, lake):
     land_golden(spark, lake)
     jobs.run_bronze(spark, SPEC, lake, "b")
@@ -161,6 +204,10 @@ def test_views_and_sql_over_silver(spark, lake):
     monthly = spark.sql(month_mean_query("silver_yellow_trips", time, "total_amount", "a"))
     hourly = spark.sql(hour_mean_query("silver_yellow_trips", time, "passenger_count", "a", 5))
     assert mart_rows(monthly) == Q1 and mart_rows(hourly) == Q2
+    plan = hourly._jdf.queryExecution().executedPlan().toString()
+    assert "(pickup_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    other = month_mean_query("silver_yellow_trips", time, "total_amount", "a", prefix="ride")
+    assert spark.sql(other).columns[0] == "ride_year_month"
 
 
 def test_month_mart_reads_only_its_folders(spark, lake):
@@ -181,8 +228,12 @@ def test_another_dataset_is_a_spec(spark, lake):
     names = {"tpep_pickup_datetime": "lpep_pickup_datetime", "tpep_dropoff_datetime": "lpep_dropoff_datetime"}
     folder = f"{landing_month(lake, 'green', '2023-01')}/green_tripdata_2023-01.parquet"
     golden(spark).withColumnsRenamed(names).write.parquet(folder)
+    land_golden(spark, lake)
     answers = jobs.run_pipeline(spark, spec, lake, "2023-01", "2023-01", "r")
     assert mart_rows(answers[MONTHLY_MART]) == Q1
+    jobs.run_pipeline(spark, SPEC, lake, "2023-01", "2023-01", "r")
+    assert table(spark, lake, "gold", MONTHLY_MART).count() == table(spark, lake, "gold", spec.mart_table(spec.marts[0])).count()
+    assert {(r["dataset"], r["count"]) for r in jobs.check_history(spark, lake, "r").groupBy("dataset").count().collect()} == {("green", 8), ("yellow", 8)}
 
 
 def test_stream_handles_each_file_once(spark, lake, tmp_path):
@@ -222,6 +273,13 @@ def test_command_line(spark, lake):
     assert Path(lake).exists()
 
 
+def test_window_follows_the_months_asked_for():
+    asked = ["silver", "--lake", "x", "--start", "2024-11", "--end", "2024-12"]
+    assert window(parse(asked)) == ("2024-11-01 00:00:00", "2025-01-01 00:00:00")
+    assert window(parse([*asked, "--window-end", "2024-12-05 00:00:00"]))[1] == "2024-12-05 00:00:00"
+    assert yellow(*window(parse(["gold", "--lake", "x"]))) == yellow()
+
+
 def test_spec_refuses_unknown_columns_and_repeated_checks():
     with pytest.raises(ValueError, match="does not declare"):
         DatasetSpec("x", {"a": "int"}, "b")

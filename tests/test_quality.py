@@ -110,9 +110,8 @@ def test_reason_counts_and_latest_runs(spark):
     rejected = quality.quarantined_rows(amounts(spark, -1.0, None, 3.0), [AMOUNT, Check("small", "amt < 2")])
     assert [tuple(r) for r in quality.reason_counts(rejected).collect()] == [("amt_positive", 2), ("small", 2)]
     history = spark.createDataFrame([(f"c{i:02d}", f"run-{i % 2}") for i in range(30)], "check string, run_id string")
-    latest = quality.latest_runs(history).collect()
-    assert len(latest) == 20
-    assert [r["run_id"] for r in latest] == ["run-1"] * 15 + ["run-0"] * 5
+    latest = quality.latest_runs(history.unionByName(history.withColumn("run_id", F.lit("run-"))), 2).collect()
+    assert [r["run_id"] for r in latest] == ["run-1"] * 15 + ["run-0"] * 15
     assert [r["check"] for r in latest[:2]] == ["c01", "c03"]
 
 
@@ -144,3 +143,14 @@ def test_valid_filter_reaches_the_parquet_reader(spark, tmp_path):
     plan = clean(spark.read.parquet(path), SPEC).valid._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan and "GreaterThan(total_amount,0.0)" in plan
     assert "SortAggregate" not in plan and "Python" not in plan
+
+
+def test_clock_is_read_once_and_chance_is_refused(spark):
+    df = spark.createDataFrame([(1, "now")], "id int, word string")
+    rules = ["current_timestamp() > TIMESTAMP '2020-01-01'", "word = 'now' AND now() IS NOT NULL", "current_date > DATE '2020-01-01'"]
+    checks = quality.bound(df, [Check(f"c{i}", r) for i, r in enumerate(rules)] + [Check("column", F.col("id") > 0)])
+    assert "timestamp_micros(" in checks[0].valid_when and "= 'now' AND timestamp_micros(" in checks[1].valid_when
+    assert quality.valid_rows(df, checks).count() == 1
+    for rule in ("rand() < 0.5", F.rand() < 0.5, F.current_timestamp() > F.lit("2020-01-01").cast("timestamp"), "uuid() > 'a'"):
+        with pytest.raises(ValueError, match="same answer"):
+            quality.bound(df, [Check("c", rule)])

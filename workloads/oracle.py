@@ -128,8 +128,12 @@ SHIPMENTS = """(
 OUTCOME = "CASE WHEN severity = 'WARN' THEN 'WARN' WHEN NOT passed THEN 'FAIL' ELSE 'ok' END AS outcome"
 
 
-def run(source: str, checks: dict[str, tuple[str, str]], run_id: str) -> str:
-    return metrics(source, checks, f", '{run_id}' AS run_id, 'silver' AS layer")
+def run(source: str, checks: dict[str, tuple[str, str]], run_id: str, dataset: str = "") -> str:
+    named = f", '{dataset}' AS dataset" if dataset else ""
+    return metrics(source, checks, f", '{run_id}' AS run_id, 'silver' AS layer{named}")
+
+
+LATER_CHECKS = {name: check for name, check in TRIP_CHECKS.items() if name != "vendor_not_null"}
 
 
 HISTORY = " UNION ALL ".join(
@@ -216,7 +220,10 @@ ORACLES: dict[str, str] = {
     ),
     "dq_reconcile": clean(RECONCILED),
     "dq_history": clean(HISTORY),
-    "dq_latest": clean(f'SELECT * FROM ({HISTORY}) ORDER BY run_id DESC, "check" LIMIT 20'),
+    "dq_latest": clean(
+        f"""SELECT * FROM ({HISTORY}) WHERE run_id IN (
+            SELECT run_id FROM ({HISTORY}) GROUP BY 1 ORDER BY 1 DESC LIMIT 3) ORDER BY run_id DESC, "check\""""
+    ),
     "gold_fact": clean(FACT),
     "roundtrip_fact": clean(FACT),
     "gold_q1": clean(Q1),
@@ -272,8 +279,36 @@ ORACLES: dict[str, str] = {
     "pipeline_q1": clean(Q1, LANDED_COLUMNS),
     "pipeline_q2": clean(Q2, LANDED_COLUMNS),
     "pipeline_counts": clean(RECONCILED, LANDED_COLUMNS),
+    "pipeline_clock_counts": clean(
+        RECONCILED.replace(
+            "FROM tagged",
+            """FROM (SELECT * REPLACE (concat_ws(',', nullif(_reject_reason, ''),
+                CASE WHEN (pickup_ts > localtimestamp OR total_amount < 150000) IS NOT TRUE THEN 'recent_or_small' END
+            ) AS _reject_reason) FROM tagged)""",
+        ),
+        LANDED_COLUMNS,
+    ),
+    "two_datasets_marts": clean("""
+        SELECT 'orders' AS dataset, *, CAST(8 AS BIGINT) AS checks FROM q1
+        UNION ALL
+        SELECT 'doubled', pickup_year_month, count(*), round(avg(total_amount * 2), 2), 8 FROM silver GROUP BY 2"""),
+    "bronze_plain_parts": f"""
+        WITH {TRIPS} SELECT delivery_month AS month, count(*) AS count, 'ingested' AS status FROM delivered GROUP BY 1""",
+    "bronze_redelivered": f"""
+        WITH {TRIPS} SELECT delivery_month AS month, count(*) AS count FROM delivered
+        WHERE delivery_month NOT IN ('1998-02', '1998-03')
+           OR delivery_month = '1998-03' AND pickup_ts IS NOT NULL AND trip_distance < 15
+        GROUP BY 1""",
+    "bronze_zoned": "SELECT CAST(hour(ts) AS INTEGER) AS event_hour, count(*) AS count FROM events GROUP BY 1",
+    "dq_blocked_run": clean(
+        "SELECT *, false AS published FROM ("
+        + run("deduped", {"vendor_known": ("BLOCK", "vendor_id IS NOT NULL"), **LATER_CHECKS}, "run-1", "orders")
+        + ")",
+        LANDED_COLUMNS,
+    ),
     "pipeline_checks": clean(
-        f"""SELECT * FROM ({run('deduped', TRIP_CHECKS, 'run-1')} UNION ALL {run('deduped', TRIP_CHECKS, 'run-2')})""",
+        f"""SELECT * FROM ({run('deduped', TRIP_CHECKS, 'run-1', 'orders')}
+            UNION ALL {run('deduped', TRIP_CHECKS, 'run-2', 'orders')})""",
         LANDED_COLUMNS,
     ),
     "pipeline_fact": clean(FACT, LANDED_COLUMNS),

@@ -35,6 +35,11 @@ def delivered_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_delivery(spark, sf_dir).select(*COLUMNS, delivery_key().alias("_source_file"))
 
 
+def plain_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips with their delivery month, for deliveries in the types of the spec."""
+    return _with_delivery(spark, sf_dir).select(*COLUMNS, "delivery_month")
+
+
 def delivery_key() -> Column:
     month = F.col("delivery_month")
     year, mm = F.substring(month, 1, 4), F.substring(month, 6, 2)
@@ -67,7 +72,7 @@ def _with_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# How the deliveries of some years differ from the spec. Each variant is a select list over the trips.
+# How the deliveries of some years differ from the spec. Each variant is a select list over the trips.
 VARIANTS = {
     # 64-bit integers where the spec has int and double.
     (None, "1997"): [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from stratalake.operators.conform import add_provenance, conform, union_by_name
 from stratalake.operators.dedup import deduplicate
 from stratalake.operators.quality import BLOCK, QUARANTINE, REASON, WARN, Check
 from stratalake.plans.jobs import (
+    check_history,
     clean,
     dedup_rows,
     reconcile_layers,
@@ -26,10 +28,10 @@ from stratalake.plans.jobs import (
 )
 from stratalake.plans.sql import answers, hour_mean_query, month_mean_query
 from stratalake.sources import landing
-from stratalake.sources.layout import CHECK_RESULTS, DQ, GOLD, SILVER, table_path
-from stratalake.sources.tables import append_table, clustered, overwrite_table, read_table
+from stratalake.sources.layout import BRONZE, CHECK_RESULTS, DQ, GOLD, SILVER, landing_root, table_path
+from stratalake.sources.tables import append_table, clustered, overwrite_table, read_optional, read_table
 from stratalake.spec import DatasetSpec, MeanMart
-from workloads.order_trips import COLUMNS, SPEC, delivered_trips, land, trips
+from workloads.order_trips import COLUMNS, SPEC, delivered_trips, land, plain_parts, trips
 from workloads.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,10 +261,9 @@ def stored_mart(index: int, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart written to gold and asked with SQL through its view."""
     lake = scratch_folder(spark)
     spec_mart = SPEC.marts[index]
-    overwrite_table(mart(index, spark, sf_dir), table_path(lake, GOLD, spec_mart.name))
-    return answers(spark, DatasetSpec(SPEC.name, SPEC.columns, SPEC.time_column, marts=(spec_mart,)), lake)[
-        spec_mart.name
-    ]
+    spec = DatasetSpec(SPEC.name, SPEC.columns, SPEC.time_column, marts=(spec_mart,))
+    overwrite_table(mart(index, spark, sf_dir), table_path(lake, GOLD, spec.mart_table(spec_mart)))
+    return answers(spark, spec, lake)[spec_mart.name]
 
 
 def sql_q1_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,6 +371,94 @@ def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+def pipeline_clock_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with a check against the clock: every row of bronze is in one of the two tables."""
+    lake = land(spark, sf_dir, scratch_folder(spark))
+    recent = Check("recent_or_small", "pickup_ts > now() OR total_amount < 150000", QUARANTINE)
+    spec = replace(SPEC, checks=(*SPEC.checks, recent))
+    run_bronze(spark, spec, lake, "run-1")
+    run_silver(spark, spec, lake, "run-1")
+    return reconcile_layers(spark, spec, lake)
+
+
+def two_datasets_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly mart of two datasets in one lake, after both have run: the second has twice the amounts."""
+    lake = scratch_folder(spark)
+    double = replace(SPEC, name="doubled")
+    out = []
+    for spec, factor in ((SPEC, 1), (double, 2)):
+        months = {"year": F.substring("delivery_month", 1, 4), "month": F.substring("delivery_month", 6, 2)}
+        rows = plain_parts(spark, sf_dir).withColumns({**months, "total_amount": F.col("total_amount") * factor})
+        overwrite_table(clustered(rows.drop("delivery_month"), list(months)), landing_root(lake, spec.name), list(months))
+    for spec in (SPEC, double):
+        run_bronze(spark, spec, lake, RUN_ID)
+        run_silver(spark, spec, lake, RUN_ID)
+        run_gold(spark, spec, lake)
+    for spec in (SPEC, double):
+        monthly = answers(spark, spec, lake)[MONTHLY_MART]
+        checks = check_history(spark, lake, RUN_ID).filter(F.col("dataset") == spec.name).count()
+        out.append(monthly.select(F.lit(spec.name).alias("dataset"), "*", F.lit(checks).cast("bigint").alias("checks")))
+    return out[0].unionByName(out[1])
+
+
+def bronze_plain_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and months of bronze after deliveries that are part files right in the month's folder, in a lake whose root
+    has a folder named landing itself."""
+    lake = f"{scratch_folder(spark)}/landing/2020-01/lake"
+    months = {"year": F.substring("delivery_month", 1, 4), "month": F.substring("delivery_month", 6, 2)}
+    rows = plain_parts(spark, sf_dir).withColumns(months).drop("delivery_month")
+    overwrite_table(clustered(rows, list(months)), landing_root(lake, SPEC.name), list(months))
+    bounds = order_months(spark, sf_dir).collect()[0]
+    statuses = landing.ingest(spark, lake, SPEC.name, bounds["first_month"], bounds["last_month"])
+    run_bronze(spark, SPEC, lake, RUN_ID)
+    bronze = read_table(spark, table_path(lake, BRONZE, SPEC.table), SPEC.bronze_schema)
+    counts = bronze.groupBy(F.col("_source_month").alias("month")).count()
+    return counts.join(statuses, "month", "full").select("month", "count", "status")
+
+
+def bronze_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of bronze by month after one month was landed again without rows and another with half of its own."""
+    lake = land(spark, sf_dir, scratch_folder(spark))
+    run_bronze(spark, SPEC, lake, "run-1")
+    root = landing_root(lake, SPEC.name)
+    again = plain_parts(spark, sf_dir).drop("delivery_month")
+    for month, kept in (("02", "false"), ("03", "trip_distance < 15")):
+        part = f"{root}/year=1998/month={month}/delivery=orders_tripdata_1998-{month}"
+        again.filter(f"date_format(pickup_ts, 'yyyy-MM') = '1998-{month}'").filter(kept).write.mode("overwrite").parquet(part)
+    run_bronze(spark, SPEC, lake, "run-2", months=["1998-02", "1998-03"])
+    bronze = read_table(spark, table_path(lake, BRONZE, SPEC.table), SPEC.bronze_schema)
+    return bronze.groupBy(F.col("_source_month").alias("month")).count()
+
+
+def bronze_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of events that were delivered as moments, conformed under a session zone other than UTC."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    path = f"{scratch_folder(spark)}/moments"
+    moment = F.expr("timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts))")
+    table(spark, sf_dir, "events").select("event_id", moment.alias("ts")).write.parquet(path)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        conformed = conform(spark.read.parquet(path), {"event_id": "bigint", "ts": "timestamp_ntz"})
+        hours = conformed.groupBy(F.hour("ts").alias("event_hour")).count()
+        hours.write.parquet(f"{path}-hours")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    return spark.read.parquet(f"{path}-hours")
+
+
+def dq_blocked_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check history after a run that a BLOCK check stopped; nothing else was published."""
+    lake = land(spark, sf_dir, scratch_folder(spark))
+    spec = replace(SPEC, checks=(Check("vendor_known", not_null("vendor_id"), BLOCK), *SPEC.checks[1:]))
+    run_bronze(spark, spec, lake, RUN_ID)
+    try:
+        run_silver(spark, spec, lake, RUN_ID)
+    except quality.BlockedRunError:
+        published = read_optional(spark, table_path(lake, SILVER, spec.table))
+        return check_history(spark, lake, RUN_ID).withColumn("published", F.lit(published is not None))
+    raise AssertionError("the run was not blocked")
+
+
 def pipeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The check history after the jobs have run, silver twice."""
     lake = land(spark, sf_dir, scratch_folder(spark))
@@ -434,6 +523,12 @@ QUERIES: dict[str, Query] = {
     "pipeline_q1": pipeline_q1,
     "pipeline_q2": pipeline_q2,
     "pipeline_counts": pipeline_counts,
+    "pipeline_clock_counts": pipeline_clock_counts,
+    "two_datasets_marts": two_datasets_marts,
+    "bronze_plain_parts": bronze_plain_parts,
+    "bronze_redelivered": bronze_redelivered,
+    "bronze_zoned": bronze_zoned,
+    "dq_blocked_run": dq_blocked_run,
     "pipeline_checks": pipeline_checks,
     "pipeline_fact": pipeline_fact,
 }
