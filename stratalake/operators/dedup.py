@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Distinct payloads that may be broadcast: at about 300 bytes each, 150 MB.
@@ -48,21 +48,24 @@ def coded_payload(
     """Stand one number in for ``columns`` that repeat over many rows, and a function that puts them back.
 
     Numbers follow the order of the columns, so the smallest number is the smallest payload. A shuffle then carries
-    eight bytes per row instead of the text, and ``deduplicate`` can hash. Both directions are broadcast joins, so
-    with more than ``max_codes`` distinct payloads the frame is handed through as it is. The lookup is kept until the
-    block ends; it is never larger than the bound, and is computed again if its executor is lost.
+    eight bytes per row instead of the text, and ``deduplicate`` can hash. Payloads are range-sorted and numbered over
+    many tasks, and the lookup is checkpointed, because a number must stay with its payload. Up to ``max_codes`` of
+    them the lookup is broadcast both ways; above it both joins are left to the planner, which splits a hot payload.
     """
-    payloads = df.select(*columns).distinct().limit(max_codes + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if payloads.count() > max_codes:
-            yield df, lambda out: out
-            return
-        # All payloads are here, and one task numbers at most max_codes of them.
-        codes = payloads.withColumn(CODE, F.row_number().over(Window.orderBy(*columns)).cast("bigint"))
-        same = [df[c].eqNullSafe(codes[c]) for c in columns]
-        coded = df.join(F.broadcast(codes), same, "inner").select(
-            *[df[c] for c in df.columns if c not in columns], codes[CODE]
-        )
-        yield coded, lambda out: out.join(F.broadcast(codes), CODE).drop(CODE)
-    finally:
-        payloads.unpersist()
+    spark = df.sparkSession
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    payloads = df.select(*columns).distinct().repartitionByRange(n, *columns).sortWithinPartitions(*columns)
+    names = [f"_payload_{i}" for i in range(len(columns))]
+    codes = payloads.withColumn(CODE, F.monotonically_increasing_id()).toDF(*names, CODE).checkpoint()
+    lookup = F.broadcast(codes) if codes.count() <= max_codes else codes
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(columns, names, strict=True)]
+    coded = df.join(lookup, same, "inner").select(*[c for c in df.columns if c not in columns], CODE)
+
+    def restore(out: DataFrame) -> DataFrame:
+        return out.join(lookup, CODE).drop(CODE).withColumnsRenamed(dict(zip(names, columns, strict=True)))
+
+    yield coded, restore

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from stratalake.operators.conform import conform, union_by_name
 
 SOURCE_PATH = "_source_path"
-FOOTER_THREADS = 16
+MERGE_THREADS = 8
 
 
 def parquet_files(spark: SparkSession) -> DataFrameReader:
@@ -30,8 +30,7 @@ def schema_groups(
 ) -> list[tuple[T.StructType, list[str]]]:
     """Schemas of the wanted columns, each with the deliveries (folders, or single files) that have it.
 
-    One footer per delivery tells which deliveries look alike; one distributed merge of all their footers then proves
-    it. Only a delivery whose own files disagree is looked at file by file.
+    Distributed merges of footers prove what fits together; nothing is opened by the driver file by file.
     """
     wanted = {name.lower() for name in columns}
     groups: dict[tuple, tuple[T.StructType, list[str]]] = {}
@@ -55,41 +54,38 @@ def scan_conformed(spark: SparkSession, folders: Sequence[str], columns: Mapping
 
 
 def _proven_schemas(spark: SparkSession, deliveries: list[str]) -> Iterator[tuple[T.StructType, list[str]]]:
-    for alike in _by_first_footer(spark, deliveries):
-        schema = _merged_schema(spark, alike)
-        if schema is not None:
-            yield schema, alike
-            continue
-        for delivery in alike:
-            schema = _merged_schema(spark, [delivery])
-            if schema is not None:
-                yield schema, [delivery]
-                continue
-            for files in _by_first_footer(spark, _files(spark, delivery)):
-                yield parquet_files(spark).parquet(files[0]).schema, files
-
-
-def _by_first_footer(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Paths with equal schemas together. Each read is one footer, so a few threads hide the storage latency."""
-
-    def signature(path: str) -> str:
-        return parquet_files(spark).parquet(path).schema.simpleString().lower()
-
-    groups: dict[str, list[str]] = {}
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        for path, found in zip(paths, pool.map(signature, paths)):
-            groups.setdefault(found, []).append(path)
-    return list(groups.values())
+    """Runs of deliveries, in order, whose files one schema fits, found by halving what does not fit together.
+
+    Deliveries that follow each other mostly have the same types, so the merges grow with the number of variants and
+    the logarithm of the number of deliveries. A folder whose own files disagree is halved by files. The merges of a
+    level run side by side; each is a distributed job over footers.
+    """
+    level = [deliveries] if deliveries else []
+    with ThreadPoolExecutor(MERGE_THREADS) as pool:
+        while level:
+            split: list[list[str]] = []
+            for paths, schema in zip(level, pool.map(lambda p: _merged_schema(spark, p), level), strict=True):
+                if schema is not None:
+                    yield schema, paths
+                    continue
+                parts = paths if len(paths) > 1 else _files(spark, paths[0])
+                if len(parts) > 1:
+                    split += [parts[: len(parts) // 2], parts[len(parts) // 2 :]]
+                else:
+                    yield parquet_files(spark).parquet(*parts).schema, parts
+            level = split
 
 
 def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
-    """Schema of all files below ``paths`` from one distributed read of their footers, None when types conflict."""
+    """Schema of all files below ``paths`` from one distributed read of their footers, None when they conflict."""
     try:
-        return parquet_files(spark).option("mergeSchema", True).parquet(*paths).schema
+        schema = parquet_files(spark).option("mergeSchema", True).parquet(*paths).schema
     except Exception as error:  # the client wraps this condition in different classes
         if "CANNOT_MERGE_SCHEMAS" in str(error):
             return None
         raise
+    # A column that is spelled in two cases comes out twice, and no read schema fits both spellings.
+    return schema if len({name.lower() for name in schema.names}) == len(schema.names) else None
 
 
 def _deliveries(spark: SparkSession, folders: Sequence[str]) -> list[str]:
@@ -100,10 +96,10 @@ def _deliveries(spark: SparkSession, folders: Sequence[str]) -> list[str]:
     """
     holding = parquet_files(spark).format("binaryFile").load(list(folders)).select(_parent("path").alias("folder"))
     found = sorted(row["folder"] for row in holding.distinct().collect())
+    outer = {folder[:i] for folder in found for i, c in enumerate(folder) if c == "/"}
     out = []
     for folder in found:
-        outer = any(other.startswith(folder + "/") for other in found)
-        out.extend(_files(spark, folder, direct=True) if outer else [folder])
+        out.extend(_files(spark, folder, direct=True) if folder in outer else [folder])
     return out
 
 

@@ -59,11 +59,21 @@ def test_coded_payload_changes_nothing_but_the_plan(spark):
         assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
 
 
-def test_too_many_payloads_are_left_as_they_are(spark):
+def test_many_payloads_are_coded_without_a_broadcast_hint(spark):
     rows = hot_rows(spark)
+    plain = deduplicate(rows, ["k", "v"])
     with coded_payload(rows, ["f", "b"], max_codes=39) as (coded, restore):
-        assert coded.columns == rows.columns
-        assert restore(coded) is coded
+        out = restore(deduplicate(coded, ["k", "v"])).select(*rows.columns)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "rs=broadcast" not in out._jdf.queryExecution().logical().toString()
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_silver_dedup_hashes(spark):
+    from workloads.queries import silver_dedup
+
+    plan = silver_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_coded_payload_with_nulls(spark):

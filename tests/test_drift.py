@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from stratalake.operators.conform import union_by_name
-from stratalake.sources import landing
+from stratalake.sources import drift, landing
 from stratalake.sources.drift import schema_groups, scan_conformed
 from stratalake.sources.layout import landing_month, landing_root
 
@@ -65,6 +65,25 @@ def test_plan_has_one_scan_per_variant(spark, lake):
     assert plan.count("FileScan parquet") == 2
 
 
+def test_merges_grow_with_variants_and_the_logarithm_of_deliveries(spark, lake, monkeypatch):
+    for m in range(1, 33):
+        kind = "bigint" if m <= 11 else "double" if m <= 27 else "string"
+        deliver(spark, lake, f"{2000 + m}-01", ["id", f"cast(id AS {kind}) AS p"])
+    merges = []
+    whole = drift._merged_schema
+    monkeypatch.setattr(drift, "_merged_schema", lambda session, paths: merges.append(paths) or whole(session, paths))
+    groups = schema_groups(spark, [landing_root(lake, "x")], COLUMNS)
+    assert sorted(len({p for p in paths}) for _, paths in groups) == [5, 11, 16]
+    assert len(merges) <= 3 * 2 * 6
+    assert scan_conformed(spark, [landing_root(lake, "x")], COLUMNS).count() == 320
+
+
+def test_one_file_with_two_spellings_of_a_column(spark, lake):
+    folder = deliver(spark, lake, "2023-01", ["id", "1.5D AS p"])
+    spark.range(10, 20).selectExpr("id AS ID", "cast(id AS double) AS P").coalesce(1).write.mode("append").parquet(folder)
+    assert rows(scan_conformed(spark, [folder], COLUMNS)) == [(i, 1.5) for i in range(10)] + [(i, float(i)) for i in range(10, 20)]
+
+
 def test_file_names_beyond_the_broadcast_bound(spark, lake, monkeypatch):
     deliver(spark, lake, "2023-01", ["id", "cast(id AS double) AS p"])
     joined = landing.read_conformed(spark, lake, "x", COLUMNS, "b")

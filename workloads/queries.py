@@ -13,7 +13,7 @@ from stratalake.functions.predicates import in_window, not_nan, not_null, positi
 from stratalake.functions.timedims import year_month
 from stratalake.operators import marts, profile, quality
 from stratalake.operators.conform import add_provenance, conform, union_by_name
-from stratalake.operators.dedup import deduplicate
+from stratalake.operators.dedup import coded_payload, deduplicate
 from stratalake.operators.quality import BLOCK, QUARANTINE, REASON, WARN, Check
 from stratalake.plans.jobs import (
     check_history,
@@ -167,7 +167,9 @@ def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_rows(delivered_trips(spark, sf_dir), SPEC)
+    """The file of each row travels as a number, as in the silver job."""
+    with coded_payload(delivered_trips(spark, sf_dir), ["_source_file"]) as (rows, restore):
+        return restore(dedup_rows(rows, SPEC))
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
