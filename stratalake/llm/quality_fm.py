@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -26,6 +26,8 @@ BUCKETS = 1 << 15
 FACTORS = 8
 #: Labelled documents of each class to learn from: a bounded sample by design.
 SAMPLE = 5000
+#: Texts that are scored at once.
+SCORED = 64
 EPOCHS, BATCH, RATE, SHRINK = 12, 128, 0.02, 1e-4
 SEED = 11
 
@@ -97,9 +99,17 @@ class Machine:
         line = np.add.reduceat(self.linear[index] * value, start)
         return self.bias + line + 0.5 * (sums * sums - squares).sum(axis=1), sums
 
+    def scores(self, texts: Iterable[str]) -> np.ndarray:
+        """Scores of any number of texts, the features of a few in memory at a time."""
+        out, some = [np.zeros(0)], []
+        for text in texts:
+            some.append(raw_features(text))
+            if len(some) == SCORED:
+                out.append(self.probability(some))
+                some = []
+        return np.concatenate([*out, *([self.probability(some)] if some else [])])
+
     def probability(self, texts: list[tuple]) -> np.ndarray:
-        if not texts:
-            return np.zeros(0)
         return 1 / (1 + np.exp(-np.clip(self.margin(*self.rows(texts))[0], -30, 30)))
 
 
@@ -158,8 +168,17 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = SAM
         size = N_STATISTICS + BUCKETS
         nothing = np.zeros(N_STATISTICS)
         return Machine(nothing, nothing + 1, log_odds(share), np.zeros(size), np.zeros((size, FACTORS)))
-    parts = [[np.array(v) for v in rows[c].to_pylist()] for c in ("statistics", "index", "value")]
-    return learn([(s, i.astype(np.int64), v) for s, i, v in zip(*parts, strict=True)], y, share)
+    return learn(list(zip(*(_arrays(rows[c]) for c in ("statistics", "index", "value")), strict=True)), y, share)
+
+
+def _arrays(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as views of its flat values."""
+    out: list[np.ndarray] = []
+    for chunk in lists.chunks:
+        offsets = chunk.offsets.to_numpy()
+        flat = chunk.values.to_numpy()
+        out += [flat[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+    return out
 
 
 def score_column(machine: Machine, docs: DataFrame, text_col: str = "text") -> Column:
@@ -168,7 +187,7 @@ def score_column(machine: Machine, docs: DataFrame, text_col: str = "text") -> C
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.probability([raw_features(t) for t in texts]))
+        return pd.Series(shared.value.scores(texts))
 
     return score(F.coalesce(F.col(text_col), F.lit("")))
 

@@ -28,8 +28,9 @@ END_ID = 1
 MAGIC = "ARROW1"
 #: Bytes of text for each shard, on average.
 SHARD_BYTES = 16 << 20
-#: Words whose ids a worker keeps; then it starts anew.
-MEMO = 400_000
+#: Pieces, and what stands between white space, whose ids a worker keeps. A full memo takes no more until the next
+#: shard, which begins with an empty one.
+MEMO = 120_000
 
 # What the vocabulary's pre-tokenizer makes of lower-cased Latin-1 text; other text goes to the library whole.
 LATIN_PIECE = re.compile(
@@ -54,11 +55,11 @@ class WordIds(dict):
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
         # The vocabulary spells bytes as characters; its model takes a piece in that spelling, without the steps before.
         spelled = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        ids = self[piece] = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
+        ids = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
+        if len(self) < MEMO:
+            self[piece] = ids
         return ids
 
     def whole(self, text: str) -> bytes:
@@ -73,10 +74,8 @@ class ChunkIds(dict):
         self.words = words
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
         ids = b"".join(map(self.words.__getitem__, LATIN_PIECE.findall(chunk.lower())))
-        if len(chunk) <= 40:
+        if len(self) < MEMO and len(chunk) <= 40:
             self[chunk] = ids
         return ids
 
@@ -89,6 +88,9 @@ def encoder(path: str):
     if path not in _memo:
         _memo[path] = ChunkIds(WordIds(path))
     chunks = _memo[path]
+    for memo in (chunks, chunks.words):
+        if len(memo) >= MEMO:
+            memo.clear()
 
     def encode(text: str) -> np.ndarray:
         try:
