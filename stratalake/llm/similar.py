@@ -75,22 +75,17 @@ def _apart(f: np.ndarray, g: np.ndarray, f2: np.ndarray, g2: np.ndarray) -> np.n
     return np.bitwise_count(f ^ f2).astype(np.int16) + np.bitwise_count(g ^ g2)
 
 
-def _tree(f: np.ndarray, g: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a large bucket that connect all that is near in it: each member with the one it was first reached from."""
-    left = np.arange(len(f))
-    while len(left) > 1:
-        front, left = left[:1], left[1:]
-        while len(front) and len(left):
-            some, front = front[:128], front[128:]
-            near = _apart(f[some][:, None], g[some][:, None], f[left], g[left]) <= most
-            hit = near.any(axis=0)
-            if hit.any():
-                yield some[near[:, hit].argmax(axis=0)], left[hit]
-                front, left = np.r_[front, left[hit]], left[~hit]
+def _all(f: np.ndarray, g: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a large bucket within ``most`` bits, some members at a time."""
+    for i in range(0, len(f), 128):
+        some = slice(i, i + 128)
+        near = _apart(f[some][:, None], g[some][:, None], f[i:], g[i:]) <= most
+        u, v = np.nonzero(np.triu(near, 1))
+        yield u + i, v + i
 
 
 def _pairs(most: int):
-    """Pairs within ``most`` bits: all of a small bucket, those of a tree of a large one."""
+    """All pairs of a bucket within ``most`` bits. None may stand for another before the shingles have been compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, piece, f, g in whole_buckets(batches, "f", "g"):
@@ -108,7 +103,7 @@ def _pairs(most: int):
             start = np.flatnonzero(new)
             for k in np.flatnonzero(~few).tolist():
                 part = slice(start[k], start[k] + size[k])
-                for a, b in _tree(f[part], g[part], most):
+                for a, b in _all(f[part], g[part], most):
                     u.append(a + start[k])
                     v.append(b + start[k])
             u, v = np.concatenate(u), np.concatenate(v)

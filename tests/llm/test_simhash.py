@@ -107,6 +107,26 @@ def test_similar_texts_are_found(spark, frame, piece):
     assert len({find for find in roots(pairs, shingles).values() if find >= 1000}) == 0
 
 
+def hot_group(rng, copies):
+    """A text and copies with words replaced: each is like the text at 0.8 and above, few are like each other."""
+    base = [f"w{rng.randrange(10_000)}" for _ in range(204)]
+    rows = [(copies, " ".join(base))]
+    for k in range(copies):
+        text = list(base)
+        for place in range(4):
+            text[50 * place + 5 + rng.randrange(38)] = f"x{k}.{place}"
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+def test_members_of_a_hot_group_find_their_partner(spark, frame):
+    """In buckets of many members each must reach the one text that it is like."""
+    rows = hot_group(random.Random(4), 300)
+    pairs = [(r["a"], r["b"]) for r in similar.similar_links(simhash.keyed(frame(rows))).collect()]
+    found = roots(pairs, range(301))
+    assert sum(r == found[300] for r in found.values()) >= 0.9 * 301
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
