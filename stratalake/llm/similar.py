@@ -1,10 +1,10 @@
-"""Near duplicates for a corpus: SimHash proposes, shingles decide.
+"""Near duplicates for a corpus: fingerprints and exact similarity of shingle sets.
 
 Documents are alike if their fingerprints link (see ``simhash``), or if the Jaccard similarity of their sets of word
-shingles reaches a bound. At a bound of 0.8 fingerprints differ in about every seventh bit, too many for the pigeonhole
-principle to stay selective; so these pairs are looked for in tables over bits drawn from a fingerprint of 128 bits, as
-many as find a pair at the bound with the asked probability. A pair that agrees in a table and is near on all bits is
-then compared shingle by shingle.
+shingles reaches a bound. Such pairs are found by the prefix filter, which loses none: under any fixed order of all
+shingles, two sets of that similarity have one of the first ``n - ceil(bound n) + 1`` shingles in common. The order puts
+shingles last that are frequent in a sample; it decides the cost, not the result. Pairs that meet, and that sizes and
+places in the order do not rule out, are compared shingle by shingle.
 """
 
 from __future__ import annotations
@@ -18,99 +18,143 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.common import KEY, keyed, with_key, written
 from stratalake.llm.components import components
-from stratalake.llm.simhash import DISTANCE, PIECE, in_pieces, majority, near_duplicates, shingle_hashes, whole_buckets
+from stratalake.llm.simhash import DISTANCE, PIECE, in_pieces, near_duplicates, shingle_hashes, whole_buckets
 
 WORDS, SIMILARITY = 5, 0.8
-#: Probability with which the tables find a pair exactly at the bound; above it the probability is higher.
-RECALL = 0.98
-WIDTH = 128
+#: Texts whose shingles tell which are frequent, and the number of frequent ones that the order knows.
+SAMPLE, FREQUENT = 10_000, 200_000
+#: Buckets up to this size compare all their pairs at once; of larger ones this many members are compared with all first.
+FEW, CENTRES = 16, 4
+#: Texts that a task remembers, so that it looks at copies once.
+REMEMBERED = 1_000_000
+NODE = ("h", "n", "place")
 
 
-def _again(h: np.ndarray) -> np.ndarray:
-    """Other 64 bits from each hash, as independent as a mixing function makes them."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+def shingle_set(text: str, words: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, words))
 
 
-def _wide(words: int):
+def _sampled(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in batch.column("_text")]
-            f = np.array([(majority(h), majority(_again(h))) for h in sets], np.uint64).reshape(-1, 2).view(np.int64)
-            columns = [batch.column("_id"), batch.column("_hash"), pa.array(f[:, 0].copy()), pa.array(f[:, 1].copy())]
-            yield pa.RecordBatch.from_arrays(columns, [*KEY, "f", "g"])
+            for text in batch.column("_text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py(), words).view(np.int64))], ["s"])
 
     return run
 
 
-def agreement(similarity: float) -> float:
-    """The share of fingerprint bits in which two sets of equal size agree at a Jaccard similarity."""
-    return float(1 - np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+def frequent_shingles(texts: DataFrame, words: int, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several texts of a sample have, sorted, and in how many: at most ``FREQUENT``."""
+    step = max(1, texts.count() // sample)
+    some = texts.filter(F.pmod(F.xxhash64("_hash"), F.lit(step)) == 0).dropDuplicates(["_hash"]).select("_text")
+    counted = some.mapInArrow(_sampled(words), "s long").groupBy("s").count().filter("count > 1")
+    rows = counted.orderBy(F.desc("count"), "s").limit(FREQUENT).toArrow()
+    shingle, count = rows["s"].to_numpy().view(np.uint64), rows["count"].to_numpy()
+    order = np.argsort(shingle)
+    return shingle[order], count[order]
 
 
-def tables(count: int, similarity: float, recall: float = RECALL) -> np.ndarray:
-    """Bits of each table: enough bits that unlike documents rarely meet, enough tables that alike ones do."""
-    bits = max(12, int(np.ceil(np.log2(max(2, count)))))
-    n = int(np.ceil(np.log(1 - recall) / np.log(1 - agreement(similarity) ** bits)))
-    rng = np.random.default_rng(bits)
-    return np.array([rng.permutation(WIDTH)[:bits] for _ in range(n)])
+def prefix(shingles: np.ndarray, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a sorted set in the common order, by frequency and value, as many as the bound asks for."""
+    n = len(shingles)
+    known, count = frequent
+    if len(known) and n:
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        shingles = shingles[np.argsort(np.where(known[at] == shingles, count[at], 0), kind="stable")]
+    # The small number keeps a product that rounds up from asking for one shingle too many in common.
+    return shingles[: n - int(np.ceil(similarity * n - 1e-9)) + 1]
 
 
-def _entries(chosen: np.ndarray):
+def _postings(words: int, similarity: float, frequent: tuple[np.ndarray, np.ndarray]):
+    """A row for each shingle of a text's prefix. Texts without words share bucket 0."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = np.int64(1) << np.arange(chosen.shape[1], dtype=np.int64)
+        seen: set[int] = set()
         for batch in batches:
-            pair = np.stack([batch.column(c).to_numpy() for c in ("f", "g")], axis=1)
-            bits = np.unpackbits(np.ascontiguousarray(pair).view(np.uint8).reshape(-1, 16), axis=1, bitorder="little")
-            for k, own in enumerate(chosen):
-                bucket = (bits[:, own] @ weight) | np.int64(k << 48)
-                yes = pa.array(np.ones(len(bucket), bool))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), batch.column("f"), batch.column("g"), yes], ["bucket", "f", "g", "probe"])
+            bucket, node, size = [], [], []
+            for h, text in zip(batch.column("_hash").to_pylist(), batch.column("_text"), strict=True):
+                if h in seen:
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(h)
+                shingles = shingle_set(text.as_py(), words)
+                bucket.append(prefix(shingles, similarity, frequent).view(np.int64) if len(shingles) else np.zeros(1, np.int64))
+                node.append(h)
+                size.append(len(shingles))
+            if not node:
+                continue
+            length = np.fromiter(map(len, bucket), np.int64, len(bucket))
+            place = np.concatenate([np.arange(k) for k in length.tolist()]).astype(np.int32)
+            columns = [np.concatenate(bucket), np.repeat(np.array(node, np.int64), length), np.repeat(np.array(size, np.int32), length), place]
+            for i in range(0, len(place), 65_536):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 65_536]) for c in columns], ["bucket", *NODE])
 
     return run
 
 
-def _apart(f: np.ndarray, g: np.ndarray, f2: np.ndarray, g2: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(f ^ f2).astype(np.int16) + np.bitwise_count(g ^ g2)
-
-
-def _all(f: np.ndarray, g: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of a large bucket within ``most`` bits, some members at a time."""
-    for i in range(0, len(f), 128):
-        some = slice(i, i + 128)
-        near = _apart(f[some][:, None], g[some][:, None], f[i:], g[i:]) <= most
-        u, v = np.nonzero(np.triu(near, 1))
-        yield u + i, v + i
-
-
-def _pairs(most: int):
-    """All pairs of a bucket within ``most`` bits. None may stand for another before the shingles have been compared."""
+def _in_company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket and node: one of each, without those that are alone in their bucket."""
+    held, company = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [batch.column(c).to_numpy() for c in ("bucket", *NODE)]
+        if held is not None:
+            now = [np.r_[a, b] for a, b in zip(held, now, strict=True)]
+        bucket, node = now[:2]
+        new = np.r_[True, (bucket[1:] != bucket[:-1]) | (node[1:] != node[:-1])]
+        now = [c[new] for c in now]
+        same = now[0][1:] == now[0][:-1]
+        kept = np.r_[company, same] | np.r_[same, False]
+        held, company = [c[-1:] for c in now], bool(kept[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(c[:-1][kept[:-1]]) for c in now], ["bucket", *NODE])
+    if held is not None and company:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], ["bucket", *NODE])
+
+
+def _possible(similarity: float, n1: np.ndarray, place1: np.ndarray, n2: np.ndarray, place2: np.ndarray) -> np.ndarray:
+    """Whether sets can have the similarity if the shingles at these places are the first that they have in common."""
+    most = np.minimum(n1 - place1, n2 - place2)
+    asked = (n1.astype(np.int64) + n2) * (similarity / (1 + similarity)) - 1e-6
+    return (most >= asked) & (np.minimum(n1, n2) >= np.maximum(n1, n2) * similarity - 1e-6)
+
+
+def _pairs(similarity: float, rest: bool):
+    """Pairs of nodes that meet in a bucket and may be alike: all of a small bucket, and of a large one those with a few
+    of its members. With ``rest``, all pairs whose members have not been connected yet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, piece, f, g in whole_buckets(batches, "f", "g"):
-            f, g = f.view(np.uint64), g.view(np.uint64)
+        names = (*NODE, "component") if rest else NODE
+        for bucket, piece, node, n, place, *component in whole_buckets(batches, *names):
             new = np.r_[True, (bucket[1:] != bucket[:-1]) | (piece[1:] != piece[:-1])]
             group = np.cumsum(new) - 1
-            size = np.bincount(group)
-            few = size <= 16
-            u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            start, size = np.flatnonzero(new), np.bincount(group)
+
+            def batch(u: np.ndarray, v: np.ndarray, node=node, n=n, place=place) -> pa.RecordBatch:
+                good = _possible(similarity, n[u], place[u], n[v], place[v])
+                a, b = node[u[good]], node[v[good]]
+                return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["h1", "h2"])
+
+            few = (size <= FEW) & (not rest)
             for step in range(1, int(size[few].max(initial=0))):
                 i = np.flatnonzero((group[step:] == group[:-step]) & few[group[step:]])
-                i = i[_apart(f[i], g[i], f[i + step], g[i + step]) <= most]
-                u.append(i)
-                v.append(i + step)
-            start = np.flatnonzero(new)
-            for k in np.flatnonzero(~few).tolist():
-                part = slice(start[k], start[k] + size[k])
-                for a, b in _all(f[part], g[part], most):
-                    u.append(a + start[k])
-                    v.append(b + start[k])
-            u, v = np.concatenate(u), np.concatenate(v)
-            swap = (f[u] > f[v]) | ((f[u] == f[v]) & (g[u] > g[v]))
-            u, v = np.where(swap, v, u), np.where(swap, u, v)
-            columns = [pa.array(x.view(np.int64)) for x in (f[u], g[u], f[v], g[v])]
-            yield pa.RecordBatch.from_arrays(columns, ["f1", "g1", "f2", "g2"])
+                yield batch(i, i + step)
+            for k in np.flatnonzero(~few & (size > 1)).tolist():
+                members = np.arange(start[k], start[k] + size[k])
+                if not rest:
+                    # Other members in each bucket, so that no bad choice holds everywhere.
+                    mixed = (node[members].view(np.uint64) ^ bucket[members].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                    for c in members[np.argsort(mixed)[:CENTRES]].tolist():
+                        others = members[members != c]
+                        yield batch(np.full(len(others), c), others)
+                    continue
+                of = component[0]
+                for i in range(0, len(members), 128):
+                    some, later = members[i : i + 128], members[i:]
+                    u, v = np.nonzero(np.triu(of[some][:, None] != of[later], 1))
+                    if len(u):
+                        yield batch(some[u], later[v])
 
     return run
 
@@ -118,37 +162,53 @@ def _pairs(most: int):
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays([batch.column("f"), batch.column("g"), pa.array(sets, pa.list_(pa.int64()))], ["f", "g", "shingles"])
+            sets = [shingle_set(t.as_py(), words).view(np.int64) for t in batch.column("_text")]
+            yield pa.RecordBatch.from_arrays([batch.column("_hash"), pa.array(sets, pa.list_(pa.int64()))], ["h", "shingles"])
 
     return run
 
 
-def similar_links(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL, piece: int = PIECE) -> DataFrame:
-    """Pairs (a, b) of ``_id`` that connect texts whose shingle sets have the similarity, and copies of a text.
-
-    Of texts with the same 128 bits one is compared; they count as one, as do those with no shingle at all.
-    """
-    prints = written(texts.select(*KEY, "_text").mapInArrow(_wide(words), "_id long, _hash long, f long, g long"))
-    nodes = written(prints.groupBy("f", "g").agg(F.min(F.struct(*KEY)).alias("key")).select("f", "g", "key.*"))
-    chosen = tables(nodes.count(), similarity, recall)
-    spread = WIDTH * (1 - agreement(similarity))
-    most = int(spread + 3 * np.sqrt(spread))
-    entries = nodes.select("f", "g").mapInArrow(_entries(chosen), "bucket long, f long, g long, probe boolean")
-    near = in_pieces(entries, ["f", "g"], piece).mapInArrow(_pairs(most), "f1 long, g1 long, f2 long, g2 long")
-    near = written(near.distinct())
-    met = near.select(F.col("f1").alias("f"), F.col("g1").alias("g")).unionByName(near.select(F.col("f2").alias("f"), F.col("g2").alias("g")))
-    wanted = written(nodes.join(met.distinct(), ["f", "g"]))
+def _alike(pairs: DataFrame, texts: DataFrame, names: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (h1, h2) whose shingle sets have the similarity. Each set is made once, from one text of its hash."""
+    met = written(pairs.select(F.explode(F.array("h1", "h2")).alias("_hash")).distinct().join(names, "_hash"))
     # A row that is repeated would double the sets below.
-    held = texts.join(wanted, list(KEY)).dropDuplicates(list(KEY))
-    held = held.mapInArrow(_sets(words), "f long, g long, shingles array<long>")
-    held = written(held.join(nodes.select("f", "g", "_id"), ["f", "g"]))
-    one, two = (held.toDF(f"f{k}", f"g{k}", f"s{k}", f"id{k}") for k in (1, 2))
-    both = near.join(one, ["f1", "g1"]).join(two, ["f2", "g2"])
+    held = texts.join(met, list(KEY)).dropDuplicates(list(KEY)).select("_hash", "_text")
+    held = written(held.mapInArrow(_sets(words), "h long, shingles array<long>"))
+    one, two = (held.toDF(f"h{k}", f"s{k}") for k in (1, 2))
     shared = F.size(F.array_intersect("s1", "s2"))
     alike = shared >= similarity * (F.size("s1") + F.size("s2") - shared)
-    same = prints.join(nodes.withColumnsRenamed({"_id": "first", "_hash": "_first"}), ["f", "g"]).select(F.col("_id").alias("a"), F.col("first").alias("b"))
-    return both.filter(alike).select(F.col("id1").alias("a"), F.col("id2").alias("b")).unionByName(same.filter("a <> b"))
+    return written(pairs.join(one, "h1").join(two, "h2").filter(alike).select("h1", "h2"))
+
+
+def similar_links(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, piece: int = PIECE) -> DataFrame:
+    """Pairs (a, b) of ``_id`` that connect all texts whose shingle sets have the similarity, and copies of a text.
+
+    Texts with no shingle at all are alike. No pair is left out: where a bucket is large, pairs with a few members are
+    verified first, and then all others whose members these have not connected.
+    """
+    names = written(texts.groupBy("_hash").agg(F.min("_id").alias("_id")))
+    frequent = frequent_shingles(texts, words)
+    kinds = "bucket long, h long, n int, place int"
+    postings = texts.select("_hash", "_text").mapInArrow(_postings(words, similarity, frequent), kinds)
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    postings = postings.repartition(parts, "bucket").sortWithinPartitions("bucket", "h")
+    met = written(postings.mapInArrow(_in_company, kinds).withColumn("probe", F.lit(True)))
+    pairs = "h1 long, h2 long"
+    first = written(in_pieces(met, list(NODE), piece).mapInArrow(_pairs(similarity, rest=False), pairs).distinct())
+    links = _alike(first, texts, names, words, similarity)
+    joined = written(components(links.toDF("a", "b")))
+    large = written(met.groupBy("bucket").count().filter(F.col("count") > FEW).select("bucket"))
+    left = met.join(large, "bucket").join(joined.withColumnRenamed("node", "h"), "h", "left")
+    left = written(left.select("bucket", *NODE, F.coalesce("root", "h").alias("component"), "probe"))
+    apart = left.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    left = left.join(written(apart.select("bucket")), "bucket")
+    second = in_pieces(left, [*NODE, "component"], piece).mapInArrow(_pairs(similarity, rest=True), pairs).distinct()
+    second = written(second.join(first, ["h1", "h2"], "left_anti"))
+    links = links.unionByName(_alike(second, texts, names, words, similarity))
+    one, two = (names.toDF(f"h{k}", x) for k, x in ((1, "a"), (2, "b")))
+    found = links.join(one, "h1").join(two, "h2").select("a", "b")
+    same = texts.select("_id", "_hash").join(names.select("_hash", F.col("_id").alias("b")), "_hash").select(F.col("_id").alias("a"), "b")
+    return found.unionByName(same).filter("a <> b").distinct()
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:

@@ -127,6 +127,28 @@ def test_members_of_a_hot_group_find_their_partner(spark, frame):
     assert sum(r == found[300] for r in found.values()) >= 0.9 * 301
 
 
+@pytest.mark.parametrize("piece", [8192, 20])
+def test_no_similar_pair_is_lost(spark, frame, piece):
+    """Pairs just at the bound, in a hot group and outside it: connected as by brute force over all pairs."""
+    rng = random.Random(9)
+    rows = hot_group(rng, 120)
+    for k in range(500, 740, 2):
+        text = [f"w{rng.randrange(10_000)}" for _ in range(204)]
+        rows.append((k, " ".join(text)))
+        for place in range(4):
+            text[50 * place + 5 + rng.randrange(38)] = "other"
+        # 180 of 220 shingles in common are 0.82; two or three more words bring some pairs below the bound.
+        for place in range(rng.randrange(4)):
+            text[203 - place] = "more"
+        rows.append((k + 1, " ".join(text)))
+    rows += [(1000, ""), (1001, " \t"), (1002, None), (1003, "one"), (1004, "ONE"), (1005, "two")]
+    shingles = {i: set(zip(*[(t or "").lower().split()[n:] for n in range(5)])) or {(t or "").strip().lower()} for i, t in rows}
+    pairs = [(i, j) for i in shingles for j in shingles if i < j and len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
+    found = similar.similar_links(simhash.keyed(frame(rows)), piece=piece).collect()
+    assert roots([(r["a"], r["b"]) for r in found], shingles) == roots(pairs, shingles)
+    assert sum((k, k + 1) in set(pairs) for k in range(500, 740, 2)) > 60
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
