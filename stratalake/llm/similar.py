@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import KEY, keyed, with_key, written
+from stratalake.llm.common import KEY, NULL_ID, keyed, with_key, written
 from stratalake.llm.components import components
-from stratalake.llm.simhash import DISTANCE, PIECE, in_pieces, near_duplicates, shingle_hashes, whole_buckets
+from stratalake.llm.simhash import DISTANCE, PIECE, fingerprints, in_pieces, near_components, shingle_hashes, whole_buckets
 
 WORDS, SIMILARITY = 5, 0.8
 #: Texts whose shingles tell which are frequent, and the number of frequent ones that the order knows.
@@ -180,8 +180,8 @@ def _alike(pairs: DataFrame, texts: DataFrame, names: DataFrame, words: int, sim
     return written(pairs.join(one, "h1").join(two, "h2").filter(alike).select("h1", "h2"))
 
 
-def similar_links(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, piece: int = PIECE) -> DataFrame:
-    """Pairs (a, b) of ``_id`` that connect all texts whose shingle sets have the similarity, and copies of a text.
+def similar_texts(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, piece: int = PIECE) -> DataFrame:
+    """Pairs (h1, h2) of ``_hash`` that connect all texts whose shingle sets have the similarity.
 
     Texts with no shingle at all are alike. No pair is left out: where a bucket is large, pairs with a few members are
     verified first, and then all others whose members these have not connected.
@@ -204,24 +204,44 @@ def similar_links(texts: DataFrame, words: int = WORDS, similarity: float = SIMI
     left = left.join(written(apart.select("bucket")), "bucket")
     second = in_pieces(left, [*NODE, "component"], piece).mapInArrow(_pairs(similarity, rest=True), pairs).distinct()
     second = written(second.join(first, ["h1", "h2"], "left_anti"))
-    links = links.unionByName(_alike(second, texts, names, words, similarity))
-    one, two = (names.toDF(f"h{k}", x) for k, x in ((1, "a"), (2, "b")))
+    return links.unionByName(_alike(second, texts, names, words, similarity))
+
+
+def named(links: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """``links`` of texts as pairs (a, b) of the ``name`` of ``rows`` (name, ``_hash``), and pairs that connect the rows
+    of one text."""
+    first = written(rows.groupBy("_hash").agg(F.min(name).alias("first")))
+    one, two = (first.toDF(f"h{k}", x) for k, x in ((1, "a"), (2, "b")))
     found = links.join(one, "h1").join(two, "h2").select("a", "b")
-    same = texts.select("_id", "_hash").join(names.select("_hash", F.col("_id").alias("b")), "_hash").select(F.col("_id").alias("a"), "b")
+    same = rows.join(first, "_hash").select(F.col(name).alias("a"), F.col("first").alias("b"))
     return found.unionByName(same).filter("a <> b").distinct()
 
 
+def similar_links(texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, piece: int = PIECE) -> DataFrame:
+    """Pairs (a, b) of ``_id`` that connect texts whose shingle sets have the similarity, and copies of a text."""
+    return named(similar_texts(texts, words, similarity, piece), texts.select("_id", "_hash"), "_id")
+
+
 def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` but those that chain to a document with a smaller doc_id by near fingerprints (``distance``
-    bits, see ``simhash``) or by similar shingle sets; of rows that repeat an id, one.
+    bits, see ``simhash``) or by similar shingle sets. Only texts chain, never ids.
 
-    Texts without words are alike. A null doc_id comes after all others. All columns stay; an empty table stays empty.
+    Of rows that repeat an id one stays, and the others neither chain nor drop any document. A null doc_id names no
+    document: such rows come after all others and count each by its text. Texts without words are alike. All columns
+    stay; an empty table stays empty.
     """
     texts = keyed(docs)
-    by_print = near_duplicates(docs, distance=distance).filter("_id <> component")
+    keys = written(texts.select(*KEY).distinct())
+    chosen = keys.groupBy("_id", F.when(F.col("_id") == NULL_ID, F.col("_hash")).alias("own")).agg(F.min("_hash").alias("_hash"))
+    # A number for each row in the order of its key; written, so that it stays the same.
+    rows = written(chosen.select(*KEY).orderBy(*KEY).select(*KEY, F.monotonically_increasing_id().alias("row")))
+    texts = texts.join(written(keys.join(rows, list(KEY), "left_anti")), list(KEY), "left_anti")
+    prints = fingerprints(texts).dropDuplicates(list(KEY)).join(rows, list(KEY)).select(F.col("row").alias("_id"), "fp")
+    prints = written(prints)
+    by_print = prints.join(near_components(prints, distance), "fp").filter("_id <> component")
     by_print = by_print.select(F.col("_id").alias("a"), F.col("component").alias("b"))
-    gone = components(by_print.unionByName(similar_links(texts, words, similarity))).select(F.col("node").alias("_id"))
-    stay = texts.groupBy("_id").agg(F.min("_hash").alias("_hash"))
+    by_set = named(similar_texts(texts, words, similarity), rows, "row")
+    gone = written(components(by_print.unionByName(by_set)).select(F.col("node").alias("row")))
     held, back = with_key(docs)
-    held = held.join(written(stay.join(written(gone), "_id", "left_anti")), list(KEY))
+    held = held.join(written(rows.join(gone, "row", "left_anti").select(*KEY)), list(KEY))
     return back(held.dropDuplicates(list(KEY)))

@@ -85,6 +85,20 @@ def test_one_of_each_keeps_columns_and_one_row(awkward):
     assert len(ids) == len(set(ids)) and 3 not in ids and 2 in ids
 
 
+def test_only_texts_chain_not_ids(frame):
+    """Rows without an id, or with the same one, are like other documents each for itself."""
+    rng = random.Random(3)
+    one, two, three, four, five, six = (" ".join(f"w{rng.randrange(10_000)}" for _ in range(100)) for _ in range(6))
+    rows = [(5, one), (9, two), (None, one + " tail"), (None, two + " tail"), (None, three), (None, four), (None, None)]
+    rows += [(11, five), (12, six), (10, five + " tail"), (10, six + " tail")]
+    kept = [(r["doc_id"], r["text"]) for r in similar.one_of_each(frame(rows)).collect()]
+    assert {(5, one), (9, two), (None, three), (None, four), (None, None)} <= set(kept)
+    # One row of id 10 stays and replaces the document that it is like; the other one replaces none.
+    ten = [t for i, t in kept if i == 10]
+    assert ten == [five + " tail"] and (12, six) in kept or ten == [six + " tail"] and (11, five) in kept
+    assert len(kept) == 7
+
+
 @pytest.mark.parametrize("piece", [8192, 20])
 def test_similar_texts_are_found(spark, frame, piece):
     """Texts with more and more words replaced: at least nine in ten pairs at 0.8 and above, none below."""
