@@ -1,7 +1,7 @@
 """Licence scans: sparse TF-IDF cosine of notices to templates, then inheritance from the nearest licensed directory.
 
-Every line of a text is compared with every template, and so is the text as a whole, which finds licence files that
-break lines elsewhere. Words weigh by how few documents of the corpus have them. A file without a notice takes the
+Every line of a text is compared with every template, and so are the text as a whole and all runs of as many words as
+the template has, wherever lines break; these find notices in running prose, long lines and comment blocks. Words weigh by how few documents of the corpus have them. A file without a notice takes the
 licence of the nearest directory above it in which a licence file lies.
 """
 
@@ -75,7 +75,10 @@ class Weights:
 
     def vector(self, text: str) -> tuple[dict[str, float], float]:
         """Weights of the vocabulary's words in a text, and the length of the whole vector."""
-        counts = Counter(terms(text))
+        return self.vector_of(terms(text))
+
+    def vector_of(self, words: list[str]) -> tuple[dict[str, float], float]:
+        counts = Counter(words)
         known = {t: n * self.idf[t] for t, n in counts.items() if t in self.idf}
         rest = sum(n * n for t, n in counts.items() if t not in self.idf) * self.other**2
         return known, float(np.sqrt(sum(v * v for v in known.values()) + rest))
@@ -98,18 +101,70 @@ def corpus_weights(texts: DataFrame) -> Weights:
     return Weights({t: weigh(found.get(t, 0)) for t in VOCABULARY}, weigh(0))
 
 
+#: Score, number of words and name of a template.
+Match = tuple[float, int, str | None]
+NO_MATCH: Match = (0.0, 0, None)
+
+
+def _rank(match: Match) -> tuple[float, int, str]:
+    """The better score counts, of equal ones the longer template: other licences' notices end in "all rights reserved"."""
+    score, size, name = match
+    return round(score, 9), size, name or ""
+
+
 class Templates:
     def __init__(self, weights: Weights) -> None:
         self.weights = weights
-        self.entries = [(name, *weights.vector(text)) for name, text in TEMPLATES]
-
-    def best(self, text: str) -> tuple[str | None, float]:
+        self.entries = [(name, *weights.vector(text), len(terms(text))) for name, text in TEMPLATES]
+        self.code = {t: i for i, t in enumerate(VOCABULARY)}
+        # By code; the last place is that of all other words.
+        weight = np.array([*(weights.idf[t] for t in VOCABULARY), weights.other])
+        self.square = weight * weight
+        self.gain = [weight * [*(other.get(t, 0.0) for t in VOCABULARY), 0.0] for _, other, _, _ in self.entries]
+
+    def match(self, text: str) -> Match:
         vector, length = self.weights.vector(text)
         if not vector:
-            return None, 0.0
-        scores = [(sum(v * other.get(t, 0.0) for t, v in vector.items()) / (length * size), name) for name, other, size in self.entries]
-        score, name = max(scores, key=lambda s: (s[0], s[1]))
-        return name, min(score, 1.0)
+            return NO_MATCH
+        scores = ((sum(v * other.get(t, 0.0) for t, v in vector.items()) / (length * norm), n, name) for name, other, norm, n in self.entries)
+        score, n, name = max(scores, key=_rank)
+        return min(score, 1.0), n, name
+
+    def best(self, text: str) -> tuple[str | None, float]:
+        score, _, name = self.match(text)
+        return name, score
+
+    def window(self, text: str, least: float) -> Match:
+        """The best run of as many words as its template has, if its cosine is ``least`` or more.
+
+        Were all words of a run different its vector would be shortest, which bounds the cosine from above by running
+        sums; runs are scored where the bound leaves them a chance.
+        """
+        words = terms(text)
+        codes = np.fromiter((self.code.get(w, -1) for w in words), np.int64, len(words))
+        if not (codes >= 0).any():
+            return NO_MATCH
+        squares = np.r_[0.0, np.cumsum(self.square[codes])]
+        found = NO_MATCH
+        for (name, other, norm, n), gain in zip(self.entries, self.gain, strict=True):
+            if n > len(words):
+                continue
+            sums = np.r_[0.0, np.cumsum(gain[codes])]
+            bound = (sums[n:] - sums[:-n]) / (np.sqrt(squares[n:] - squares[:-n]) * norm)
+            chance = np.flatnonzero(bound >= least - 1e-6)
+            seen = set()
+            for i in chance[np.argsort(-bound[chance], kind="stable")].tolist():
+                if bound[i] < found[0] - 1e-6:
+                    break
+                run = tuple(words[i : i + n])
+                if run in seen:
+                    continue
+                seen.add(run)
+                vector, length = self.weights.vector_of(run)
+                score = min(sum(v * other.get(t, 0.0) for t, v in vector.items()) / (length * norm), 1.0)
+                if score >= least:
+                    found = max(found, (score, n, name), key=_rank)
+        return found
 
 
 def _scan(weights: Weights, least: float):
@@ -120,7 +175,8 @@ def _scan(weights: Weights, least: float):
             columns = (batch.column(c).to_pylist() for c in ("_id", "_hash", "_path", "_text"))
             for i, h, path, text in zip(*columns, strict=True):
                 lines = text.split("\n")
-                name, score = max((templates.best(part) for part in ([*lines, text] if len(lines) > 1 else lines)), key=lambda b: (b[1], b[0] or ""))
+                matches = [templates.match(part) for part in ([*lines, text] if len(lines) > 1 else lines)]
+                score, _, name = max(*matches, templates.window(text, least), key=_rank)
                 rows.append((i, h, path, name if score >= least else None, score))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())
             columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
@@ -147,7 +203,9 @@ def ancestors(folder: str) -> Column:
 def scan_licences(docs: DataFrame, path: Column, is_licence_file: Column | None = None, least: float = LEAST_COSINE) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, path, own, cosine, licence, inherited_from.
 
-    ``own`` is the licence of the best match, over all lines and the whole text, with a cosine of ``least`` or more.
+    ``own`` is the licence of the best match, over all lines, the whole text and all runs of as many words as a notice
+    has, with a cosine of ``least`` or more; of equal ones the longer notice counts. Where nothing matches, ``cosine`` is
+    the best of the lines and the whole text.
     ``licence`` is that, or else the one of the nearest directory at or above the file's with a licence file that has
     one; ``inherited_from`` names that directory (the root is empty). Of several licence files in a directory the
     licence that most of them have counts, ties by name. By default a file's name makes it a licence file; a condition

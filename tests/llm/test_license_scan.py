@@ -56,5 +56,25 @@ def test_words_outside_the_templates_weaken_a_match():
     assert templates.best("") == (None, 0.0)
 
 
+def test_notices_inside_longer_lines(spark):
+    """A notice counts wherever lines break: in a long line, in prose, in a comment block and in a minified file."""
+    prose = "Some words come before that have nothing to do with it, as they do in any readme of this kind."
+    mit = license_scan.TEMPLATES[4][1]
+    gpl = license_scan.TEMPLATES[7][1].split(" ")
+    texts = [
+        ("MIT", "Copyright (c) Microsoft Corporation. All rights reserved. Licensed under the MIT License."),
+        ("MIT", f"{prose} {mit}. {prose} {prose}"),
+        ("MIT", "/*! x.js v1 | Released under the MIT License. | x.org */" + "var a=function(b){return b+1};" * 200),
+        ("GPL-3.0", f"{prose}\n" + "\n".join(f"# {' '.join(gpl[i : i + 3])}" for i in range(0, len(gpl), 3)) + f"\n{prose * 3}"),
+        ("CC-BY-NC-4.0", f"{prose} Licensed under CC BY-NC 4.0. {prose}"),
+        (None, f"{prose} {prose}"),
+        (None, f"{prose} license license license license license license rights {prose}"),
+    ]
+    docs = spark.createDataFrame([(i, f"d{i}/x.txt", t) for i, (_, t) in enumerate(texts)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["own"], r["cosine"]) for r in scan_licences(docs, F.col("path")).collect()}
+    assert [got[i][0] for i in range(len(texts))] == [name for name, _ in texts]
+    assert got[0][1] == pytest.approx(1.0)
+
+
 def test_empty_table(tree):
     assert scan_licences(tree.limit(0), F.col("path")).collect() == []
