@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import (
+    bit_planes,
     decontam,
     exact_dedup,
+    filter_audit,
     license_scan,
     line_dedup,
     mixing,
@@ -87,6 +89,14 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_arrow.tokens_round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_planes.cluster_report(bit_planes.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_licence_scan": op1_licence_scan,
     "op2_mixing": op2_mixing,
@@ -98,9 +108,69 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_ids": op10_token_ids,
+    "op11_clustering": op11_clustering,
+    "op12_filter_audit": op12_filter_audit,
 }
 
+
+def _clustering_sql(k: int = 40, rounds: int = 5) -> str:
+    """Rounds of plain k-means over one row per component, each round a step of the statement."""
+    nearest = """a{r} AS MATERIALIZED (SELECT vec_id, min(d) AS distance, arg_min(c, (d, c)) AS c FROM (
+  SELECT vec_id, c, CAST(sum((x - y) * (x - y)) AS BIGINT) AS d FROM v JOIN c{r} USING (i) GROUP BY vec_id, c)
+  GROUP BY vec_id)"""
+    moved = """c{n} AS MATERIALIZED (SELECT c{r}.c, c{r}.i, coalesce(m, y) AS y FROM c{r} LEFT JOIN (
+  SELECT c, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS m FROM (
+    SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{r} USING (vec_id) GROUP BY c, i)) AS g
+  ON g.c = c{r}.c AND g.i = c{r}.i)"""
+    steps = [step for r in range(rounds) for step in (nearest.format(r=r), moved.format(r=r, n=r + 1))]
+    return rf"""
+WITH k AS (SELECT vec_id, embedding AS e FROM embeddings WHERE len(embedding) = 64
+  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS MATERIALIZED (SELECT vec_id, i, CAST(floor(256 * CAST(e[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM k, (SELECT unnest(range(1, 65)) AS i)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) - 1 AS c FROM k),
+c0 AS MATERIALIZED (SELECT CAST(c AS INTEGER) AS c, i, x AS y FROM f JOIN v USING (vec_id) WHERE c < {k}),
+{",".join(steps)},
+{nearest.format(r=rounds)},
+h AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, c AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a{rounds} JOIN h USING (c)"""
+
+
 ORACLES = {
+    "op11_clustering": _clustering_sql(),
+    "op12_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN coalesce(doc_id > first, first IS NOT NULL) THEN 'E' ELSE '' END AS fails
+  FROM d JOIN first USING (t) LEFT JOIN l USING (doc_id)),
+o AS (SELECT a || b || c || d || e AS filter_order FROM
+  (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS a), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS b),
+  (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS d),
+  (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS e) WHERE len(list_distinct([a, b, c, d, e])) = 5),
+g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails),
+s AS (SELECT g.part, filter_order, step, fails, n, good, toxic, filter_order[step] AS f,
+    len(list_filter(string_split(filter_order[1:step - 1], ''), lambda x: x <> '' AND contains(fails, x))) > 0 AS before
+  FROM g, o, (SELECT unnest(range(1, 6)) AS step)),
+c AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, any_value(f) AS f,
+    CAST(sum(n) FILTER (NOT before AND NOT contains(fails, f)) AS BIGINT) AS kept,
+    CAST(sum(n) FILTER (NOT before AND contains(fails, f)) AS BIGINT) AS removed,
+    CAST(sum(n) FILTER (before AND contains(fails, f)) AS BIGINT) AS redundant,
+    CAST(sum(n) FILTER (fails = f) AS BIGINT) AS unique_fails,
+    CAST(sum(good) FILTER (NOT before AND contains(fails, f)) AS BIGINT) AS good_lost,
+    CAST(sum(toxic) FILTER (NOT before AND contains(fails, f)) AS BIGINT) AS toxic_lost
+  FROM s GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed,
+  coalesce(redundant, 0) AS redundant, coalesce(unique_fails, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost,
+  coalesce(toxic_lost, 0) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM c""",
     "op2_mixing": r"""
 WITH d AS (
   SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS ord,

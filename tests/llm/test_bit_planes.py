@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import math
+from hashlib import sha256
+
+import numpy as np
+import pytest
+
+from stratalake.llm import bit_planes
+
+KINDS = "vec_id long, embedding array<double>, cluster string, planes int"
+
+
+def brute(rows, k, rounds, factor=256.0):
+    """Integer k-means in plain Python: (id, cluster, distance) and the centroids."""
+    kept = [
+        (i, [math.floor(factor * x) for x in v])
+        for i, v in rows
+        if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) and math.isfinite(factor * x) for x in v)
+    ]
+    low = min((x for _, v in kept for x in v), default=0)
+    width = max(1, max((x - low for _, v in kept for x in v), default=0).bit_length())
+
+    def tie(v):
+        plain = np.array([[x - low for x in v]], object)
+        return bit_planes.to_planes(plain, width).tobytes()
+
+    first = sorted(kept, key=lambda r: (r[0] is None, sha256(f"2:{r[0]}".encode()).hexdigest(), tie(r[1])))
+    centres = [v for _, v in first[:k]]
+    if not centres:
+        return [], []
+
+    def assign():
+        found = []
+        for i, v in kept:
+            apart = [sum((a - b) ** 2 for a, b in zip(v, c, strict=True)) for c in centres]
+            found.append((i, apart.index(min(apart)), min(apart), v))
+        return found
+
+    for _ in range(rounds):
+        found = assign()
+        for g in range(len(centres)):
+            mine = [v for _, c, _, v in found if c == g]
+            if mine:
+                centres[g] = [sum(x) // len(mine) for x in zip(*mine, strict=True)]
+    return [r[:3] for r in assign()], centres
+
+
+def spark_rows(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], KINDS)
+    found = bit_planes.cluster(df, **options)
+    return found, bit_planes.cluster_report(found).collect()
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
+
+
+def vectors(n, seed=5, size=1.0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, size, (6, 64))
+    return [(i, (centres[rng.integers(6)] + rng.normal(0, size / 3, 64)).tolist()) for i in range(n)]
+
+
+def test_equal_to_plain_integers(spark):
+    rows = vectors(300)
+    rows += [(7, rows[7][1]), (None, rows[9][1]), (None, rows[10][1]), (1000, [0.0] * 64), (1001, [0.0] * 64)]
+    found, report = spark_rows(spark, rows, k=9, rounds=4)
+    want, centres = brute(rows, 9, 4)
+    assert ordered((r["vec_id"], r["cluster"], r["distance"]) for r in report) == ordered(want)
+    assert found.centroids == centres
+    for r in report:
+        mine = [d for _, c, d in want if c == r["cluster"]]
+        assert r["cluster_inertia"] == sum(mine) and r["inertia"] == sum(d for _, _, d in want)
+        assert r["centroid_sha256"] == sha256(",".join(map(str, centres[r["cluster"]])).encode()).hexdigest()
+
+
+def test_vectors_left_out(spark):
+    good = vectors(5)
+    bad = [
+        (50, None), (51, []), (52, [0.5] * 63), (53, [0.5] * 65), (54, [0.5] * 63 + [None]),
+        (55, [0.5] * 63 + [math.nan]), (56, [0.5] * 63 + [math.inf]), (57, [1e307] * 64),
+    ]
+    _, report = spark_rows(spark, good + bad, k=40)
+    assert sorted(r["vec_id"] for r in report) == [0, 1, 2, 3, 4]
+    assert all(r["distance"] == 0 for r in report) and {r["cluster"] for r in report} == {0, 1, 2, 3, 4}
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)]])
+def test_nothing_to_cluster(spark, rows):
+    found, report = spark_rows(spark, rows)
+    assert report == [] and found.centroids == []
+
+
+@pytest.mark.parametrize(("size", "fits"), [(1e4, True), (1e6, False), (1e20, False)])
+def test_wide_components_are_exact(spark, size, fits):
+    rows = vectors(40, size=size)
+    found, report = spark_rows(spark, rows, k=4, rounds=2)
+    want, centres = brute(rows, 4, 2)
+    assert found.centroids == centres
+    assert [(r["vec_id"], r["cluster"]) for r in sorted(report)] == [w[:2] for w in sorted(want)]
+    assert [r["distance"] for r in sorted(report)] == [d if d < 1 << 63 else None for _, _, d in sorted(want)]
+    assert all((r["inertia"] is not None) == fits for r in report)
+
+
+def test_ties_and_copies(spark):
+    same = [0.25] * 64
+    found, report = spark_rows(spark, [(i, same) for i in range(500)], k=3, rounds=2)
+    assert {(r["cluster"], r["distance"]) for r in report} == {(0, 0)} and len(report) == 500
+    assert found.centroids == [[64] * 64] * 3
+
+
+def test_counts_of_bits_are_bounded_by_the_model(spark):
+    scale = bit_planes.Scale(256.0, -500, 10)
+    x = np.random.default_rng(1).integers(0, 1000, (2000, 64))
+    c = x[:40]
+    planes = bit_planes.to_planes(x, 10)
+    assert (bit_planes.dot_products(planes, bit_planes.to_planes(c, 10)) == x @ c.T).all()
+    assert (bit_planes.norms(planes) == (x * x).sum(axis=1)).all()
+    batch = bit_planes.pa.RecordBatch.from_arrays([bit_planes.pa.array([r.tobytes() for r in planes])], ["planes"])
+    out = list(bit_planes._set_bits(scale, bit_planes.to_planes(c, 10), iter([batch] * 3)))
+    assert len(out) == 1 and out[0].num_rows <= 40 * (1 + 10 * 64)
