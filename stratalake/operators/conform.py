@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from stratalake.functions.predicates import quoted
 from stratalake.functions.timedims import source_month, source_month_parts
 
+#: Bits of a file's number that tell the files of one month apart.
+NUMBER_BITS = 44
+
 
 def conform(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
     """Exactly ``columns`` (name -> type) in that order, then ``keep``; any other column is dropped.
@@ -34,10 +37,13 @@ def conform(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ())
     return df.select(*out, *keep)
 
 
-def add_provenance(df: DataFrame, source_file: Column, batch_id: str, month: Column | None = None) -> DataFrame:
+def add_provenance(
+    df: DataFrame, source_file: Column, batch_id: str, month: Column | None = None, at: Column | None = None
+) -> DataFrame:
     """File, delivery month, batch and time of each row.
 
-    ``month`` is read from the file name of every row unless the caller already has it per file.
+    ``month`` is read from the file name of every row unless the caller already has it per file; ``at`` is the current
+    time unless given.
     """
     stamped = df.withColumn("_source_file", source_file).withColumn(
         "_source_month", source_month(F.col("_source_file")) if month is None else month
@@ -46,11 +52,21 @@ def add_provenance(df: DataFrame, source_file: Column, batch_id: str, month: Col
         {
             **source_month_parts(F.col("_source_month")),
             "_batch_id": F.lit(batch_id),
-            "_ingested_at": F.current_timestamp(),
+            "_ingested_at": F.current_timestamp() if at is None else at,
         }
     )
 
 
+def file_number(source_file: Column, month: Column, salt: int = 0) -> Column:
+    """A number for a file: its delivery month first, then a hash of its key. It stands in for the whole provenance of
+    a row, in eight bytes, and needs no lookup to be made."""
+    year, mm = (F.substring(month, at, n).try_cast("bigint") for at, n in ((1, 4), (6, 2)))
+    months = F.coalesce(year * 12 + mm, F.lit(0))
+    return F.shiftleft(months, NUMBER_BITS).bitwiseOR(
+        F.xxhash64(source_file, F.lit(salt)).bitwiseAND(F.lit((1 << NUMBER_BITS) - 1))
+    )
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by column name; a column missing from one frame is NULL there."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)

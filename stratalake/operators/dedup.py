@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Distinct payloads that may be broadcast: at about 300 bytes each, 150 MB.
-MAX_CODES = 500_000
-CODE = "_payload_code"
+#: What a dictionary may take when it is sent to every executor, and what a row of file names takes at most.
+BROADCAST_BYTES = 256 << 20
+ROW_BYTES = 400
 
 
 def deduplicate(
@@ -41,31 +39,12 @@ def deduplicate(
     return survivors.select(*kept).withColumns(derived).select(*names)
 
 
-@contextmanager
-def coded_payload(
-    df: DataFrame, columns: Sequence[str], max_codes: int = MAX_CODES
-) -> Iterator[tuple[DataFrame, Callable[[DataFrame], DataFrame]]]:
-    """Stand one number in for ``columns`` that repeat over many rows, and a function that puts them back.
+def put_back(df: DataFrame, dictionary: DataFrame, code: str) -> DataFrame:
+    """``df`` with the columns of ``dictionary`` in place of ``code``, which names one row of it. A code that the
+    dictionary lacks leaves its columns NULL."""
+    return df.join(dictionary, code, "left").drop(code)
 
-    Numbers follow the order of the columns, so the smallest number is the smallest payload. A shuffle then carries
-    eight bytes per row instead of the text, and ``deduplicate`` can hash. Payloads are range-sorted and numbered over
-    many tasks, and the lookup is checkpointed, because a number must stay with its payload. Up to ``max_codes`` of
-    them the lookup is broadcast both ways; above it both joins are left to the planner, which splits a hot payload.
-    """
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    payloads = df.select(*columns).distinct().repartitionByRange(n, *columns).sortWithinPartitions(*columns)
-    names = [f"_payload_{i}" for i in range(len(columns))]
-    codes = payloads.withColumn(CODE, F.monotonically_increasing_id()).toDF(*names, CODE).checkpoint()
-    lookup = F.broadcast(codes) if codes.count() <= max_codes else codes
-    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(columns, names, strict=True)]
-    coded = df.join(lookup, same, "inner").select(*[c for c in df.columns if c not in columns], CODE)
-
-    def restore(out: DataFrame) -> DataFrame:
-        return out.join(lookup, CODE).drop(CODE).withColumnsRenamed(dict(zip(names, columns, strict=True)))
 
-    yield coded, restore
+def within_bound(dictionary: DataFrame) -> DataFrame:
+    """The dictionary, to be broadcast if its rows, counted, are within ``BROADCAST_BYTES``; else the planner joins it."""
+    return F.broadcast(dictionary) if dictionary.count() * ROW_BYTES <= BROADCAST_BYTES else dictionary

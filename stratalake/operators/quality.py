@@ -6,7 +6,6 @@ A check states when a row is valid. A predicate that is NULL counts as failed. B
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -53,20 +52,20 @@ class Check:
 def bound(df: DataFrame, checks: Sequence[Check]) -> list[Check]:
     """The checks with the clock read once, now, for every query that will use them.
 
-    Functions that tell the time are replaced in SQL text, outside quotes. A predicate that may answer differently when
-    asked twice (``rand()``, or the clock inside a Column) is refused, because a row could then be valid for one table
-    and for the other alike, or for neither.
+    Which words of a rule tell the time is decided as Spark decides it: the parser says what is a function and what a
+    name, with its place in the text, and a name that ``df`` has as a column is that column. A predicate that may answer
+    differently when asked twice (``rand()``, or the clock inside a Column) is refused, because a row could then be valid
+    for one table and for the other alike, or for neither.
     """
     clock = None
     out = []
     for check in checks:
         rule = check.valid_when
-        if isinstance(rule, str) and any(CLOCK.search(part) for part in QUOTED.split(rule)[::2]):
-            if clock is None:
-                clock = _clock(df)
-            rule = "".join(
-                part if i % 2 else CLOCK.sub(lambda m: clock[m[1].lower()], part) for i, part in enumerate(QUOTED.split(rule))
-            )
+        places = _clock_places(df, rule) if isinstance(rule, str) else []
+        if places:
+            clock = clock or _clock(df)
+            for start, stop, name in sorted(places, reverse=True):
+                rule = rule[:start] + clock[name] + rule[stop:]
         plan = df.select(Check(check.name, rule).predicate.alias("p"))._jdf.queryExecution().analyzed()
         if not plan.deterministic() or _tells_time(plan.expressions()):
             raise ValueError(f"check {check.name!r} does not give the same answer whenever it is asked")
@@ -74,8 +73,28 @@ def bound(df: DataFrame, checks: Sequence[Check]) -> list[Check]:
     return out
 
 
-CLOCK = re.compile(r"\b(current_timestamp|now|localtimestamp|current_date|curdate)\b(?:\s*\(\s*\))?(?!\s*\()", re.I)
-QUOTED = re.compile(r"""('(?:[^'\\\\]|\\\\.)*'|"(?:[^"\\\\]|\\\\.)*"|`[^`]*`)""")
+#: Functions without arguments that tell the time; those that may stand without brackets, if no column has the name.
+CLOCK = ("current_timestamp", "now", "localtimestamp", "current_date", "curdate", "unix_timestamp")
+BARE_CLOCK = ("current_timestamp", "localtimestamp", "current_date")
+
+
+def _clock_places(df: DataFrame, rule: str) -> list[tuple[int, int, str]]:
+    """Start, end and name of what tells the time in a rule."""
+    columns = {c.lower() for c in df.columns}
+    out = []
+
+    def visit(node) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind in ("UnresolvedFunction", "UnresolvedAttribute") and node.nameParts().size() == 1:
+            name = node.nameParts().apply(0).lower()
+            calls = kind == "UnresolvedFunction" and name in CLOCK and node.children().size() == 0
+            if calls or (kind == "UnresolvedAttribute" and name in BARE_CLOCK and name not in columns):
+                out.append((node.origin().startIndex().get(), node.origin().stopIndex().get() + 1, name))
+        for i in range(node.children().size()):
+            visit(node.children().apply(i))
+
+    visit(df.sparkSession._jsparkSession.sessionState().sqlParser().parseExpression(rule))
+    return out
 
 
 def _tells_time(expressions) -> bool:
@@ -99,6 +118,7 @@ def _clock(df: DataFrame) -> dict[str, str]:
         "localtimestamp": f"TIMESTAMP_NTZ '{row['here']}'",
         "current_date": day,
         "curdate": day,
+        "unix_timestamp": f"{row['micros'] // 1_000_000}L",
     }
 
 
@@ -142,6 +162,10 @@ def check_metrics(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         F.count(F.lit(1)).alias("rows_in"),
         *[F.count_if(c.failed).alias(f"_failed_{i}") for i, c in enumerate(checks)],
     )
+    return _per_check(counts, checks)
+
+
+def _per_check(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
     if not checks:
         return counts.selectExpr(
             "'' AS check", "'' AS severity", "rows_in", "0L AS rows_failed", "true AS passed"
@@ -153,6 +177,23 @@ def check_metrics(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return rows.select("check", "severity", "rows_in", "rows_failed", (F.col("rows_failed") == 0).alias("passed"))
 
 
+def check_counts(df: DataFrame, checks: Sequence[Check], keys: Sequence[str]) -> DataFrame:
+    """For each group of ``keys``: ``rows_in`` and ``rows_failed``, failures by check name. Groups can be counted apart
+    and added up, see ``metrics_of``."""
+    failed = [F.count_if(c.failed).alias(f"_failed_{i}") for i, c in enumerate(checks)]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_in"), *failed)
+    cells = [x for i, c in enumerate(checks) for x in (F.lit(c.name), F.col(f"_failed_{i}"))]
+    named = F.create_map(*cells) if cells else F.lit(None)
+    return counts.select(*keys, "rows_in", named.cast("map<string,bigint>").alias("rows_failed"))
+
+
+def metrics_of(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Check metrics from counts by group."""
+    failed = [F.coalesce(F.sum(F.col("rows_failed")[c.name]), F.lit(0)).alias(f"_failed_{i}") for i, c in enumerate(checks)]
+    total = counts.agg(F.coalesce(F.sum("rows_in"), F.lit(0)).alias("rows_in"), *failed)
+    return _per_check(total, checks)
+
+
 @dataclass(frozen=True)
 class Split:
     """Valid rows, quarantined rows and metrics of one frame, each planned when it is asked for."""

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.sources import versions
+
 GIB = 1 << 30
 # Map and reduce tasks both grow with the data, and shuffle blocks with their product; past these counts tasks grow
 # instead, and the sorts behind them spill.
@@ -22,10 +24,12 @@ SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of the parquet files of a table, from the listing."""
+def table_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the parquet files of a table, or below some folders, from the listing. Of a table with versions, only
+    the published ones count."""
+    live = [place for path in paths for place in (versions.live_paths(spark, path) or [path])]
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    return listing.load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).collect()[0]["bytes"]
+    return listing.load(live).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).collect()[0]["bytes"]
 
 
 def shuffle_partitions_for(input_bytes: int) -> int:

@@ -2,7 +2,8 @@
 
 Parquet stores 64-bit integers and doubles differently, and no single read schema fits both, so one scan over all
 files fails. Files are grouped by the types they really have and each group gets one scan: the plan grows with the
-number of variants, not with the number of files.
+number of variants, not with the number of files. One job reads every footer once, in whatever order types change.
+Where Python cannot open the files' store, Spark's own merges of footers find the groups by halving.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.conform import conform, union_by_name
+from stratalake.sources.footers import file_types, uniform_folders, variants
 
 SOURCE_PATH = "_source_path"
 MERGE_THREADS = 8
@@ -28,16 +30,64 @@ def parquet_files(spark: SparkSession) -> DataFrameReader:
 def schema_groups(
     spark: SparkSession, folders: Sequence[str], columns: Mapping[str, str]
 ) -> list[tuple[T.StructType, list[str]]]:
-    """Schemas of the wanted columns, each with the deliveries (folders, or single files) that have it.
+    """Schemas of the wanted columns, each with the folders, or single files, that have it.
 
-    Distributed merges of footers prove what fits together; nothing is opened by the driver file by file.
+    Schemas that agree on the columns they share are one group: a column that a file lacks reads as NULL.
     """
     wanted = {name.lower() for name in columns}
+    files = parquet_files(spark).format("binaryFile").load(list(folders)).select("path")
+    types = file_types(files, columns).cache()
+    try:
+        found = variants(types)
+        if any(row["types"] is None for row in found):
+            return _merged_groups(spark, folders, wanted)
+        with ThreadPoolExecutor(MERGE_THREADS) as pool:
+            # Spark names the types of a variant itself, from one of its files.
+            schemas = pool.map(lambda row: parquet_files(spark).parquet(row["path"]).schema, found)
+        groups: list[tuple[T.StructType, list[str]]] = []
+        for row, schema in sorted(zip(found, schemas, strict=True), key=lambda pair: (-pair[0]["files"], pair[0]["path"])):
+            fields = _wanted_fields(schema, wanted)
+            for i, (known, members) in enumerate(groups):
+                united = _united(known, fields)
+                if united is not None:
+                    groups[i] = united, [*members, row["types"]]
+                    break
+            else:
+                groups.append((fields, [row["types"]]))
+        if len(groups) < 2:
+            return [(schema, list(folders)) for schema, _ in groups]
+        names = [(t, i) for i, (_, members) in enumerate(groups) for t in members]
+        numbered = types.join(F.broadcast(spark.createDataFrame(names, "types string, variant int")), "types")
+        tops = uniform_folders(numbered, [_qualified(spark, f) for f in folders]).collect()
+        return [(schema, sorted(r["folder"] for r in tops if r["variant"] == i)) for i, (schema, _) in enumerate(groups)]
+    finally:
+        types.unpersist()
+
+
+def _wanted_fields(schema: T.StructType, wanted: set[str]) -> T.StructType:
+    return T.StructType(sorted((f for f in schema.fields if f.name.lower() in wanted), key=lambda f: f.name.lower()))
+
+
+def _united(one: T.StructType, two: T.StructType) -> T.StructType | None:
+    """Both schemas' columns, or None if a column that they share has two types."""
+    kinds = {f.name.lower(): f.dataType.simpleString() for f in one.fields}
+    if any(kinds.get(f.name.lower(), f.dataType.simpleString()) != f.dataType.simpleString() for f in two.fields):
+        return None
+    return T.StructType([*one.fields, *(f for f in two.fields if f.name.lower() not in kinds)])
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as file listings spell it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def _merged_groups(spark: SparkSession, folders: Sequence[str], wanted: set[str]) -> list[tuple[T.StructType, list[str]]]:
     groups: dict[tuple, tuple[T.StructType, list[str]]] = {}
     for schema, paths in _proven_schemas(spark, _deliveries(spark, folders)):
-        fields = sorted((f for f in schema.fields if f.name.lower() in wanted), key=lambda f: f.name.lower())
+        fields = _wanted_fields(schema, wanted)
         key = tuple((f.name.lower(), f.dataType.simpleString()) for f in fields)
-        groups.setdefault(key, (T.StructType(fields), []))[1].extend(paths)
+        groups.setdefault(key, (fields, []))[1].extend(paths)
     return list(groups.values())
 
 

@@ -158,8 +158,10 @@ def read_conformed(
     columns: dict[str, str],
     batch_id: str,
     months: Sequence[str] | None = None,
+    at: Column | None = None,
 ) -> DataFrame:
-    """All landed rows of a dataset (or of some months) in fixed types, with provenance."""
+    """All landed rows of a dataset (or of some months) in fixed types, with provenance; ``at`` as in
+    ``add_provenance``."""
     folders = _folders(lake, dataset, months)
     try:
         rows = scan_conformed(spark, folders, columns)
@@ -172,7 +174,16 @@ def read_conformed(
         rows = rows.join(F.broadcast(files), SOURCE_PATH, "left")
         key = F.coalesce(F.col("_file_key"), key)
         month = F.coalesce(F.col("_file_month"), source_month(F.col("_source_file")))
-    return add_provenance(rows, key, batch_id, month).drop(SOURCE_PATH, "_file_key", "_file_month")
+    return add_provenance(rows, key, batch_id, month, at).drop(SOURCE_PATH, "_file_key", "_file_month")
+
+
+def landed_files(
+    spark: SparkSession, lake: str, dataset: str, batch_id: str, months: Sequence[str] | None, at: Column
+) -> DataFrame:
+    """Provenance of each landed file (of some months), from the listing alone."""
+    files = _file_names(spark, _folders(lake, dataset, months), dataset)
+    named = add_provenance(files, F.col("_file_key"), batch_id, F.col("_file_month"), at)
+    return named.drop(SOURCE_PATH, "_file_key", "_file_month")
 
 
 def _file_names(spark: SparkSession, folders: Sequence[str], dataset: str) -> DataFrame:

@@ -7,9 +7,18 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.sources.versions import read_published
+
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """``schema`` (DDL) saves the footer read of plain parquet and keeps folder values such as ``'04'`` as text."""
+    """``schema`` (DDL) saves the footer read of plain parquet and keeps folder values such as ``'04'`` as text.
+
+    Of a parquet table with versions, the published rows are read.
+    """
+    if fmt == "parquet":
+        published = read_published(spark, path, schema)
+        if published is not None:
+            return published
     reader = spark.read.format(fmt)
     if schema and fmt != "delta":
         reader = reader.schema(schema)
@@ -62,12 +71,10 @@ def overwrite_table(
     writer.save(path)
 
 
-def drop_folders(spark: SparkSession, path: str, folders: Sequence[str]) -> None:
-    """Remove partition folders of a plain file table; those that do not exist are passed over."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for folder in folders:
-        place = hadoop.Path(f"{path}/{folder}")
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+def replace_rows(df: DataFrame, path: str, partition_by: Sequence[str], where: str, *, fmt: str) -> None:
+    """Replace the rows that meet ``where`` in one commit of a table format that has commits; a month that comes
+    without rows is emptied."""
+    df.write.format(fmt).mode("overwrite").option("replaceWhere", where).partitionBy(*partition_by).save(path)
 
 
 def append_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:

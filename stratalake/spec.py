@@ -17,6 +17,8 @@ PROVENANCE = {
     "_batch_id": "string",
     "_ingested_at": "timestamp",
 }
+#: The number of a row's file, in bronze and in the dictionary of its files.
+FILE_NUMBER = "_file_number"
 BRONZE_PARTITIONS = ("source_year", "source_month")
 HISTORY_SCHEMA = (
     "check string, severity string, rows_in bigint, rows_failed bigint, passed boolean, layer string, dataset string, "
@@ -76,6 +78,16 @@ class DatasetSpec:
     def rejected_table(self) -> str:
         return f"{self.table}_rejected"
 
+    @property
+    def files_table(self) -> str:
+        """Provenance by file number."""
+        return f"{self.table}_files"
+
+    @property
+    def counts_table(self) -> str:
+        """Check counts by the month of the time column."""
+        return f"{self.table}_counts"
+
     @property
     def fact_table(self) -> str:
         return f"fact_{self.table}"
@@ -103,6 +115,19 @@ class DatasetSpec:
     def bronze_schema(self) -> str:
         return ddl({**self.columns, **PROVENANCE})
 
+    @property
+    def numbered_schema(self) -> str:
+        """What the silver job reads of bronze."""
+        return ddl({**self.columns, **PROVENANCE, FILE_NUMBER: "bigint"})
+
+    @property
+    def files_schema(self) -> str:
+        return ddl({FILE_NUMBER: "bigint", **PROVENANCE})
+
+    @property
+    def counts_schema(self) -> str:
+        return ddl({**{c: "int" for c in self.silver_partitions}, "rows_in": "bigint", "rows_failed": "map<string,bigint>"})
+
     @property
     def silver_schema(self) -> str:
         return ddl({**self.columns, **PROVENANCE, **self.time_columns})

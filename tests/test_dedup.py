@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 from golden import SPEC
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stratalake.operators.dedup import coded_payload, deduplicate
+from stratalake.operators import dedup
+from stratalake.operators.conform import file_number
+from stratalake.operators.dedup import deduplicate, put_back, within_bound
 from stratalake.plans.jobs import dedup_rows
 
 
@@ -49,24 +52,50 @@ def hot_rows(spark):
     )
 
 
-def test_coded_payload_changes_nothing_but_the_plan(spark):
-    rows = hot_rows(spark)
-    plain = deduplicate(rows, ["k", "v"])
-    with coded_payload(rows, ["f", "b"]) as (coded, restore):
-        out = restore(deduplicate(coded, ["k", "v"])).select(*rows.columns)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "SortAggregate" not in plan
-        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+def numbered(spark, rows, columns, order):
+    """Rows with a number for ``columns``, and the dictionary of numbers, in the order of the columns."""
+    dictionary = rows.select(*columns).distinct().withColumn("code", F.dense_rank().over(Window.orderBy(*order)).cast("long"))
+    same = [rows[c].eqNullSafe(dictionary[c]) for c in columns]
+    coded = rows.join(dictionary, same).select(*[rows[c] for c in rows.columns if c not in columns], "code")
+    return coded, dictionary
 
 
-def test_many_payloads_are_coded_without_a_broadcast_hint(spark):
+def test_a_number_changes_nothing_but_the_plan(spark):
     rows = hot_rows(spark)
     plain = deduplicate(rows, ["k", "v"])
-    with coded_payload(rows, ["f", "b"], max_codes=39) as (coded, restore):
-        out = restore(deduplicate(coded, ["k", "v"])).select(*rows.columns)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "SortAggregate" not in plan and "rs=broadcast" not in out._jdf.queryExecution().logical().toString()
-        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+    coded, dictionary = numbered(spark, rows, ["f", "b"], ["f", "b"])
+    coded.write.mode("overwrite").saveAsTable("coded_rows")
+    out = put_back(deduplicate(spark.table("coded_rows"), ["k", "v"]), within_bound(dictionary), "code").select(*rows.columns)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("HashAggregate") :]
+    assert "SortAggregate" not in plan and "Join" not in below.split("coded_rows")[0]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+    spark.sql("DROP TABLE coded_rows")
+
+
+def test_a_large_dictionary_is_joined_without_a_broadcast_hint(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BROADCAST_BYTES", 39 * dedup.ROW_BYTES)
+    rows = hot_rows(spark)
+    coded, dictionary = numbered(spark, rows, ["f", "b"], ["f", "b"])
+    out = put_back(deduplicate(coded, ["k", "v"]), within_bound(dictionary), "code").select(*rows.columns)
+    assert "strategy=broadcast" not in out._jdf.queryExecution().logical().toString()
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, deduplicate(rows, ["k", "v"]).collect()))
+
+
+def test_a_number_that_the_dictionary_lacks(spark):
+    coded = spark.createDataFrame([(1, 5), (1, 3), (2, 7), (3, None)], "k int, code long")
+    dictionary = spark.createDataFrame([(3, "a", None), (5, "b", "x")], "code long, f string, b string")
+    out = put_back(deduplicate(coded, ["k"]), within_bound(dictionary), "code").select("k", "f", "b")
+    assert sorted(map(tuple, out.collect())) == [(1, "a", None), (2, None, None), (3, None, None)]
+
+
+def test_file_numbers_order_by_month_and_differ(spark):
+    rows = [(f"f{i}", m) for m in ("2022-12", "2023-01", "", "2023-02", "x") for i in range(200)]
+    out = spark.createDataFrame(rows, "f string, m string").withColumn("n", file_number(F.col("f"), F.col("m"))).collect()
+    assert len({r["n"] for r in out if r["m"] not in ("", "x")}) == 600 and None not in {r["n"] for r in out}
+    by_month = {m: [r["n"] for r in out if r["m"] == m] for m in ("", "2022-12", "2023-01", "2023-02")}
+    assert max(by_month[""]) < min(by_month["2022-12"]) and max(by_month["2022-12"]) < min(by_month["2023-01"])
+    assert max(by_month["2023-01"]) < min(by_month["2023-02"])
 
 
 def test_silver_dedup_hashes(spark):
@@ -76,13 +105,6 @@ def test_silver_dedup_hashes(spark):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
-def test_coded_payload_with_nulls(spark):
-    rows = spark.createDataFrame([(1, None, "x"), (1, "a", "x"), (2, "b", None)], "k int, f string, b string")
-    with coded_payload(rows, ["f", "b"]) as (coded, restore):
-        out = restore(deduplicate(coded, ["k"])).select("k", "f", "b")
-        assert sorted(map(tuple, out.collect())) == [(1, None, "x"), (2, "b", None)]
-
-
 def test_copies_leave_a_task_once(spark):
     """Aggregation starts before the shuffle, so a hot row cannot fill one reducer."""
     df = spark.range(10).select(*[F.lit(1).cast(t).alias(c) for c, t in {**SPEC.columns, "tpep_pickup_datetime": "int", "tpep_dropoff_datetime": "int"}.items()])  # noqa: E501

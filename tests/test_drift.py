@@ -78,6 +78,51 @@ def test_merges_grow_with_variants_and_the_logarithm_of_deliveries(spark, lake,
     assert scan_conformed(spark, [landing_root(lake, "x")], COLUMNS).count() == 320
 
 
+def test_alternating_types_need_one_footer_job(spark, lake, monkeypatch):
+    """Halving would need a merge per delivery here; footers are read once, whatever the order of the types."""
+    for m in range(1, 33):
+        deliver(spark, lake, f"{2000 + m}-01", ["id", f"cast(id AS {'bigint' if m % 2 else 'double'}) AS p"])
+    jobs, merges = [], []
+    read = drift.file_types
+    monkeypatch.setattr(drift, "file_types", lambda files, columns: jobs.append(1) or read(files, columns))
+    monkeypatch.setattr(drift, "_merged_schema", lambda session, paths: merges.append(paths))
+    groups = schema_groups(spark, [landing_root(lake, "x")], COLUMNS)
+    assert sorted(len(paths) for _, paths in groups) == [16, 16] and len(jobs) == 1 and merges == []
+    assert rows(scan_conformed(spark, [landing_root(lake, "x")], COLUMNS)) == sorted([(i, float(i)) for i in range(10)] * 32)
+
+
+def test_uniform_years_are_one_folder_each(spark, lake):
+    for year, kind in ((2021, "bigint"), (2022, "double"), (2023, "double")):
+        for m in (1, 2, 3):
+            deliver(spark, lake, f"{year}-{m:02d}", ["id", f"cast(id AS {kind}) AS p"])
+    deliver(spark, lake, "2023-04", ["id", "cast(id AS string) AS p"])
+    groups = {s["p"].dataType.simpleString(): [p.split("/x/")[1] for p in paths] for s, paths in schema_groups(spark, [landing_root(lake, "x")], COLUMNS)}
+    assert groups == {
+        "bigint": ["year=2021"],
+        "double": ["year=2022", "year=2023/month=01", "year=2023/month=02", "year=2023/month=03"],
+        "string": ["year=2023/month=04"],
+    }
+    one_type = schema_groups(spark, [landing_month(lake, "x", "2023-01"), landing_month(lake, "x", "2023-02")], COLUMNS)
+    assert [len(paths) for _, paths in one_type] == [2]
+
+
+def test_stores_that_python_cannot_open_are_merged_by_spark(spark, lake, monkeypatch):
+    for m in range(1, 6):
+        deliver(spark, lake, f"2023-0{m}", ["id", f"cast(id AS {'bigint' if m < 3 else 'double'}) AS p"])
+    whole = schema_groups(spark, [landing_root(lake, "x")], COLUMNS)
+    monkeypatch.setattr(drift, "file_types", lambda files, columns: files.selectExpr("path", "cast(null AS string) AS types"))
+    halved = schema_groups(spark, [landing_root(lake, "x")], COLUMNS)
+    assert {s["p"].dataType.simpleString() for s, _ in whole} == {s["p"].dataType.simpleString() for s, _ in halved} == {"bigint", "double"}
+    assert rows(scan_conformed(spark, [landing_root(lake, "x")], COLUMNS)) == sorted([(i, float(i)) for i in range(10)] * 5)
+
+
+def test_types_stored_alike_are_told_apart(spark, lake):
+    """An interval is stored as a plain 64-bit integer; Spark's own note in the footer says which it is."""
+    deliver(spark, lake, "2023-01", ["id", "cast(id AS bigint) AS p"])
+    deliver(spark, lake, "2023-02", ["id", "make_dt_interval(0, 0, 0, id) AS p"])
+    assert len(schema_groups(spark, [landing_root(lake, "x")], COLUMNS)) == 2
+
+
 def test_one_file_with_two_spellings_of_a_column(spark, lake):
     folder = deliver(spark, lake, "2023-01", ["id", "1.5D AS p"])
     spark.range(10, 20).selectExpr("id AS ID", "cast(id AS double) AS P").coalesce(1).write.mode("append").parquet(folder)

@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 from golden import FAILED, Q1, Q2, QUARANTINED, RAW, SPEC, VALID, golden, land_golden
+from pyspark.sql import functions as F
 
 from stratalake.__main__ import execute, parse, window
 from stratalake.datasets.trips import HOURLY_MART, MONTHLY_MART, green, yellow
@@ -13,6 +14,7 @@ from stratalake.operators import quality
 from stratalake.operators.quality import BLOCK, Check
 from stratalake.plans import jobs
 from stratalake.plans.sql import hour_mean_query, month_mean_query, register_views
+from stratalake.sources import versions
 from stratalake.sources.layout import landing_month, table_path
 from stratalake.sources.tables import read_optional, read_table
 from stratalake.spec import DatasetSpec
@@ -107,6 +109,116 @@ def test_silver_refuses_chance_and_missing_rows(spark, lake, monkeypatch):
         jobs.run_silver(spark, SPEC, lake, "r")
 
 
+def everything(spark, lake, spec=SPEC):
+    """Published rows of silver without what names the run, and the counts table."""
+    valid = table(spark, lake, "silver", spec.table, spec.silver_schema).drop("_batch_id", "_ingested_at")
+    rejected = table(spark, lake, "silver", spec.rejected_table, spec.rejected_schema).drop("_batch_id", "_ingested_at")
+    counts = table(spark, lake, "silver", spec.counts_table, spec.counts_schema)
+    return [sorted(map(repr, df.collect())) for df in (valid, rejected, counts)]
+
+
+def redeliver(spark, lake, month, rows):
+    rows.write.mode("overwrite").parquet(f"{landing_month(lake, 'yellow', month)}/yellow_tripdata_{month}.parquet")
+
+
+@pytest.mark.parametrize("month", ["2023-01", "2023-02"])
+@pytest.mark.parametrize("kept", ["false", "total_amount < 35", "VendorID = 2 OR tpep_pickup_datetime IS NULL"])
+def test_some_months_again_equal_a_full_run(spark, lake, month, kept):
+    """Copies of all rows lie in two deliveries: what one no longer has survives from the other, and what is new in the
+    earlier one takes over. A third delivery is not touched."""
+    extra = golden(spark).withColumn("total_amount", F.col("total_amount") + 1000)
+    for m in ("2023-01", "2023-02"):
+        land_golden(spark, lake, m)
+    redeliver(spark, lake, "2023-03", extra)
+    jobs.run_bronze(spark, SPEC, lake, "b1")
+    jobs.run_silver(spark, SPEC, lake, "r1")
+    new = golden(spark).filter(kept).unionByName(extra.limit(3).withColumn("trip_distance", F.lit(0.5)))
+    redeliver(spark, lake, month, new)
+    jobs.run_bronze(spark, SPEC, lake, "b2", months=[month])
+    jobs.run_silver(spark, SPEC, lake, "r2", months=[month])
+    found, history = everything(spark, lake), sorted(map(repr, jobs.check_history(spark, lake, "r2").drop("run_id").collect()))
+    jobs.run_silver(spark, SPEC, lake, "r3")
+    assert found == everything(spark, lake)
+    assert history == sorted(map(repr, jobs.check_history(spark, lake, "r3").drop("run_id").collect()))
+    quality.assert_reconciled(jobs.reconcile_layers(spark, SPEC, lake))
+
+
+def test_only_changed_months_are_written_again(spark, lake):
+    land_golden(spark, lake, "2023-01")
+    jobs.run_bronze(spark, SPEC, lake, "b1")
+    jobs.run_silver(spark, SPEC, lake, "r1")
+    before = versions.current(spark, f"{lake}/silver", SPEC.table).tables[SPEC.table]
+    redeliver(spark, lake, "2023-02", golden(spark).filter("month(tpep_pickup_datetime) = 2"))
+    jobs.run_bronze(spark, SPEC, lake, "b2", months=["2023-02"])
+    jobs.run_silver(spark, SPEC, lake, "r2", months=["2023-02"])
+    after = versions.current(spark, f"{lake}/silver", SPEC.table).tables[SPEC.table]
+    assert {f for f in after if after[f] != before.get(f)} == {"pickup_year=2023/pickup_month=2"}
+    assert jobs.in_months(SPEC, [None, (2023, 1), (2023, 2), (2022, 12), (2020, 5)])._jc.toString().count(">=") == 2
+
+
+def test_a_full_run_where_a_partial_one_would_differ(spark, lake):
+    """Other checks than the published tables have, a clock, or copies that may differ in their time."""
+    land_golden(spark, lake)
+    jobs.run_bronze(spark, SPEC, lake, "b")
+    jobs.run_silver(spark, SPEC, lake, "r1")
+    layer = f"{lake}/silver"
+    for spec in (
+        replace(SPEC, checks=[*SPEC.checks, Check("short", "trip_distance < 3")]),
+        replace(SPEC, checks=[*SPEC.checks, Check("past", "tpep_pickup_datetime < localtimestamp")]),
+        replace(SPEC, dedup_keys=("VendorID", "total_amount")),
+    ):
+        jobs.run_silver(spark, spec, lake, "r2", months=["2023-01"])
+        found = everything(spark, lake)
+        assert len(set(versions.current(spark, layer, SPEC.table).tables[SPEC.table].values())) == 1
+        jobs.run_silver(spark, spec, lake, "r3")
+        assert found == everything(spark, lake)
+
+
+@pytest.mark.parametrize("fails_at", ["valid", "rejected", "proof", "counts", "pointer"])
+def test_a_run_that_fails_leaves_the_published_tables(spark, lake, monkeypatch, fails_at):
+    land_golden(spark, lake)
+    jobs.run_bronze(spark, SPEC, lake, "b1")
+    jobs.run_silver(spark, SPEC, lake, "r1")
+    before = everything(spark, lake)
+    redeliver(spark, lake, "2023-02", golden(spark).withColumn("total_amount", F.col("total_amount") + 7))
+    jobs.run_bronze(spark, SPEC, lake, "b2", months=["2023-02"])
+    write, whole = versions.write_version, quality.quarantined_rows
+    names = {"valid": SPEC.table, "rejected": SPEC.rejected_table, "counts": SPEC.counts_table}
+
+    def failing(df, path, version, partition_by=()):
+        write(df, path, version, partition_by)
+        if path.endswith(f"/{names[fails_at]}"):
+            raise OSError("disk full")
+
+    if fails_at in names:
+        monkeypatch.setattr(versions, "write_version", failing)
+    elif fails_at == "proof":
+        monkeypatch.setattr(quality, "quarantined_rows", lambda df, checks: whole(df, checks).filter("total_amount > 0"))
+    else:
+        monkeypatch.setattr(versions, "_system", lambda session, path, real=versions._system: (_ for _ in ()).throw(OSError("no")) if "/." in path else real(session, path))
+    with pytest.raises((OSError, quality.ReconciliationError)):
+        jobs.run_silver(spark, SPEC, lake, "r2", months=["2023-02"])
+    monkeypatch.undo()
+    assert everything(spark, lake) == before
+    jobs.run_silver(spark, SPEC, lake, "r2", months=["2023-02"])
+    assert table(spark, lake, "silver", SPEC.table, SPEC.silver_schema).count() == 2 * VALID + 1  # an amount of -5 came as 2
+
+
+def test_a_table_that_was_never_published_is_missing(spark, lake):
+    versions.write_version(spark.range(3), f"{lake}/silver/t", "v1")
+    assert read_optional(spark, f"{lake}/silver/t") is None
+    first = versions.publish(spark, f"{lake}/silver", "t", {"t": {"": "v1"}}, None)
+    assert read_table(spark, f"{lake}/silver/t").count() == 3
+    with pytest.raises(versions.ConcurrentRunError):
+        versions.publish(spark, f"{lake}/silver", "t", {"t": {"": "v2"}}, None)
+    pointer = first
+    for n in range(2, 6):
+        versions.write_version(spark.range(n), f"{lake}/silver/t", f"v{n}")
+        pointer = versions.publish(spark, f"{lake}/silver", "t", {"t": {"": f"v{n}"}}, pointer)
+    assert read_table(spark, f"{lake}/silver/t").count() == 5
+    assert sorted(p.name for p in Path(f"{lake}/silver/t").glob("version=*")) == ["version=v4", "version=v5"]
+
+
 def test_a_retried_run_replaces_its_metrics(spark, lake):
     land_golden(spark, lake)
     jobs.run_bronze(spark, SPEC, lake, "b")

@@ -154,3 +154,35 @@ def test_clock_is_read_once_and_chance_is_refused(spark):
     for rule in ("rand() < 0.5", F.rand() < 0.5, F.current_timestamp() > F.lit("2020-01-01").cast("timestamp"), "uuid() > 'a'"):
         with pytest.raises(ValueError, match="same answer"):
             quality.bound(df, [Check("c", rule)])
+
+
+def test_only_what_tells_the_time_is_bound(spark):
+    """Columns named like clocks, escaped quotes, double quotes, back quotes and characters beyond 16 bits stay."""
+    df = spark.createDataFrame([(None, "now'", "d"), ("x", "now()", None)], "now string, note string, current_date string")
+    rules = {
+        "now IS NOT NULL": 1,
+        r"note <> 'now\''": 1,
+        'note = "now()"': 1,
+        "`current_date` IS NULL": 1,
+        "current_date = 'd'": 1,
+        "note = 'now()' AND now() > TIMESTAMP '2020-01-01'": 1,
+        "concat('\U0001f600', note) = '\U0001f600now()' AND localtimestamp() > DATE '2020-01-01' AND curdate() > DATE '2020-01-01'": 1,
+        "unix_timestamp() > 1600000000 AND unix_timestamp(TIMESTAMP '2020-01-01') < 1600000000": 2,
+        "current_timestamp > TIMESTAMP '2020-01-01' /* now() */": 2,
+    }
+    for rule, kept in rules.items():
+        (check,) = quality.bound(df, [Check("c", rule)])
+        assert quality.valid_rows(df, [check]).count() == kept, rule
+    (check,) = quality.bound(df, [Check("c", "now IS NOT NULL AND current_date IS NULL")])
+    assert check.valid_when == "now IS NOT NULL AND current_date IS NULL"
+
+
+def test_counts_by_group_add_up(spark):
+    df = spark.createDataFrame([(k, v) for k in (1, 2, None) for v in (1.0, -1.0, None)], "k int, amt double")
+    checks = [AMOUNT, Check("small", "amt < 1", WARN)]
+    counts = quality.check_counts(df, checks, ["k"])
+    assert counts.count() == 3
+    assert quality.metrics_of(counts, checks).collect() == quality.check_metrics(df, checks).collect()
+    empty = quality.check_counts(df.limit(0), checks, ["k"])
+    assert quality.metrics_of(empty, checks).collect() == quality.check_metrics(df.limit(0), checks).collect()
+    assert quality.metrics_of(quality.check_counts(df, [], ["k"]), []).count() == 0

@@ -53,10 +53,10 @@ CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour,
 CAST(pickup_ts AS DATE) AS pickup_date"""
 
 
-def clean(body: str, columns: str = COLUMNS) -> str:
+def clean(body: str, columns: str = COLUMNS, where: str = "true") -> str:
     return f"""
     WITH {TRIPS},
-    trips AS (SELECT {columns} FROM delivered),
+    trips AS (SELECT {columns} FROM delivered WHERE {where}),
     deduped AS (SELECT DISTINCT {COLUMNS} FROM trips),
     tagged AS (SELECT *, {REASONS} FROM deduped),
     rejected AS (SELECT * FROM tagged WHERE _reject_reason <> ''),
@@ -169,6 +169,22 @@ ALL_MONTHS = ORDER_MONTHS.format(last="date_trunc('month', max(o_orderdate))")
 
 FACT = f"SELECT {COLUMNS}, {TIME} FROM valid"
 
+# One month came again without rows, another with half of its own.
+REDELIVERED = """(delivery_month NOT IN ('1998-02', '1998-03')
+           OR delivery_month = '1998-03' AND pickup_ts IS NOT NULL AND trip_distance < 15)"""
+
+CLOCK_NAMES = """(SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS now,
+    o_orderpriority AS current_date, CASE WHEN o_orderkey % 3 = 0 THEN 'now''' ELSE 'é now()' END AS note FROM orders)"""
+
+CLOCK_CHECKS = {
+    "present": ("QUARANTINE", "now IS NOT NULL"),
+    "not_low": ("QUARANTINE", '"current_date" <> \'5-LOW\''),
+    "quoted": ("QUARANTINE", "note <> 'now'''"),
+    "doubled": ("WARN", "note = 'é now()'"),
+    "past": ("WARN", "now < localtimestamp AND now < today()"),
+    "future": ("WARN", "now > localtimestamp + INTERVAL 1 DAY OR note = 'é now()'"),
+}
+
 ORACLES: dict[str, str] = {
     "month_spine": ALL_MONTHS,
     "ingest_plan": f"""
@@ -295,10 +311,15 @@ ORACLES: dict[str, str] = {
     "bronze_plain_parts": f"""
         WITH {TRIPS} SELECT delivery_month AS month, count(*) AS count, 'ingested' AS status FROM delivered GROUP BY 1""",
     "bronze_redelivered": f"""
-        WITH {TRIPS} SELECT delivery_month AS month, count(*) AS count FROM delivered
-        WHERE delivery_month NOT IN ('1998-02', '1998-03')
-           OR delivery_month = '1998-03' AND pickup_ts IS NOT NULL AND trip_distance < 15
-        GROUP BY 1""",
+        WITH {TRIPS} SELECT delivery_month AS month, count(*) AS count FROM delivered WHERE {REDELIVERED} GROUP BY 1""",
+    "bronze_alternating": f"WITH {TRIPS} SELECT {COLUMNS} FROM delivered",
+    "silver_redelivered": clean(f"SELECT *, {TIME} FROM tagged", LANDED_COLUMNS, REDELIVERED),
+    "dq_redelivered": clean(
+        f"SELECT * FROM ({run('deduped', TRIP_CHECKS, 'run-2', 'orders')})", LANDED_COLUMNS, REDELIVERED
+    ),
+    "dq_clock_names": f"SELECT *, {OUTCOME} FROM ({metrics(CLOCK_NAMES, CLOCK_CHECKS)})",
+    "dq_clock_names_valid": f"""
+        SELECT * FROM {CLOCK_NAMES} WHERE now IS NOT NULL AND "current_date" <> '5-LOW' AND note <> 'now'''""",
     "bronze_zoned": "SELECT CAST(hour(ts) AS INTEGER) AS event_hour, count(*) AS count FROM events GROUP BY 1",
     "dq_blocked_run": clean(
         "SELECT *, false AS published FROM ("

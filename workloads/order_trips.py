@@ -11,6 +11,7 @@ from stratalake.datasets.trips import trip_spec
 from stratalake.plans.parallel import in_parallel
 from stratalake.sources.layout import landing_root
 from stratalake.sources.tables import clustered, overwrite_table
+from stratalake.spec import FILE_NUMBER
 
 WINDOW_START = "1996-01-01 00:00:00"
 WINDOW_END = "2001-01-01 00:00:00"
@@ -35,6 +36,22 @@ def delivered_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_delivery(spark, sf_dir).select(*COLUMNS, delivery_key().alias("_source_file"))
 
 
+def numbered_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips with the number of the file they came in, as bronze keeps it; numbers follow the order of the keys."""
+    return _with_delivery(spark, sf_dir).select(*COLUMNS, delivery_number().alias(FILE_NUMBER))
+
+
+def delivery_files(months: DataFrame) -> DataFrame:
+    """The dictionary of all files that ``months`` can have."""
+    files = months.select(F.col("month").alias("delivery_month"), F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    return files.select(delivery_number().alias(FILE_NUMBER), delivery_key().alias("_source_file"))
+
+
+def delivery_number() -> Column:
+    year, mm = (F.substring("delivery_month", at, n).cast("bigint") for at, n in ((1, 4), (6, 2)))
+    return (year * 12 + mm) * 2 + F.col("copy")
+
+
 def plain_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with their delivery month, for deliveries in the types of the spec."""
     return _with_delivery(spark, sf_dir).select(*COLUMNS, "delivery_month")
@@ -107,6 +124,21 @@ VARIANTS = {
 
 def land(spark: SparkSession, sf_dir: str, lake: str) -> str:
     """Write all trips as monthly deliveries whose types drift from year to year; returns the lake root."""
+    month = F.col("delivery_month")
+    variants = []
+    for (first, last), columns in VARIANTS.items():
+        since = month >= first if first else F.lit(True)
+        variants.append((since & (month < last) if last else since, columns))
+    return _land(spark, sf_dir, lake, variants)
+
+
+def land_alternating(spark: SparkSession, sf_dir: str, lake: str) -> str:
+    """Monthly deliveries of which every other one has 64-bit integers where the spec has int and double."""
+    even = F.substring("delivery_month", 6, 2).cast("int") % 2 == 0
+    return _land(spark, sf_dir, lake, [(even, VARIANTS[None, "1997"]), (~even, COLUMNS)])
+
+
+def _land(spark: SparkSession, sf_dir: str, lake: str, variants: list[tuple[Column, list[str]]]) -> str:
     rows = _with_delivery(spark, sf_dir)
     month = F.col("delivery_month")
     folders = {
@@ -115,17 +147,12 @@ def land(spark: SparkSession, sf_dir: str, lake: str) -> str:
         "delivery": F.concat(F.lit("orders_tripdata_"), month),
     }
 
-    def write(first: str | None, last: str | None, columns: list[str]) -> None:
-        delivered = rows
-        if first:
-            delivered = delivered.filter(month >= first)
-        if last:
-            delivered = delivered.filter(month < last)
-        variant = delivered.selectExpr(*columns, "delivery_month").withColumns(folders).drop("delivery_month")
+    def write(which: Column, columns: list[str]) -> None:
+        variant = rows.filter(which).selectExpr(*columns, "delivery_month").withColumns(folders).drop("delivery_month")
         overwrite_table(
             clustered(variant, list(folders)), landing_root(lake, SPEC.name), list(folders), touched_only=True
         )
 
     # The variants touch different months, so they can be written side by side.
-    in_parallel(spark, *[partial(write, first, last, columns) for (first, last), columns in VARIANTS.items()])
+    in_parallel(spark, *[partial(write, which, columns) for which, columns in variants])
     return lake

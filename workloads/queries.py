@@ -13,7 +13,7 @@ from stratalake.functions.predicates import in_window, not_nan, not_null, positi
 from stratalake.functions.timedims import year_month
 from stratalake.operators import marts, profile, quality
 from stratalake.operators.conform import add_provenance, conform, union_by_name
-from stratalake.operators.dedup import coded_payload, deduplicate
+from stratalake.operators.dedup import deduplicate, put_back, within_bound
 from stratalake.operators.quality import BLOCK, QUARANTINE, REASON, WARN, Check
 from stratalake.plans.jobs import (
     check_history,
@@ -30,8 +30,8 @@ from stratalake.plans.sql import answers, hour_mean_query, month_mean_query
 from stratalake.sources import landing
 from stratalake.sources.layout import BRONZE, CHECK_RESULTS, DQ, GOLD, SILVER, landing_root, table_path
 from stratalake.sources.tables import append_table, clustered, overwrite_table, read_optional, read_table
-from stratalake.spec import DatasetSpec, MeanMart
-from workloads.order_trips import COLUMNS, SPEC, delivered_trips, land, plain_parts, trips
+from stratalake.spec import FILE_NUMBER, DatasetSpec, MeanMart
+from workloads.order_trips import COLUMNS, SPEC, delivered_trips, delivery_files, land, land_alternating, numbered_trips, plain_parts, trips
 from workloads.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,9 +167,9 @@ def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file of each row travels as a number, as in the silver job."""
-    with coded_payload(delivered_trips(spark, sf_dir), ["_source_file"]) as (rows, restore):
-        return restore(dedup_rows(rows, SPEC))
+    """The file of each row is a number, as in the silver job, and comes back from the dictionary of files."""
+    files = within_bound(delivery_files(month_spine(spark, sf_dir)))
+    return put_back(dedup_rows(numbered_trips(spark, sf_dir), SPEC), files, FILE_NUMBER)
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,6 +230,36 @@ def dq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.latest_runs(dq_history(spark, sf_dir))
 
 
+CLOCK_CHECKS = (
+    Check("present", "now IS NOT NULL", QUARANTINE),
+    Check("not_low", "current_date <> '5-LOW'", QUARANTINE),
+    Check("quoted", r"note <> 'now\''", QUARANTINE),
+    Check("doubled", "note = 'é now()'", WARN),
+    Check("past", "now < now() AND now < localtimestamp AND now < curdate()", WARN),
+    Check("future", "now > timestampadd(DAY, 1, current_timestamp) OR note = \"é now()\"", WARN),
+)
+
+
+def clock_named(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Check]]:
+    """Orders with columns that are named like clocks, and checks that ask such columns, clocks and quoted words."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        k.alias("id"),
+        F.when(k % 7 != 0, F.col("o_orderdate")).alias("now"),
+        F.col("o_orderpriority").alias("current_date"),
+        F.when(k % 3 == 0, "now'").otherwise("é now()").alias("note"),
+    )
+    return rows, quality.bound(rows, CLOCK_CHECKS)
+
+
+def dq_clock_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.with_outcome(quality.check_metrics(*clock_named(spark, sf_dir)))
+
+
+def dq_clock_names_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.valid_rows(*clock_named(spark, sf_dir))
+
+
 # Gold
 
 
@@ -418,20 +448,54 @@ def bronze_plain_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(statuses, "month", "full").select("month", "count", "status")
 
 
-def bronze_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of bronze by month after one month was landed again without rows and another with half of its own."""
+def bronze_alternating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed rows of deliveries whose types change with every month."""
+    lake = land_alternating(spark, sf_dir, scratch_folder(spark))
+    return landing.read_conformed(spark, lake, SPEC.name, SPEC.columns, RUN_ID).select(*COLUMNS)
+
+
+def redelivered(spark: SparkSession, sf_dir: str, silver_before: bool) -> tuple[str, list[str]]:
+    """A lake whose bronze got one month again without rows and another with half of its own."""
     lake = land(spark, sf_dir, scratch_folder(spark))
     run_bronze(spark, SPEC, lake, "run-1")
+    if silver_before:
+        run_silver(spark, SPEC, lake, "run-1")
     root = landing_root(lake, SPEC.name)
     again = plain_parts(spark, sf_dir).drop("delivery_month")
     for month, kept in (("02", "false"), ("03", "trip_distance < 15")):
         part = f"{root}/year=1998/month={month}/delivery=orders_tripdata_1998-{month}"
         again.filter(f"date_format(pickup_ts, 'yyyy-MM') = '1998-{month}'").filter(kept).write.mode("overwrite").parquet(part)
-    run_bronze(spark, SPEC, lake, "run-2", months=["1998-02", "1998-03"])
+    months = ["1998-02", "1998-03"]
+    run_bronze(spark, SPEC, lake, "run-2", months=months)
+    return lake, months
+
+
+def bronze_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of bronze by month after one month was landed again without rows and another with half of its own."""
+    lake, _ = redelivered(spark, sf_dir, silver_before=False)
     bronze = read_table(spark, table_path(lake, BRONZE, SPEC.table), SPEC.bronze_schema)
     return bronze.groupBy(F.col("_source_month").alias("month")).count()
 
 
+def silver_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid and rejected rows after silver took over two months that were delivered again, and made only what they can
+    change anew."""
+    lake, months = redelivered(spark, sf_dir, silver_before=True)
+    run_silver(spark, SPEC, lake, "run-2", months=months)
+    valid = read_table(spark, table_path(lake, SILVER, SPEC.table), SPEC.silver_schema)
+    rejected = read_table(spark, table_path(lake, SILVER, SPEC.rejected_table), SPEC.rejected_schema)
+    rejected = marts.enrich(rejected, SPEC.time_column, SPEC.time_prefix)
+    names = [*SPEC.fact_columns, REASON]
+    return valid.withColumn(REASON, F.lit("")).select(*names).unionByName(reason_text(rejected).select(*names))
+
+
+def dq_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check history of that run: totals of the whole tables, of which only some months were counted."""
+    lake, months = redelivered(spark, sf_dir, silver_before=True)
+    run_silver(spark, SPEC, lake, "run-2", months=months)
+    return check_history(spark, lake, "run-2")
+
+
 def bronze_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours of events that were delivered as moments, conformed under a session zone other than UTC."""
     before = spark.conf.get("spark.sql.session.timeZone")
@@ -529,6 +593,11 @@ QUERIES: dict[str, Query] = {
     "two_datasets_marts": two_datasets_marts,
     "bronze_plain_parts": bronze_plain_parts,
     "bronze_redelivered": bronze_redelivered,
+    "bronze_alternating": bronze_alternating,
+    "silver_redelivered": silver_redelivered,
+    "dq_redelivered": dq_redelivered,
+    "dq_clock_names": dq_clock_names,
+    "dq_clock_names_valid": dq_clock_names_valid,
     "bronze_zoned": bronze_zoned,
     "dq_blocked_run": dq_blocked_run,
     "pipeline_checks": pipeline_checks,
