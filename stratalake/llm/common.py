@@ -67,6 +67,20 @@ def public_id(column: str = "_id") -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column))
 
 
+def repeated(df: DataFrame, count: str, nth: str, most: int = 4096) -> DataFrame:
+    """Each row of ``df`` as often as its column ``count`` says, numbered from 0 by ``nth``; ``df`` is read twice.
+
+    A row that is repeated more often than ``most`` is dealt out to many tasks first, in runs of ``most``.
+    """
+    few = df.filter(F.col(count).between(1, most)).withColumn(nth, F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
+    run = F.explode(F.sequence(F.lit(0), F.floor((F.col(count) - 1) / most)))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = df.filter(F.col(count) > most).withColumn("_run", run).repartition(n, *df.columns[:1], "_run")
+    begin = F.col("_run") * most
+    own = F.sequence(begin, F.least(begin + most, F.col(count)) - 1)
+    return few.unionByName(many.withColumn(nth, F.explode(own)).drop("_run"))
+
+
 def word_count(text: Column, word: str) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(word))
 

@@ -197,7 +197,8 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(segment)) AS BIGINT) AS formatted_chars FROM s GROUP BY conv_id""",
     "op2_mixing": r"""
 WITH d AS (
-  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS ord,
+  SELECT doc_id, source,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')) AS ord,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM s),

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import KEY, keyed, public_id, written
+from stratalake.llm.common import KEY, NULL_ID, keyed, public_id, with_key, written
 from stratalake.llm.components import components
 
 WORDS = 3
@@ -348,7 +348,8 @@ def links(codes: DataFrame, plan: Pigeonhole, piece: int = PIECE) -> DataFrame:
 
 
 def near_components(prints: DataFrame, distance: int = DISTANCE, piece: int = PIECE) -> DataFrame:
-    """``fp`` and ``component``, the smallest ``_id`` that its chain of near fingerprints reaches.
+    """``fp``, ``component``, the smallest ``_id`` that its chain of near fingerprints reaches, and ``root``, which names
+    the chain itself.
 
     ``prints``: ``_id`` and ``fp``. Equal fingerprints are one node, however many rows have them.
     """
@@ -359,7 +360,7 @@ def near_components(prints: DataFrame, distance: int = DISTANCE, piece: int = PI
     rooted = codes.join(found.withColumnRenamed("node", "code"), "code", "left")
     rooted = written(rooted.select("fp", "first", F.coalesce("root", "code").alias("root")))
     smallest = written(rooted.groupBy("root").agg(F.min("first").alias("component")))
-    return written(rooted.join(smallest, "root").select("fp", "component"))
+    return written(rooted.join(smallest, "root").select("fp", "component", "root"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, piece: int = PIECE) -> DataFrame:
@@ -372,3 +373,22 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     prints = written(fingerprints(keyed(docs), words))
     found = prints.join(near_components(prints, distance, piece), "fp")
     return found.select(*KEY, public_id().alias("doc_id"), "fp", "component")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, piece: int = PIECE) -> DataFrame:
+    """The rows of ``docs`` but those that chain to a document with a smaller doc_id by near fingerprints.
+
+    Of rows that repeat an id one stays, and the others neither chain nor drop any document. A null doc_id names no
+    document: such rows come after all others and count each by its text. Only texts chain, never ids. Texts without
+    words are alike. All columns stay; an empty table stays empty.
+    """
+    prints = written(fingerprints(keyed(docs), words))
+    own = F.when(F.col("_id") == NULL_ID, F.col("_hash"))
+    chosen = prints.groupBy("_id", own.alias("own")).agg(F.min(F.struct("_hash", "fp")).alias("row"))
+    chosen = written(chosen.select("_id", "row.*"))
+    near = near_components(chosen.select("_id", "fp"), distance, piece)
+    # One row for each fingerprint, then for each chain, so a fingerprint that many rows share is no heavy group.
+    first = chosen.groupBy("fp").agg(F.min(F.struct(*KEY)).alias("first"))
+    stay = first.join(near, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    held, back = with_key(docs)
+    return back(held.dropDuplicates(list(KEY)).join(written(stay.select("first.*")), list(KEY)))
