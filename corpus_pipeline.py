@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, mixing, quality_fm, similar, token_arrow
+from stratalake.llm import decontam, mixing, quality_fm, simhash, token_arrow
 from stratalake.llm.common import shared_folder, table
 from stratalake.llm.queries import vocabulary
 
@@ -25,8 +25,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group: near fingerprints, or 0.8 of the five-word shingles."""
-    return similar.one_of_each(docs)
+    """The document with the smallest doc_id of each group of near fingerprints (words and bits as in ``op4``)."""
+    return simhash.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
