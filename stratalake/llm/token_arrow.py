@@ -1,7 +1,7 @@
 """Token ids as Arrow files of equal-length sequences.
 
-A shard is one Arrow IPC file. Its record batches hold ``ids``, fixed-size lists; ``mask``, fixed-size lists that are
-false over the padding at the shard's end; and ``docs``, the documents that begin in a sequence. Sequences follow each
+A shard is one Arrow IPC file. Its record batches hold ``ids``, fixed-size lists; ``mask``, fixed-size lists of bytes that
+are 0 over the padding at the shard's end; and ``docs``, the documents that begin in a sequence. Sequences follow each
 other without gaps, so sequence i of a shard is row i % ROWS of batch i // ROWS, read without a copy from a memory map.
 
 Spark's text writer commits the shards: a shard is one row, and the row separator is the magic string that ends an
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,10 @@ END_ID = 1
 MAGIC = "ARROW1"
 #: Bytes of text for each shard, on average.
 SHARD_BYTES = 16 << 20
-#: Pieces, and what stands between white space, whose ids a worker keeps. A full memo takes no more until the next
-#: shard, which begins with an empty one.
-MEMO = 120_000
+#: Pieces, and what stands between white space, whose ids a worker keeps: entries of a generation, about 40 MB of each.
+MEMO = 200_000
+#: Characters of an entry at most.
+LONGEST = 40
 
 # What the vocabulary's pre-tokenizer makes of lower-cased Latin-1 text; other text goes to the library whole.
 LATIN_PIECE = re.compile(
@@ -43,7 +45,31 @@ _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 17
 BYTE_LETTERS = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 
 
-class WordIds(dict):
+class Memo(dict):
+    """What was asked for lately: two generations of at most ``MEMO`` entries. When the young one is full it becomes
+    the old one, and what is asked for again comes back from there, so frequent entries stay for as long as a worker
+    lives, in bounded memory."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.made(key)
+        if len(key) <= LONGEST:
+            if len(self) >= MEMO:
+                self.old = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+    def made(self, key: str) -> bytes:
+        raise NotImplementedError
+
+
+class WordIds(Memo):
     """Ids of a piece of text as bytes, asked from the tokenizer once: pieces are encoded apart from each other."""
 
     def __init__(self, path: str) -> None:
@@ -52,45 +78,37 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.dtype = np.dtype("u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "u4")
+        self.code = self.dtype.char
 
-    def __missing__(self, piece: str) -> bytes:
+    def made(self, key: str) -> bytes:
         # The vocabulary spells bytes as characters; its model takes a piece in that spelling, without the steps before.
-        spelled = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        ids = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
-        if len(self) < MEMO:
-            self[piece] = ids
-        return ids
+        spelled = key.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
 
-class ChunkIds(dict):
+class ChunkIds(Memo):
     """Ids of what stands between white space, from the ids of its pieces."""
 
     def __init__(self, words: WordIds) -> None:
         super().__init__()
         self.words = words
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = b"".join(map(self.words.__getitem__, LATIN_PIECE.findall(chunk.lower())))
-        if len(self) < MEMO and len(chunk) <= 40:
-            self[chunk] = ids
-        return ids
+    def made(self, key: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, LATIN_PIECE.findall(key.lower())))
 
 
-_memo: dict[str, ChunkIds] = {}
+_encoders: dict[str, ChunkIds] = {}
 
 
 def encoder(path: str):
     """``encode(text)`` gives the ids as an array; equal to the library's on the whole text. One memo for a worker."""
-    if path not in _memo:
-        _memo[path] = ChunkIds(WordIds(path))
-    chunks = _memo[path]
-    for memo in (chunks, chunks.words):
-        if len(memo) >= MEMO:
-            memo.clear()
+    if path not in _encoders:
+        _encoders[path] = ChunkIds(WordIds(path))
+    chunks = _encoders[path]
 
     def encode(text: str) -> np.ndarray:
         try:
@@ -117,16 +135,16 @@ def shard_bytes(ids: np.ndarray, docs: list[tuple], length: int = SEQUENCE, rows
     kind = pa.uint16() if ids.dtype.itemsize == 2 else pa.uint32()
     padded = np.zeros(n * length, ids.dtype)
     padded[: len(ids)] = ids
-    mask = np.arange(n * length) < len(ids)
+    mask = (np.arange(n * length) < len(ids)).astype(np.uint8)
     starts = np.searchsorted([d[1] for d in docs], np.arange(n + 1) * length)
-    schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length)), ("docs", DOCS)])
+    schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length)), ("docs", DOCS)])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_file(sink, schema) as writer:
         for i in range(0, n, rows):
             j = min(n, i + rows)
             here = [docs[a:b] for a, b in zip(starts[i:j], starts[i + 1 : j + 1], strict=True)]
             part = slice(i * length, j * length)
-            columns = [_lists(padded[part], length, kind), _lists(mask[part], length, pa.bool_()), pa.array(here, DOCS)]
+            columns = [_lists(padded[part], length, kind), _lists(mask[part], length, pa.uint8()), pa.array(here, DOCS)]
             writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=schema))
     return sink.getvalue().to_pybytes()
 
@@ -169,10 +187,10 @@ def open_shard(data) -> pa.RecordBatchFileReader:
 
 
 def sequence(reader: pa.RecordBatchFileReader, i: int, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of sequence ``i``; the ids are a view of the file."""
+    """Ids and mask of sequence ``i``; both are views of the file."""
     batch = reader.get_batch(i // rows)
     ids, mask = batch.column("ids")[i % rows].values, batch.column("mask")[i % rows].values
-    return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+    return ids.to_numpy(), mask.to_numpy().view(np.bool_)
 
 
 def shard_documents(data) -> Iterator[tuple[int, int, np.ndarray]]:
