@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,7 @@ from stratalake.sources.landing import ingest, ingest_totals
 from stratalake.spec import DatasetSpec
 
 DATASETS = {"yellow": trips.yellow, "green": trips.green}
-#: Rows of a result that are printed; the rest is counted.
+#: Rows of a result that are printed.
 SHOWN = 50
 COMMANDS = ("ingest", "bronze", "silver", "gold", "analyze", "eda", "report", "reconcile", "pipeline")
 
@@ -26,6 +27,8 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("command", choices=COMMANDS)
     parser.add_argument("--lake", required=True, help="root folder or URI of the lake")
     parser.add_argument("--dataset", choices=sorted(DATASETS), default="yellow")
+    parser.add_argument("--spec", help="module:name of a DatasetSpec, or of a function of a window that gives one")
+    parser.add_argument("--months", help="bronze and silver: only these delivery months (yyyy-MM,yyyy-MM)")
     parser.add_argument("--start", default="2023-01", help="month (yyyy-MM) to begin with")
     parser.add_argument("--end", default="2023-05", help="month (yyyy-MM) to finish with")
     parser.add_argument("--window-start", help="earliest valid pickup; by default the beginning of --start")
@@ -39,17 +42,25 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> int:
     args = parse(argv)
     spark = SparkSession.builder.appName("stratalake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    spec = DATASETS[args.dataset](*window(args))
+    spec = chosen_spec(args)
     run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
     for title, result in execute(spark, spec, args, run_id).items():
         print(f"\n{title}")
-        rows = result.count()
-        result.show(SHOWN, truncate=False)
-        if rows > SHOWN:
-            print(f"{rows - SHOWN} more of {rows} rows are not shown")
+        rows = result.take(SHOWN + 1)
+        spark.createDataFrame(rows[:SHOWN], result.schema).show(SHOWN, truncate=False)
+        if len(rows) > SHOWN:
+            print(f"only the first {SHOWN} rows are shown")
     return 0
 
 
+def chosen_spec(args: argparse.Namespace) -> DatasetSpec:
+    if not args.spec:
+        return DATASETS[args.dataset](*window(args))
+    module, _, name = args.spec.partition(":")
+    found = getattr(import_module(module), name)
+    return found if isinstance(found, DatasetSpec) else found(*window(args))
+
+
 def window(args: argparse.Namespace) -> tuple[str, str]:
     """The valid pickup times, half open: those of the asked months unless they are given."""
     year, month = map(int, args.end.split("-"))
@@ -60,15 +71,16 @@ def window(args: argparse.Namespace) -> tuple[str, str]:
 def execute(spark: SparkSession, spec: DatasetSpec, args: argparse.Namespace, run_id: str) -> dict[str, DataFrame]:
     """Run one command; the returned frames are what it has to show."""
     lake, fmt = args.lake, args.format
+    months = args.months.split(",") if args.months else None
     if args.command == "ingest":
         statuses = ingest(
             spark, lake, spec.name, args.start, args.end, force=args.force, base_url=args.base_url, fmt=fmt
         )
         return {"months": statuses, "totals": ingest_totals(statuses)}
     if args.command == "bronze":
-        jobs.run_bronze(spark, spec, lake, run_id, fmt=fmt)
+        jobs.run_bronze(spark, spec, lake, run_id, months=months, fmt=fmt)
     elif args.command == "silver":
-        jobs.run_silver(spark, spec, lake, run_id, fmt=fmt)
+        jobs.run_silver(spark, spec, lake, run_id, months=months, fmt=fmt)
         return {"checks": quality.with_outcome(jobs.check_history(spark, lake, run_id, fmt=fmt))}
     elif args.command == "gold":
         jobs.run_gold(spark, spec, lake, fmt=fmt)

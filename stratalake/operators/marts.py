@@ -19,19 +19,52 @@ def fact(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
 
 
+#: Values are added up as whole millionths, which are exact in any order; larger ones, infinities and NaN as doubles.
+UNIT = 1_000_000
+LARGE = 9e12
+LOW_BITS = 20
+
+
 def mean_mart(df: DataFrame, mart: MeanMart) -> DataFrame:
-    """Rows and rounded mean per group, ordered by group. Partial sums leave each task, never rows."""
+    """Rows and rounded mean per group, ordered by group. Partial sums leave each task, never rows.
+
+    Sums are of whole millionths, so the last digit does not depend on the order in which tasks add up.
+    """
+    return finished_mart(mart_parts(df, mart), mart, merge=False)
+
+
+def mart_parts(df: DataFrame, mart: MeanMart, by: Sequence[str] = ()) -> DataFrame:
+    """What a mean mart needs of the rows of each group, and of ``by``: parts of many inputs can be added up."""
     source = df.filter(mart.where) if mart.where else df
-    return (
-        source.groupBy(*mart.keys)
-        .agg(
-            F.count(F.lit(1)).alias(mart.count_alias),
-            F.round(F.avg(mart.value), mart.digits).alias(mart.alias),
-        )
-        .orderBy(*mart.keys)
+    value = F.col(mart.value).cast("double")
+    whole = F.when(F.abs(value) < LARGE, F.floor(value * UNIT + 0.5))
+    # Two sums of few bits each: neither overflows before 2^43 rows.
+    return source.groupBy(*dict.fromkeys([*by, *mart.keys])).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(value).alias("_values"),
+        F.sum(F.shiftright(whole, LOW_BITS)).alias("_high"),
+        F.sum(whole.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).alias("_low"),
+        F.count_if(value.isNotNull() & ~(F.abs(value) < LARGE)).alias("_large"),
+        F.sum(F.when(~(F.abs(value) < LARGE), value)).alias("_rest"),
     )
 
 
+def finished_mart(parts: DataFrame, mart: MeanMart, merge: bool = True) -> DataFrame:
+    """The mart from its parts; with ``merge`` several parts of a group are added up first."""
+    sums = ("_rows", "_values", "_high", "_low", "_large", "_rest")
+    if merge:
+        parts = parts.groupBy(*mart.keys).agg(*[F.sum(c).alias(c) for c in sums])
+    total = F.expr(f"cast(coalesce(_high, 0) as decimal(38, 0)) * {1 << LOW_BITS} + coalesce(_low, 0)")
+    scale = 10**mart.digits
+    # Halves are rounded away from zero, on whole numbers: a rounded quotient would be rounded twice.
+    nearest = F.expr(f"(2 * abs(_total) * {scale} + _values * {UNIT}BD) div (2 * _values * {UNIT}BD)")
+    exact = F.signum("_total") * nearest / F.lit(float(scale))
+    rough = F.round((F.col("_total").cast("double") / UNIT + F.coalesce("_rest", F.lit(0.0))) / F.col("_values"), mart.digits)
+    mean = F.when((F.col("_values") > 0) & (F.col("_large") == 0), exact).when(F.col("_values") > 0, rough)
+    out = parts.withColumn("_total", total.cast("decimal(38,0)"))
+    return out.select(*mart.keys, F.col("_rows").alias(mart.count_alias), mean.alias(mart.alias)).orderBy(*mart.keys)
+
+
 def total_mart(df: DataFrame, key: str, value: str, alias: str, digits: int = 2) -> DataFrame:
     return df.groupBy(key).agg(F.round(F.sum(value), digits).alias(alias)).orderBy(key)
 

@@ -294,6 +294,21 @@ def reconcile_tables(
     return totals.withColumn("balanced", _balanced())
 
 
+def reconcile_counts(bronze: DataFrame, valid: DataFrame, quarantine: DataFrame, counts: DataFrame) -> DataFrame:
+    """The same row, from row counts: of the raw and published tables, and those that were noted (``bronze_rows``,
+    ``rows_in``) when the published ones were made. No row is shuffled."""
+    noted = counts.agg(
+        F.coalesce(F.sum("bronze_rows"), F.lit(0)).alias("noted"), F.coalesce(F.sum("rows_in"), F.lit(0)).alias("deduped")
+    )
+    rejected = quarantine.agg(
+        F.count(F.lit(1)).alias("quarantined"), F.count_if(F.size(REASON) > 1).alias("multi_failed")
+    )
+    parts = [bronze.agg(F.count(F.lit(1)).alias("raw")), valid.agg(F.count(F.lit(1)).alias("valid")), rejected, noted]
+    names = ("raw", "deduped", "quarantined", "valid", "multi_failed", "noted")
+    totals = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).agg(*[F.max(c).alias(c) for c in names])
+    return totals.withColumn("balanced", _balanced() & (F.col("raw") == F.col("noted"))).drop("noted")
+
+
 def _balanced() -> Column:
     return (F.col("valid") + F.col("quarantined") == F.col("deduped")) & (F.col("raw") >= F.col("deduped"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import partial
@@ -33,7 +33,6 @@ from stratalake.spec import (
     HISTORY_SCHEMA,
     PROVENANCE,
     DatasetSpec,
-    MeanMart,
 )
 
 PARQUET = "parquet"
@@ -293,14 +292,16 @@ def run_silver(
                 Output(valid.select(*spec.columns, *PROVENANCE, *spec.time_columns), held.layer, spec.table, spec.silver_partitions, gone),
                 Output(quarantine, held.layer, spec.rejected_table),
             )
-            total = bronze.count()
+            columns = [*spec.columns, *([] if plain else PROVENANCE)]
+            fresh = valid.select(*columns).unionByName(quarantine.select(*columns))
+            fresh = _counts(spec, bronze, fresh if changed is None else fresh.filter(in_months(spec, changed)))
+            fresh = spark.createDataFrame(fresh.collect(), spec.counts_schema)
+            total = sum(r["bronze_rows"] for r in fresh.collect())
             if kept.get["rows"] + refused.get["rows"] != total:
                 raise quality.ReconciliationError(
                     f"{total} bronze rows, but {kept.get['rows']} valid and {refused.get['rows']} rejected ones"
                 )
-            columns = [*spec.columns, *([] if plain else PROVENANCE)]
-            fresh = valid.select(*columns).unionByName(quarantine.select(*columns))
-            counts = _counts(spark, spec, lake, fresh, changed)
+            counts = fresh if changed is None else fresh.unionByName(_other_counts(spark, spec, lake, changed))
             (counts,) = held.write(Output(counts, held.layer, spec.counts_table))
             metrics = quality.metrics_of(counts, spec.checks)
             metrics = spark.createDataFrame(metrics.collect(), metrics.schema)
@@ -359,19 +360,25 @@ def _rules(spec: DatasetSpec) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def _counts(
-    spark: SparkSession, spec: DatasetSpec, lake: str, fresh: DataFrame, changed: Sequence[Month] | None
-) -> DataFrame:
-    """Check counts by month of the time column: those of ``fresh`` rows, and with ``changed`` the published ones of all
-    other months."""
-    rows = fresh if changed is None else fresh.filter(in_months(spec, changed))
+def _counts(spec: DatasetSpec, bronze: DataFrame, published: DataFrame) -> DataFrame:
+    """By month of the time column: rows of bronze, of the published tables, and check failures. One row a month."""
     time = dict(zip(spec.silver_partitions, (F.year(spec.time_column), F.month(spec.time_column)), strict=True))
-    counts = quality.check_counts(rows.withColumns(time), spec.checks, spec.silver_partitions)
-    if changed is None:
-        return counts
-    key = F.coalesce(F.concat_ws("-", *[F.col(c).cast("string") for c in spec.silver_partitions]), F.lit(""))
+    counts = quality.check_counts(published.withColumns(time), spec.checks, spec.silver_partitions)
+    raw = bronze.groupBy(*[e.alias(c) for c, e in time.items()]).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    both = raw.unionByName(counts, allowMissingColumns=True).groupBy(*time)
+    # Each side has one row of a month at most.
+    return both.agg(
+        F.coalesce(F.sum("bronze_rows"), F.lit(0)).alias("bronze_rows"),
+        F.coalesce(F.sum("rows_in"), F.lit(0)).alias("rows_in"),
+        F.first("rows_failed", ignorenulls=True).alias("rows_failed"),
+    )
+
+
+def _other_counts(spark: SparkSession, spec: DatasetSpec, lake: str, changed: Sequence[Month]) -> DataFrame:
+    """Published counts of all other months."""
+    key = F.coalesce(F.concat(*[x for c in spec.silver_partitions for x in (F.lit("-"), F.col(c).cast("string"))]), F.lit(""))
     known = read_table(spark, table_path(lake, SILVER, spec.counts_table), spec.counts_schema)
-    return counts.unionByName(known.filter(~key.isin(*[f"{m[0]}-{m[1]}" if m else "" for m in changed])))
+    return known.filter(~key.isin(*[f"-{m[0]}-{m[1]}" if m else "" for m in changed]))
 
 
 def _stop_if_blocked(
@@ -392,28 +399,55 @@ def _stop_if_blocked(
         raise
 
 
-def run_gold(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "parquet") -> str:
+def run_gold(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = PARQUET) -> str:
     """Silver to the fact table and the marts of the spec.
 
     Silver is already clustered by the partitions of the fact table, so writing it needs no shuffle. Each mart scans
-    only its own columns, and a mart limited to a month only that month's folders.
+    only its own columns, and a mart limited to a month only that month's folders. Marts are added up from parts, a few
+    sums for each group and month. Only months that silver has published anew since the last run are read: their rows
+    of the fact table and their parts are replaced, all others stay.
     """
     source = table_path(lake, SILVER, spec.table)
     silver = read_table(spark, source, spec.silver_schema, fmt)
     target = table_path(lake, GOLD, spec.fact_table)
-
-    def save_mart(mart: MeanMart) -> Callable[[], None]:
-        return lambda: overwrite_table(marts.mean_mart(silver, mart), table_path(lake, GOLD, spec.mart_table(mart)), fmt=fmt)
-
+    if fmt != PARQUET:
+        with sized_for(spark, table_bytes(spark, source)):
+            writes = [partial(overwrite_table, marts.mean_mart(silver, m), table_path(lake, GOLD, spec.mart_table(m)), fmt=fmt) for m in spec.marts]
+            fact = partial(overwrite_table, marts.fact(silver, spec.fact_columns), target, spec.silver_partitions, fmt=fmt)
+            in_parallel(spark, fact, *writes)
+        return target
+    layer, months = join(lake, GOLD), spec.silver_partitions
+    shape = hashlib.sha256(repr((spec.fact_columns, list(spec.marts))).encode()).hexdigest()
+    published, before = versions.current(spark, join(lake, SILVER), spec.table), versions.current(spark, layer, spec.fact_table)
+    taken = dict(published.tables[spec.table]) if published is not None else None
+    known = before.note.get("silver") if before is not None and before.note.get("shape") == shape else None
+    gone = None if known is None or taken is None else sorted(f for f in {*known, *taken} if known.get(f) != taken.get(f))
+    if gone is not None:
+        silver = silver.filter(_in_folders(months, gone))
+    parts = {f"{spec.mart_table(m)}_parts": marts.mart_parts(silver, m, months) for m in spec.marts}
     with sized_for(spark, table_bytes(spark, source)):
-        in_parallel(
-            spark,
-            lambda: overwrite_table(marts.fact(silver, spec.fact_columns), target, spec.silver_partitions, fmt=fmt),
-            *[save_mart(mart) for mart in spec.marts],
-        )
+        with staging(spark, layer, spec.fact_table, {"silver": taken, "shape": shape}) as held:
+            held.write(
+                Output(marts.fact(silver, spec.fact_columns), layer, spec.fact_table, months, gone),
+                *[Output(rows, layer, name, months, gone) for name, rows in parts.items()],
+            )
+        stored = {name: versions.read_table_of(spark, layer, spec.fact_table, name, rows.schema) for name, rows in parts.items()}
+        in_parallel(spark, *[
+            partial(overwrite_table, marts.finished_mart(stored[f"{spec.mart_table(m)}_parts"], m), table_path(lake, GOLD, spec.mart_table(m)))
+            for m in spec.marts
+        ])
     return target
 
 
+def _in_folders(columns: Sequence[str], folders: Sequence[str]) -> Column:
+    """Rows of some partition folders, by their partition columns alone."""
+    none = "__HIVE_DEFAULT_PARTITION__"
+    names = [[part.split("=", 1)[1] for part in folder.split("/")] for folder in folders]
+    keys = ["/".join(n) for n in names]
+    own = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit(none)) for c in columns])
+    return own.isin(*keys) if keys else F.lit(False)
+
+
 def check_history(
     spark: SparkSession, lake: str, run_id: str | None = None, *, fmt: str = "parquet"
 ) -> DataFrame:
@@ -422,14 +456,19 @@ def check_history(
     return history if run_id is None else history.filter(F.col("run_id") == run_id)
 
 
-def reconcile_layers(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = "parquet") -> DataFrame:
-    """Counts of the published tables against the bronze keys; pass the result to ``quality.assert_reconciled``."""
-    return quality.reconcile_tables(
-        read_table(spark, table_path(lake, BRONZE, spec.table), spec.bronze_schema, fmt),
-        read_table(spark, table_path(lake, SILVER, spec.table), spec.silver_schema, fmt),
-        read_table(spark, table_path(lake, SILVER, spec.rejected_table), spec.rejected_schema, fmt),
-        spec.keys,
-    )
+def reconcile_layers(spark: SparkSession, spec: DatasetSpec, lake: str, *, fmt: str = PARQUET) -> DataFrame:
+    """Counts of the published tables against bronze; pass the result to ``quality.assert_reconciled``.
+
+    Silver notes for each month how many rows of bronze its rows stand for, proven when it was published. So bronze is
+    only counted, not grouped by its keys again: the row counts must be the noted ones.
+    """
+    bronze = read_table(spark, table_path(lake, BRONZE, spec.table), spec.bronze_schema, fmt)
+    valid = read_table(spark, table_path(lake, SILVER, spec.table), spec.silver_schema, fmt)
+    rejected = read_table(spark, table_path(lake, SILVER, spec.rejected_table), spec.rejected_schema, fmt)
+    counts = read_optional(spark, table_path(lake, SILVER, spec.counts_table), spec.counts_schema, fmt)
+    if counts is None:
+        return quality.reconcile_tables(bronze, valid, rejected, spec.keys)
+    return quality.reconcile_counts(bronze, valid, rejected, counts)
 
 
 def run_profile(

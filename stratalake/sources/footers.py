@@ -1,7 +1,8 @@
-"""Which types the columns of many Parquet files have, from one distributed read of their footers."""
+"""Files read by the tasks themselves, where a row per file would not do: footers alone, and digests of any size."""
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator, Mapping
 from functools import partial
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 #: Schemes that Spark's file systems and Arrow's spell differently.
 SCHEMES = {"s3a": "s3", "s3n": "s3"}
+CHUNK = 1 << 20
 SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
 
 
@@ -44,14 +46,44 @@ def _read(wanted: set[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(types, pa.string())], ["path", "types"])
 
 
-def _types(path: str, wanted: set[str]) -> str:
+def store(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a path as Spark spells it, and the path within; an error where Arrow has none."""
     scheme, _, rest = path.partition(":")
     if not rest or "/" in scheme:
-        system, place = pafs.LocalFileSystem(), path
-    elif scheme == "file":
-        system, place = pafs.LocalFileSystem(), "/" + rest.lstrip("/")
-    else:
-        system, place = pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{quote(rest, safe='/:@')}")
+        return pafs.LocalFileSystem(), path
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{quote(rest, safe='/:@')}")
+
+
+def can_open(path: str) -> bool:
+    """Whether Python reaches the store of ``path``."""
+    try:
+        system, place = store(path)
+        return system.get_file_info(place).type != pafs.FileType.NotFound
+    except (OSError, ValueError, pa.ArrowException):
+        return False
+
+
+def hashed(files: DataFrame) -> DataFrame:
+    """``path`` and ``sha256`` of each of ``files`` (path). A file is read as a stream, a megabyte at a time, where its
+    task runs, so a file of any size takes no more memory."""
+    return files.select("path").mapInArrow(_hash, "path string, sha256 string")
+
+
+def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            digest = hashlib.sha256()
+            system, place = store(path)
+            with system.open_input_stream(place) as stream:
+                while part := stream.read(CHUNK):
+                    digest.update(part)
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([digest.hexdigest()])], ["path", "sha256"])
+
+
+def _types(path: str, wanted: set[str]) -> str:
+    system, place = store(path)
     footer = pq.read_metadata(place, filesystem=system)
     # What Spark noted about its own columns tells apart types that are stored alike.
     noted = json.loads((footer.metadata or {}).get(SPARK_SCHEMA, b"{}")).get("fields", [])

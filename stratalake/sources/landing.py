@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.timedims import source_month
 from stratalake.operators.conform import add_provenance
 from stratalake.sources.drift import SOURCE_PATH, parquet_files, scan_conformed
+from stratalake.sources.footers import can_open, hashed
 from stratalake.sources.layout import DQ, LANDING, MANIFEST, landing_month, landing_root, table_path
 from stratalake.sources.tables import is_missing_path, overwrite_table, read_optional
 
@@ -61,13 +62,10 @@ def landing_files(spark: SparkSession, lake: str, dataset: str) -> DataFrame:
 def landing_manifest(
     spark: SparkSession, lake: str, dataset: str, base_url: str = "", months: Sequence[str] | None = None
 ) -> DataFrame:
-    """``dataset, month, url, key, bytes, sha256`` per landed file, hashed in parallel where the files are read.
-
-    Spark holds one file per row while hashing, so a file must stay below two gigabytes.
-    """
+    """``dataset, month, url, key, bytes, sha256`` per landed file, hashed in parallel where the files are read."""
     folders = _folders(lake, dataset, months)
     try:
-        files = parquet_files(spark).format("binaryFile").load(folders)
+        files = file_hashes(spark, folders)
     except AnalysisException as error:
         raise _nothing_landed(", ".join(folders), error) from error
     key = file_key(F.col("path"), dataset)
@@ -76,11 +74,26 @@ def landing_manifest(
         source_month(key).alias("month"),
         F.concat(F.lit(base_url.rstrip("/") + "/"), F.substring_index(key, "/", -1)).alias("url"),
         key.alias("key"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
+        "bytes",
+        "sha256",
     )
 
 
+def file_hashes(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """``path, bytes, sha256`` of every parquet file below the folders.
+
+    Files are read as streams in bounded memory. Where Python cannot open the store, Spark reads each into a row, which
+    holds two gigabytes at most.
+    """
+    files = parquet_files(spark).format("binaryFile").load(list(folders))
+    if not can_open(folders[0]):
+        return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    listed = files.select("path", F.col("length").alias("bytes"))
+    # A listing packs small files into few tasks; the digests are the work, so files are dealt out one by one.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return listed.join(hashed(files.select("path").repartition(n, "path")), "path")
+
+
 def sidecar_manifests(spark: SparkSession, lake: str, dataset: str) -> DataFrame | None:
     """Manifests written as ``*.manifest.json`` beside the files by an earlier tool, or None without any."""
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.manifest.json")

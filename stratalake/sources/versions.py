@@ -106,20 +106,34 @@ def live_paths(spark: SparkSession, path: str) -> list[str] | None:
     folders = _published_folders(spark, path)
     if folders is None:
         return [] if _list(spark, f"{path}/{VERSION}=*") else None
-    return [f"{version_path(path, v)}/{f}".rstrip("/") for f, v in sorted(folders.items())]
+    return _paths(path, folders)
 
 
 def read_published(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A table's published rows; None for a table without versions. One that is not published yet is missing."""
-    paths = live_paths(spark, path)
-    if paths is None:
+    folders = _published_folders(spark, path)
+    if folders is None and not _list(spark, f"{path}/{VERSION}=*"):
         return None
-    if not paths and schema and _published_folders(spark, path) is not None:
-        return spark.createDataFrame([], T.StructType.fromDDL(schema))
+    return _rows(spark, path, folders, T.StructType.fromDDL(schema) if schema else None)
+
+
+def read_table_of(spark: SparkSession, layer: str, group: str, name: str, schema: T.StructType) -> DataFrame:
+    """The published rows of a table by the name of its group."""
+    pointer = current(spark, layer, group)
+    return _rows(spark, join(layer, name), pointer.tables[name] if pointer else None, schema)
+
+
+def _rows(spark: SparkSession, path: str, folders: Mapping[str, str] | None, schema: T.StructType | None) -> DataFrame:
+    if folders is not None and not folders and schema is not None:
+        return spark.createDataFrame([], schema)
     reader = spark.read.option("basePath", path)
-    if schema:
+    if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(*(paths or [f"{path}/{VERSION}=none"])).drop(VERSION)
+    return reader.parquet(*(_paths(path, folders or {}) or [f"{path}/{VERSION}=none"])).drop(VERSION)
+
+
+def _paths(path: str, folders: Mapping[str, str]) -> list[str]:
+    return [f"{version_path(path, v)}/{f}".rstrip("/") for f, v in sorted(folders.items())]
 
 
 def _published_folders(spark: SparkSession, path: str) -> Mapping[str, str] | None:

@@ -85,7 +85,7 @@ class DatasetSpec:
 
     @property
     def counts_table(self) -> str:
-        """Check counts by the month of the time column."""
+        """Rows of bronze, deduplicated rows and check failures by the month of the time column."""
         return f"{self.table}_counts"
 
     @property
@@ -126,7 +126,7 @@ class DatasetSpec:
 
     @property
     def counts_schema(self) -> str:
-        return ddl({**{c: "int" for c in self.silver_partitions}, "rows_in": "bigint", "rows_failed": "map<string,bigint>"})
+        return ddl({**{c: "int" for c in self.silver_partitions}, "bronze_rows": "bigint", "rows_in": "bigint", "rows_failed": "map<string,bigint>"})
 
     @property
     def silver_schema(self) -> str:

@@ -8,7 +8,7 @@ import pytest
 from golden import FAILED, Q1, Q2, QUARANTINED, RAW, SPEC, VALID, golden, land_golden
 from pyspark.sql import functions as F
 
-from stratalake.__main__ import execute, parse, window
+from stratalake.__main__ import chosen_spec, execute, parse, window
 from stratalake.datasets.trips import HOURLY_MART, MONTHLY_MART, green, yellow
 from stratalake.operators import quality
 from stratalake.operators.quality import BLOCK, Check
@@ -156,6 +156,46 @@ def test_only_changed_months_are_written_again(spark, lake):
     assert jobs.in_months(SPEC, [None, (2023, 1), (2023, 2), (2022, 12), (2020, 5)])._jc.toString().count(">=") == 2
 
 
+def gold(spark, lake):
+    fact = table(spark, lake, "gold", SPEC.fact_table, SPEC.fact_schema)
+    return [sorted(map(repr, df.collect())) for df in (fact, *(table(spark, lake, "gold", SPEC.mart_table(m)) for m in SPEC.marts))]
+
+
+def test_gold_takes_over_changed_months_only(spark, lake):
+    land_golden(spark, lake, "2023-01")
+    land_golden(spark, lake, "2023-03")
+    jobs.run_bronze(spark, SPEC, lake, "b1")
+    jobs.run_silver(spark, SPEC, lake, "r1")
+    jobs.run_gold(spark, SPEC, lake)
+    assert mart_rows(table(spark, lake, "gold", MONTHLY_MART)) == Q1
+    layer = f"{lake}/gold"
+    before = versions.current(spark, layer, SPEC.fact_table).tables
+    for month in ("2023-01", "2023-03"):
+        new = golden(spark).filter("month(tpep_pickup_datetime) <> 5").withColumn("trip_distance", F.lit(9.0))
+        redeliver(spark, lake, month, new.filter("month(tpep_pickup_datetime) = 2 OR month(tpep_pickup_datetime) = 1"))
+    jobs.run_bronze(spark, SPEC, lake, "b2", months=["2023-03"])
+    jobs.run_silver(spark, SPEC, lake, "r2", months=["2023-03"])
+    jobs.run_gold(spark, SPEC, lake)
+    after = versions.current(spark, layer, SPEC.fact_table).tables
+    same = "pickup_year=2023/pickup_month=5"
+    silver = versions.current(spark, f"{lake}/silver", SPEC.table).tables[SPEC.table]
+    assert set(after[SPEC.fact_table]) == set(silver)
+    found = gold(spark, lake)
+    jobs.run_gold(spark, SPEC, lake)
+    again = versions.current(spark, layer, SPEC.fact_table).tables
+    assert again == after and gold(spark, lake) == found
+    assert before[SPEC.fact_table][same] and after[SPEC.fact_table][same]
+    # A rebuild from nothing gives the same.
+    other = f"{lake}-again"
+    for month in ("2023-01", "2023-03"):
+        read = spark.read.parquet(f"{landing_month(lake, 'yellow', month)}/yellow_tripdata_{month}.parquet") if month == "2023-03" else golden(spark)
+        read.write.parquet(f"{landing_month(other, 'yellow', month)}/yellow_tripdata_{month}.parquet")
+    jobs.run_bronze(spark, SPEC, other, "b1")
+    jobs.run_silver(spark, SPEC, other, "r1")
+    jobs.run_gold(spark, SPEC, other)
+    assert gold(spark, other) == found
+
+
 def test_a_full_run_where_a_partial_one_would_differ(spark, lake):
     """Other checks than the published tables have, a clock, or copies that may differ in their time."""
     land_golden(spark, lake)
@@ -174,6 +214,28 @@ def test_a_full_run_where_a_partial_one_would_differ(spark, lake):
         assert found == everything(spark, lake)
 
 
+def test_reconciliation_counts_and_shuffles_no_row(spark, lake):
+    land_golden(spark, lake)
+    jobs.run_bronze(spark, SPEC, lake, "b1")
+    jobs.run_silver(spark, SPEC, lake, "r1")
+    counts = jobs.reconcile_layers(spark, SPEC, lake)
+    assert counts.first().asDict() == {
+        "raw": RAW, "deduped": RAW - 1, "quarantined": QUARANTINED, "valid": VALID, "multi_failed": 1, "balanced": True
+    }
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "total_amount" not in plan
+    # Bronze that silver has not taken over, or a published table that lost rows, is found.
+    land_golden(spark, lake, "2023-02")
+    jobs.run_bronze(spark, SPEC, lake, "b2", months=["2023-02"])
+    with pytest.raises(quality.ReconciliationError):
+        quality.assert_reconciled(jobs.reconcile_layers(spark, SPEC, lake))
+    jobs.run_silver(spark, SPEC, lake, "r2", months=["2023-02"])
+    quality.assert_reconciled(jobs.reconcile_layers(spark, SPEC, lake))
+    next(Path(f"{lake}/silver/{SPEC.table}").rglob("pickup_month=2/*.parquet")).unlink()
+    with pytest.raises(quality.ReconciliationError):
+        quality.assert_reconciled(jobs.reconcile_layers(spark, SPEC, lake))
+
+
 @pytest.mark.parametrize("fails_at", ["valid", "rejected", "proof", "counts", "pointer"])
 def test_a_run_that_fails_leaves_the_published_tables(spark, lake, monkeypatch, fails_at):
     land_golden(spark, lake)
@@ -385,6 +447,27 @@ def test_command_line(spark, lake):
     assert Path(lake).exists()
 
 
+def test_command_line_takes_any_spec_and_some_months(spark, lake, capsys, monkeypatch):
+    assert chosen_spec(parse(["gold", "--lake", lake, "--spec", "golden:SPEC"])) == SPEC
+    assert chosen_spec(parse(["gold", "--lake", lake, "--spec", "stratalake.datasets.trips:green"])).name == "green"
+    land_golden(spark, lake, "2023-01")
+    land_golden(spark, lake, "2023-02")
+    for command, months in (("bronze", "2023-01"), ("silver", None), ("bronze", "2023-02"), ("silver", "2023-02")):
+        execute(spark, SPEC, parse([command, "--lake", lake, *(["--months", months] if months else [])]), f"{command}-{months}")
+    assert table(spark, lake, "bronze", SPEC.table, SPEC.bronze_schema).count() == 2 * RAW
+    quality.assert_reconciled(jobs.reconcile_layers(spark, SPEC, lake))
+
+
+def test_results_are_printed_once(spark, lake, capsys, monkeypatch):
+    from stratalake import __main__ as command
+
+    made = spark.range(120).withColumn("n", F.col("id") * 2)
+    monkeypatch.setattr(command, "execute", lambda *a: {"many": made, "few": made.limit(1)})
+    assert command.main(["analyze", "--lake", lake]) == 0
+    out = capsys.readouterr().out
+    assert "only the first 50 rows" in out and "|98 |" not in out.split("few")[1] and "|49 |98 |" in out
+
+
 def test_window_follows_the_months_asked_for():
     asked = ["silver", "--lake", "x", "--start", "2024-11", "--end", "2024-12"]
     assert window(parse(asked)) == ("2024-11-01 00:00:00", "2025-01-01 00:00:00")

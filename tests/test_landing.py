@@ -24,9 +24,10 @@ def parquet_paths(lake):
 
 
 def test_month_ranges(spark):
-    assert months(landing.month_spine(spark, "2023-01", "2023-05")) == [f"2023-0{m}" for m in range(1, 6)]
-    assert months(landing.month_spine(spark, "2022-11", "2023-02")) == ["2022-11", "2022-12", "2023-01", "2023-02"]
-    assert months(landing.month_spine(spark, "2023-03", "2023-03")) == ["2023-03"]
+    assert months(landing.month_spine(spark, "2019-07", "2019-09")) == ["2019-07", "2019-08", "2019-09"]
+    assert months(landing.month_spine(spark, "1999-12", "2000-03")) == ["1999-12", "2000-01", "2000-02", "2000-03"]
+    assert months(landing.month_spine(spark, "2020-02", "2020-02")) == ["2020-02"]
+    assert len(months(landing.month_spine(spark, "1995-06", "2005-05"))) == 120
 
 
 def test_layout():
@@ -69,6 +70,31 @@ def test_manifest_hashes_every_file(spark, lake):
     assert (row["dataset"], row["month"]) == ("yellow", "2023-01")
 
 
+def test_a_file_beyond_two_gigabytes_is_hashed(spark, lake):
+    """A sparse file: its zeros take no disk, and no row could hold it."""
+    land_golden(spark, lake)
+    (small,) = parquet_paths(lake)
+    big = small.parent / "part-big.parquet"
+    size = (1 << 31) + 12_345
+    with big.open("wb") as f:
+        f.truncate(size)
+    want = hashlib.sha256()
+    for _ in range(size >> 20):
+        want.update(bytes(1 << 20))
+    want.update(bytes(size & ((1 << 20) - 1)))
+    found = {r["key"].rsplit("/", 1)[1]: (r["bytes"], r["sha256"]) for r in landing.landing_manifest(spark, lake, "yellow").collect()}
+    assert found["part-big.parquet"] == (size, want.hexdigest())
+    assert found[small.name] == (small.stat().st_size, hashlib.sha256(small.read_bytes()).hexdigest())
+    big.unlink()
+
+
+def test_stores_that_python_cannot_open_are_hashed_by_spark(spark, lake, monkeypatch):
+    land_golden(spark, lake)
+    streamed = landing.landing_manifest(spark, lake, "yellow").collect()
+    monkeypatch.setattr(landing, "can_open", lambda path: False)
+    assert landing.landing_manifest(spark, lake, "yellow").collect() == streamed
+
+
 def test_ingest_skips_registered_months(spark, lake):
     land_golden(spark, lake, "2023-01")
     land_golden(spark, lake, "2023-02")

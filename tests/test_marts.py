@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 from golden import Q1, Q2, SPEC, golden
+from pyspark.sql import functions as F
 
 from stratalake.operators import marts
+from stratalake.operators.marts import finished_mart, mart_parts, mean_mart
 from stratalake.plans.jobs import clean
 from stratalake.spec import MeanMart
 
@@ -59,5 +61,30 @@ def test_mart_with_hot_group_sends_partial_sums(spark):
     df = spark.range(100_000).selectExpr("IF(id % 3 = 0, -1, id % 10) AS k", "cast(id % 5 AS double) AS v")
     out = marts.mean_mart(df, mart)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_avg" in plan and "partial_count" in plan
+    assert "partial_sum" in plan and "partial_count" in plan
     assert sum(r["trips"] for r in out.collect()) == 100_000
+
+
+def test_means_do_not_depend_on_the_order_of_sums(spark):
+    """Exact halves, negative ones, cents that doubles cannot hold, and sums whose order changes the last digit."""
+    rows = [("half", 0.005), ("half", 0.005), ("minus", -0.005), ("minus", -0.005), ("tenths", 0.1), ("tenths", 0.2), ("tenths", 0.3)]
+    rows += [("wide", 1e11), *[("wide", 0.01)] * 1000, ("wide", -1e11), ("none", None), ("third", 1.0), ("third", 1.0), ("third", 0.0)]
+    mart = MeanMart("m", ("k",), "v", "mean", 2)
+    want = {"half": 0.01, "minus": -0.01, "tenths": 0.2, "wide": 0.01, "none": None, "third": 0.67}
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: (r[1] or 0, r[0]))):
+        df = spark.createDataFrame(order, "k string, v double").repartition(3)
+        assert {r["k"]: r["mean"] for r in mean_mart(df, mart).collect()} == want
+
+
+def test_values_beyond_whole_millionths(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("inf", inf), ("inf", 1.0), ("nan", nan), ("nan", 2.0), ("huge", 1e300), ("huge", 3e300), ("both", 1e13), ("both", 0.5)]
+    out = {r["k"]: r["mean"] for r in mean_mart(spark.createDataFrame(rows, "k string, v double"), MeanMart("m", ("k",), "v", "mean", 2)).collect()}
+    assert (out["inf"], out["huge"], out["both"]) == (inf, 2e300, 5000000000000.25) and out["nan"] != out["nan"]
+
+
+def test_parts_add_up(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id % 3 AS month", "id / 7.0D AS v")
+    mart = MeanMart("m", ("k",), "v", "mean", 3, where="id >= 0", count_alias="n")
+    rows = df.withColumn("id", F.lit(1))
+    assert finished_mart(mart_parts(rows, mart, ["month"]), mart).collect() == mean_mart(rows, mart).collect()

@@ -23,6 +23,8 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, name):
+    if name == "table_hashes" and SF_DIR != "/root/testdata/sf0.01":
+        pytest.skip("its SQL names the folder of this scale factor")
     assert differences(contract.queries()[name](spark, SF_DIR), con, contract.oracle_sql()[name]) == []
 
 

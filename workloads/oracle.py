@@ -197,6 +197,10 @@ ORACLES: dict[str, str] = {
         SELECT CASE WHEN month <= '1997-12' THEN 'skipped' ELSE 'ingested' END AS status, count(*) AS count
         FROM ({ALL_MONTHS}) GROUP BY 1 ORDER BY 1""",
     "ingest_totals_forced": f"SELECT 'ingested' AS status, count(*) AS count FROM ({ALL_MONTHS})",
+    # The tables of the correctness check, by the path that the driver states for them.
+    "table_hashes": """
+        SELECT parse_filename(filename) AS name, CAST(size AS BIGINT) AS bytes, sha256(content) AS sha256
+        FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
     "bronze_conform": f"WITH {TRIPS} SELECT {LANDED_COLUMNS} FROM delivered",
     "bronze_audit": f"""
         WITH {TRIPS}

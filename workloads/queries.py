@@ -129,6 +129,12 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.landing_manifest(spark, lake, SPEC.name, BASE_URL)
 
 
+def table_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name, bytes and digest of the files of the driver tables, hashed as the manifest does."""
+    files = landing.file_hashes(spark, [sf_dir])
+    return files.select(F.substring_index("path", "/", -1).alias("name"), "bytes", "sha256")
+
+
 def drifted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = land(spark, sf_dir, scratch_folder(spark))
     return landing.read_conformed(spark, lake, SPEC.name, SPEC.columns, RUN_ID)
@@ -549,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "ingest_totals": ingest_totals,
     "ingest_totals_forced": ingest_totals_forced,
     "landing_manifest": landing_manifest,
+    "table_hashes": table_hashes,
     "bronze_conform": bronze_conform,
     "bronze_audit": bronze_audit,
     "bronze_provenance": bronze_provenance,
