@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text. Each holds the words that set its class
-apart, nearer to the window the more they do, and both end with the words that are common in all text, so that what a
+Two zstandard dictionaries are trained, one on toxic and one on ordinary text: by zstandard itself, from what is left of
+the class's own documents without the words that both classes share. Both end with these shared words, so that what a
 window of words saves with one against the other is due to the class. The share of a document's windows that save
 so-and-so many bytes gives its score, through a logistic curve fitted on labelled documents kept apart from the
 dictionaries' words.
@@ -24,9 +24,12 @@ from stratalake.llm.sampling import labelled_sample, log_odds, logistic
 #: Words of a window, and how many further the next begins.
 WINDOW, STEP = 12, 6
 LEVEL = 6
-#: Bytes of a dictionary's own words and of the common words.
-OWN, COMMON = 16 << 10, 32 << 10
-#: How far (in standard errors) a word's share of one class's documents is above the other's for the dictionary.
+#: Bytes of a dictionary's own, trained part and of the common words. What is trained beyond the class's own words is
+#: chance, which costs accuracy: with 4 KiB and more, windows of ordinary words differ too.
+OWN, COMMON = 1 << 10, 32 << 10
+#: Bytes of the segments that the training selects, and of the pieces that it counts.
+SEGMENT, PIECE = 32, 6
+#: How far (in standard errors) a word's share of one class's documents is above the other's to be left for training.
 APART = 5.0
 #: Labelled documents of each class to learn from: a bounded sample by design, half for the dictionaries.
 SAMPLE = 6000
@@ -84,16 +87,40 @@ def train_dictionaries(sample: DataFrame) -> Dictionaries:
     error = F.sqrt(share * (1 - share) * F.lit(1 / n1 + 1 / n0))
     counts = written(counts.withColumn("z", (F.col("n1") / n1 - F.col("n0") / n0) / error))
 
-    def best(df: DataFrame, order: Column, room: int) -> bytes:
+    def best(df: DataFrame, order: Column, room: int) -> list[bytes]:
         # A word takes a byte and a space at least.
-        return _joined([bytes(r["word"]) for r in df.orderBy(order, "word").limit(room // 2).collect()], room)
+        return [bytes(r["word"]) for r in df.orderBy(order, "word").limit(room // 2).collect()]
 
-    own = counts.filter(F.length("word") > 3)
-    common = best(counts.filter(F.abs("z") <= APART), F.desc("n0"), COMMON)
-    toxic, ordinary = best(own.filter(F.col("z") > APART), F.desc("z"), OWN), best(own.filter(F.col("z") < -APART), F.asc("z"), OWN)
+    def trained(label: int, apart: Column, order: Column) -> bytes:
+        own = best(counts.filter((F.length("word") > 3) & apart), order, COMMON)
+        left = sample.filter(F.col("label") == label).select("_text").mapInArrow(_left(frozenset(own)), "left binary")
+        return train([bytes(r["left"]) for r in left.collect()], own)
+
+    common = _joined(best(counts.filter(F.abs("z") <= APART), F.desc("n0"), COMMON), COMMON)
+    toxic, ordinary = trained(1, F.col("z") > APART, F.desc("z")), trained(0, F.col("z") < -APART, F.asc("z"))
     return Dictionaries(toxic + b" " + common, ordinary + b" " + common)
 
 
+def _left(words: frozenset[bytes]):
+    """Of each text, which of ``words`` it has, in order of first use."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = (dict.fromkeys(w for w in plain_words(t) if w in words) for t in batch.column("_text").to_pylist())
+            kept = [b" ".join(t) + b" " for t in texts if t]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary())], ["left"])
+
+    return run
+
+
+def train(texts: list[bytes], words: list[bytes]) -> bytes:
+    """A dictionary trained on ``texts``; where they are too few for that, the ``words`` that fit."""
+    try:
+        return zstandard.train_dictionary(OWN, sorted(texts), k=SEGMENT, d=PIECE).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return _joined(words, OWN)
+
+
 def savings(text: str, ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> np.ndarray:
     """Bytes that each window of a text saves with the toxic dictionary against the ordinary one."""
     words = plain_words(text)

@@ -86,6 +86,43 @@ def test_dictionaries_tell_their_words():
     assert saved.max() > 5 and toxicity.savings("", *toxic.compressors()).tolist() == [0]
 
 
+def test_dictionaries_are_trained_on_their_own_class(labelled):
+    docs, labels = labelled
+    pair = toxicity.fit(docs, labels, F.lit(True)).dictionaries
+    assert all(w in pair.toxic and w not in pair.ordinary for w in (b"vermin", b"blockhead", b"nitwit"))
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["vermin", "blockhead", "nitwit", "scoundrel"]) for _ in range(6)).encode() for _ in range(300)]
+    magic = (0xEC30A437).to_bytes(4, "little")  # fixed value: how a trained dictionary begins
+    assert toxicity.train(texts, []).startswith(magic)
+    assert toxicity.train([], [b"one", b"two"]) == b"two one"
+
+
+def test_scores_equal_plain_counting(labelled, awkward):
+    """Each score again from the model's dictionaries: windows compressed one by one, counted, put on the curve."""
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels, remainder("doc_id", 4) != 2)
+    compressors = model.dictionaries.compressors()
+
+    def score(text):
+        words = "".join(c if c.isalnum() or ord(c) >= 128 else " " for c in (text or "")).encode().lower().split()
+        saved = []
+        for i in range(0, max(1, len(words) - toxicity.STEP), toxicity.STEP):
+            window = b" ".join(words[i : i + toxicity.WINDOW])
+            saved.append(len(compressors[0].compress(window)) - len(compressors[1].compress(window)))
+        above = [sum(s >= bound for s in saved) for bound in toxicity.SAVED]
+        x = [*[a / len(saved) for a in above], *[np.log(1 + a) for a in above], sum(saved) / len(saved), np.log(len(saved))]
+        z = model.weights[0] + sum(w * (v - m) / d for w, v, m, d in zip(model.weights[1:], x, model.mean, model.scale, strict=True))
+        return 1 / (1 + np.exp(-max(-30, min(30, z))))
+
+    for df in (awkward, docs.limit(60)):
+        texts = {r["_hash"]: r["_text"] for r in toxicity.keyed(df).collect()}
+        rows = toxicity.toxicity(df, model).collect()
+        assert len(rows) == df.count()
+        for r in rows:
+            assert r["score"] == pytest.approx(score(texts[r["_hash"]]), abs=1e-9)
+            assert r["predicted"] == (r["score"] >= 0.3)
+
+
 def test_logistic_recovers_a_slope():
     x = np.c_[np.ones(4000), np.linspace(-3, 3, 4000)]
     y = (np.random.default_rng(0).random(4000) < 1 / (1 + np.exp(-(0.5 + 2 * x[:, 1])))).astype(float)
