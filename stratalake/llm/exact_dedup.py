@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import KEY, keyed, public_id, written
+from stratalake.llm.common import KEY, keyed, public_id, repeated, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 BLOCK = 16_384
@@ -85,7 +85,9 @@ def exact_groups(docs: DataFrame, block: int = BLOCK, normalised: Column | None
     and a text, one can stay. An empty table gives no rows; other columns are not read.
     """
     text = F.regexp_replace("_text", SPACE, "") if normalised is None else normalised
-    rows = keyed(docs).withColumns({"_chars": F.length("_text"), "_text": text})
+    # A row is known by its id and a digest of its text, wide enough that no two texts share one.
+    rows = keyed(docs).withColumn("_hash", F.unhex(F.sha2("_text", 256)))
+    rows = rows.withColumns({"_chars": F.length("_text"), "_text": text})
     identities = block_identities(rows, block, signature)
     about = rows.groupBy(*KEY).agg(
         F.count("*").alias("_rows"), F.first("_chars").alias("_chars"), F.first(F.sha2("_text", 256)).alias("text_sha256")
@@ -94,12 +96,11 @@ def exact_groups(docs: DataFrame, block: int = BLOCK, normalised: Column | None
     order = F.struct((-F.col("_chars")).alias("c"), F.col("_id").alias("i"), F.col("_hash").alias("h"))
     groups = about.groupBy("level", "name").agg(F.sum("_rows").alias("group_size"), F.min(order).alias("_best"))
     best = (F.col("_best.i") == F.col("_id")) & (F.col("_best.h") == F.col("_hash"))
-    out = about.join(written(groups), ["level", "name"])
-    out = out.select("*", F.explode(F.expr("sequence(1L, _rows)")).alias("_nth"))
+    out = repeated(written(about.join(written(groups), ["level", "name"])), "_rows", "_nth")
     return out.select(
         public_id().alias("doc_id"),
         public_id("_best.i").alias("keep_id"),
         "group_size",
-        (best & (F.col("_nth") == 1)).alias("kept"),
+        (best & (F.col("_nth") == 0)).alias("kept"),
         "text_sha256",
     )

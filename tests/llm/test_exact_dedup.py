@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.llm.exact_dedup import block_identities, exact_groups
-from stratalake.llm.common import keyed
+from stratalake.llm.common import keyed, repeated
 
 SPACE = re.compile(r"[\x20\x09-\x0d]")
 
@@ -43,6 +43,17 @@ def test_equal_signatures_of_different_blocks_are_told_apart(frame):
     assert found(frame(rows), block=3, signature=lambda b: F.length(b).cast("long")) == expected(rows)
 
 
+def test_rows_that_repeat_thousands_of_times(spark, frame):
+    """A third of the rows are one row without an id; they come back one by one, by way of many tasks."""
+    rows = [(None, "")] * 9000 + [(i, f"text {i}") for i in range(40)] + [(None, " \n")] * 3
+    assert found(frame(rows)) == expected(rows)
+    many = spark.createDataFrame([(1, 1_000_000), (2, 1), (3, 0)], "k long, n long")
+    out = repeated(many, "n", "nth", most=1000)
+    assert out.groupBy("k").agg(F.count("*"), F.min("nth"), F.max("nth"), F.count_distinct("nth")).sort("k").collect() == [
+        (1, 1_000_000, 0, 999_999, 1_000_000), (2, 1, 0, 0, 1)
+    ]
+
+
 def test_empty_table(nothing):
     assert exact_groups(nothing).collect() == []
 
