@@ -67,12 +67,15 @@ def public_id(column: str = "_id") -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column))
 
 
-def repeated(df: DataFrame, count: str, nth: str, most: int = 4096) -> DataFrame:
-    """Each row of ``df`` as often as its column ``count`` says, numbered from 0 by ``nth``; ``df`` is read twice.
+def repeated(df: DataFrame, count: str, nth: str, most: int = 4096, counts: DataFrame | None = None) -> DataFrame:
+    """Each row of ``df`` as often as its column ``count`` says, numbered from 0 by ``nth``.
 
-    A row that is repeated more often than ``most`` is dealt out to many tasks first, in runs of ``most``.
+    A row that is repeated more often than ``most`` is dealt out to many tasks first, in runs of ``most``; ``df`` is
+    read twice for that, or once if ``counts``, a table that has all its counts, shows no such row.
     """
     few = df.filter(F.col(count).between(1, most)).withColumn(nth, F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
+    if counts is not None and counts.filter(F.col(count) > most).isEmpty():
+        return few
     run = F.explode(F.sequence(F.lit(0), F.floor((F.col(count) - 1) / most)))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     many = df.filter(F.col(count) > most).withColumn("_run", run).repartition(n, *df.columns[:1], "_run")
