@@ -23,8 +23,8 @@ from stratalake.plans.parallel import in_parallel
 from stratalake.plans.sizing import sized_for, table_bytes
 from stratalake.plans.sql import answers
 from stratalake.sources import versions
-from stratalake.sources.landing import ingest, landed_files, read_conformed
-from stratalake.sources.layout import BRONZE, CHECK_RESULTS, DQ, GOLD, SILVER, join, landing_month, landing_root, table_path
+from stratalake.sources.landing import file_provenance, ingest, landed_files, read_conformed
+from stratalake.sources.layout import BRONZE, CHECK_RESULTS, DQ, GOLD, SILVER, join, table_path
 from stratalake.sources.tables import clustered, overwrite_table, read_optional, read_table, replace_rows
 from stratalake.spec import (
     BRONZE_PARTITIONS,
@@ -125,20 +125,26 @@ def run_bronze(
     the number of their file, which is their provenance in eight bytes; the dictionary of files is a table beside
     bronze. Both change at once, and a month that comes without rows disappears.
     """
+    with landed_files(spark, lake, spec.name, months) as listed:
+        return _write_bronze(spark, spec, lake, batch_id, months, fmt, listed)
+
+
+def _write_bronze(
+    spark: SparkSession, spec: DatasetSpec, lake: str, batch_id: str, months: Sequence[str] | None, fmt: str, listed: DataFrame
+) -> str:
     layer, target = join(lake, BRONZE), table_path(lake, BRONZE, spec.table)
     at = F.timestamp_micros(F.lit(time.time_ns() // 1000))
-    rows = read_conformed(spark, lake, spec.name, spec.columns, batch_id, months, at)
-    files = landed_files(spark, lake, spec.name, batch_id, months, at)
-    salt = _salt(files)
+    rows = read_conformed(spark, lake, spec.name, spec.columns, batch_id, months, at, listed)
+    files = file_provenance(listed, spec.name, batch_id, at)
+    salt, size = _salt(files), listed.agg(F.coalesce(F.sum("length"), F.lit(0))).collect()[0][0]
     rows, files = (df.withColumn(FILE_NUMBER, file_number(F.col("_source_file"), F.col("_source_month"), salt)) for df in (rows, files))
     files = files.select(FILE_NUMBER, *PROVENANCE)
-    folders = [landing_root(lake, spec.name)] if months is None else [landing_month(lake, spec.name, m) for m in months]
     gone = None if months is None else [f"source_year={m[:4]}/source_month={m[5:7]}" for m in months]
     outputs = [
         Output(rows, layer, spec.table, BRONZE_PARTITIONS, gone),
         Output(clustered(files, BRONZE_PARTITIONS), layer, spec.files_table, BRONZE_PARTITIONS, gone),
     ]
-    with sized_for(spark, table_bytes(spark, *folders)):
+    with sized_for(spark, size):
         if fmt == PARQUET:
             with staging(spark, layer, spec.table) as held:
                 held.write(*outputs)

@@ -27,15 +27,22 @@ def parquet_files(spark: SparkSession) -> DataFrameReader:
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
 
 
+def listed_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """``path``, ``length`` and the path as rows of a scan have it, of every parquet file; no file is opened."""
+    files = parquet_files(spark).format("binaryFile").load(list(folders))
+    return files.select("path", "length", F.col("_metadata.file_path").alias(SOURCE_PATH))
+
+
 def schema_groups(
-    spark: SparkSession, folders: Sequence[str], columns: Mapping[str, str]
+    spark: SparkSession, folders: Sequence[str], columns: Mapping[str, str], files: DataFrame | None = None
 ) -> list[tuple[T.StructType, list[str]]]:
-    """Schemas of the wanted columns, each with the folders, or single files, that have it.
+    """Schemas of the wanted columns, each with the folders, or single files, that have it. ``files`` is their listing,
+    where the caller has it.
 
     Schemas that agree on the columns they share are one group: a column that a file lacks reads as NULL.
     """
     wanted = {name.lower() for name in columns}
-    files = parquet_files(spark).format("binaryFile").load(list(folders)).select("path")
+    files = listed_files(spark, folders) if files is None else files
     types = file_types(files, columns).cache()
     try:
         found = variants(types)
@@ -91,10 +98,12 @@ def _merged_groups(spark: SparkSession, folders: Sequence[str], wanted: set[str]
     return list(groups.values())
 
 
-def scan_conformed(spark: SparkSession, folders: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+def scan_conformed(
+    spark: SparkSession, folders: Sequence[str], columns: Mapping[str, str], files: DataFrame | None = None
+) -> DataFrame:
     """``columns`` conformed over all files below ``folders``, and the path of the file of each row."""
     frames = []
-    for schema, paths in schema_groups(spark, folders, columns):
+    for schema, paths in schema_groups(spark, folders, columns, files):
         raw = parquet_files(spark).schema(schema).parquet(*paths)
         with_path = raw.select(*raw.columns, F.col("_metadata.file_path").alias(SOURCE_PATH))
         frames.append(conform(with_path, columns, keep=[SOURCE_PATH]))

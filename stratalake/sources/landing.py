@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.timedims import source_month
 from stratalake.operators.conform import add_provenance
-from stratalake.sources.drift import SOURCE_PATH, parquet_files, scan_conformed
+from stratalake.sources.drift import SOURCE_PATH, listed_files, parquet_files, scan_conformed
 from stratalake.sources.footers import can_open, hashed
 from stratalake.sources.layout import DQ, LANDING, MANIFEST, landing_month, landing_root, table_path
 from stratalake.sources.tables import is_missing_path, overwrite_table, read_optional
@@ -172,16 +173,18 @@ def read_conformed(
     batch_id: str,
     months: Sequence[str] | None = None,
     at: Column | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """All landed rows of a dataset (or of some months) in fixed types, with provenance; ``at`` as in
-    ``add_provenance``."""
+    ``add_provenance``, ``files`` the listing where the caller has it."""
     folders = _folders(lake, dataset, months)
     try:
-        rows = scan_conformed(spark, folders, columns)
+        files = listed_files(spark, folders) if files is None else files
+        rows = scan_conformed(spark, folders, columns, files)
     except AnalysisException as error:
         raise _nothing_landed(", ".join(folders), error) from error
     key, month = file_key(F.col(SOURCE_PATH), dataset), None
-    files = _file_names(spark, folders, dataset)
+    files = _file_names(files, dataset)
     if files.count() <= MAX_BROADCAST_FILES:
         # Patterns are matched once per file instead of once per row; a path the listing spells differently is not.
         rows = rows.join(F.broadcast(files), SOURCE_PATH, "left")
@@ -190,20 +193,31 @@ def read_conformed(
     return add_provenance(rows, key, batch_id, month, at).drop(SOURCE_PATH, "_file_key", "_file_month")
 
 
+@contextmanager
 def landed_files(
-    spark: SparkSession, lake: str, dataset: str, batch_id: str, months: Sequence[str] | None, at: Column
-) -> DataFrame:
-    """Provenance of each landed file (of some months), from the listing alone."""
-    files = _file_names(spark, _folders(lake, dataset, months), dataset)
-    named = add_provenance(files, F.col("_file_key"), batch_id, F.col("_file_month"), at)
+    spark: SparkSession, lake: str, dataset: str, months: Sequence[str] | None = None
+) -> Iterator[DataFrame]:
+    """The listing of a dataset's files (of some months), made once for all that ask for it."""
+    folders = _folders(lake, dataset, months)
+    try:
+        files = listed_files(spark, folders).cache()
+    except AnalysisException as error:
+        raise _nothing_landed(", ".join(folders), error) from error
+    try:
+        yield files
+    finally:
+        files.unpersist()
+
+
+def file_provenance(files: DataFrame, dataset: str, batch_id: str, at: Column) -> DataFrame:
+    """Provenance of each listed file."""
+    named = add_provenance(_file_names(files, dataset), F.col("_file_key"), batch_id, F.col("_file_month"), at)
     return named.drop(SOURCE_PATH, "_file_key", "_file_month")
 
 
-def _file_names(spark: SparkSession, folders: Sequence[str], dataset: str) -> DataFrame:
-    files = parquet_files(spark).format("binaryFile").load(list(folders))
-    path = F.col("_metadata.file_path")
-    key = file_key(path, dataset)
-    return files.select(path.alias(SOURCE_PATH), key.alias("_file_key"), source_month(key).alias("_file_month"))
+def _file_names(files: DataFrame, dataset: str) -> DataFrame:
+    key = file_key(F.col(SOURCE_PATH), dataset)
+    return files.select(SOURCE_PATH, key.alias("_file_key"), source_month(key).alias("_file_month"))
 
 
 def _folders(lake: str, dataset: str, months: Sequence[str] | None) -> list[str]:

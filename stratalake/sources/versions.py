@@ -106,7 +106,7 @@ def live_paths(spark: SparkSession, path: str) -> list[str] | None:
     folders = _published_folders(spark, path)
     if folders is None:
         return [] if _list(spark, f"{path}/{VERSION}=*") else None
-    return _paths(path, folders)
+    return _paths(spark, path, folders)
 
 
 def read_published(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
@@ -129,11 +129,19 @@ def _rows(spark: SparkSession, path: str, folders: Mapping[str, str] | None, sch
     reader = spark.read.option("basePath", path)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(*(_paths(path, folders or {}) or [f"{path}/{VERSION}=none"])).drop(VERSION)
-
-
-def _paths(path: str, folders: Mapping[str, str]) -> list[str]:
-    return [f"{version_path(path, v)}/{f}".rstrip("/") for f, v in sorted(folders.items())]
+    return reader.parquet(*(_paths(spark, path, folders or {}) or [f"{path}/{VERSION}=none"])).drop(VERSION)
+
+
+def _paths(spark: SparkSession, path: str, folders: Mapping[str, str]) -> list[str]:
+    """One folder for a version whose partition folders all count, else each that does."""
+    out = []
+    for version in sorted(set(folders.values())):
+        own = {f for f, v in folders.items() if v == version}
+        depth = len(next(iter(own)).split("/"))
+        root = version_path(path, version)
+        there = {"/".join(f.split("/")[-depth:]) for f in _list(spark, "/".join([root, *["*=*"] * depth]))}
+        out += [root] if own in ({""}, there) else [f"{root}/{f}" for f in sorted(own)]
+    return out
 
 
 def _published_folders(spark: SparkSession, path: str) -> Mapping[str, str] | None:
