@@ -1,7 +1,7 @@
 """Token ids as Arrow files of equal-length sequences.
 
 A shard is one Arrow IPC file. Its record batches hold ``ids``, fixed-size lists; ``mask``, fixed-size lists of bytes that
-are 0 over the padding at the shard's end; and ``docs``, the documents that begin in a sequence. Sequences follow each
+are 0 over the padding at the shard's end, kept once in a dictionary; and ``docs``, the documents that begin in a sequence. Sequences follow each
 other without gaps, so sequence i of a shard is row i % ROWS of batch i // ROWS, read without a copy from a memory map.
 
 Spark's text writer commits the shards: a shard is one row, and the row separator is the magic string that ends an
@@ -29,8 +29,8 @@ END_ID = 1
 MAGIC = "ARROW1"
 #: Bytes of text for each shard, on average.
 SHARD_BYTES = 16 << 20
-#: Pieces, and what stands between white space, whose ids a worker keeps: entries of a generation, about 40 MB of each.
-MEMO = 200_000
+#: Pieces of text whose ids a worker keeps: entries of a generation, at most about 80 MB.
+MEMO = 400_000
 #: Characters of an entry at most.
 LONGEST = 40
 
@@ -90,25 +90,14 @@ class WordIds(Memo):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
 
-class ChunkIds(Memo):
-    """Ids of what stands between white space, from the ids of its pieces."""
-
-    def __init__(self, words: WordIds) -> None:
-        super().__init__()
-        self.words = words
-
-    def made(self, key: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, LATIN_PIECE.findall(key.lower())))
-
-
-_encoders: dict[str, ChunkIds] = {}
+_encoders: dict[str, WordIds] = {}
 
 
 def encoder(path: str):
     """``encode(text)`` gives the ids as an array; equal to the library's on the whole text. One memo for a worker."""
     if path not in _encoders:
-        _encoders[path] = ChunkIds(WordIds(path))
-    chunks = _encoders[path]
+        _encoders[path] = WordIds(path)
+    words = _encoders[path]
 
     def encode(text: str) -> np.ndarray:
         try:
@@ -116,8 +105,9 @@ def encoder(path: str):
             plain = "<|" not in text and not ODD_SPACE.search(text)
         except UnicodeEncodeError:
             plain = False
-        ids = b"".join(map(chunks.__getitem__, text.split())) if plain else chunks.words.whole(text)
-        return np.frombuffer(ids, chunks.words.dtype)
+        # One look-up for each piece: what white space parts is too varied for a memo.
+        ids = b"".join(map(words.__getitem__, LATIN_PIECE.findall(text.lower()))) if plain else words.whole(text)
+        return np.frombuffer(ids, words.dtype)
 
     return encode
 
@@ -135,16 +125,19 @@ def shard_bytes(ids: np.ndarray, docs: list[tuple], length: int = SEQUENCE, rows
     kind = pa.uint16() if ids.dtype.itemsize == 2 else pa.uint32()
     padded = np.zeros(n * length, ids.dtype)
     padded[: len(ids)] = ids
-    mask = (np.arange(n * length) < len(ids)).astype(np.uint8)
+    # A shard has two masks at most, which its batches share: of a full sequence, and of the last one.
+    last = np.arange(length) < len(ids) - (n - 1) * length
+    masks = _lists(np.r_[np.ones(length, np.uint8), last.astype(np.uint8)], length, pa.uint8())
+    which = pa.array((np.arange(n) == n - 1).astype(np.int8))
     starts = np.searchsorted([d[1] for d in docs], np.arange(n + 1) * length)
-    schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length)), ("docs", DOCS)])
+    schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.dictionary(pa.int8(), pa.list_(pa.uint8(), length))), ("docs", DOCS)])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_file(sink, schema) as writer:
         for i in range(0, n, rows):
             j = min(n, i + rows)
             here = [docs[a:b] for a, b in zip(starts[i:j], starts[i + 1 : j + 1], strict=True)]
             part = slice(i * length, j * length)
-            columns = [_lists(padded[part], length, kind), _lists(mask[part], length, pa.uint8()), pa.array(here, DOCS)]
+            columns = [_lists(padded[part], length, kind), pa.DictionaryArray.from_arrays(which[i:j], masks), pa.array(here, DOCS)]
             writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=schema))
     return sink.getvalue().to_pybytes()
 
@@ -189,7 +182,8 @@ def open_shard(data) -> pa.RecordBatchFileReader:
 def sequence(reader: pa.RecordBatchFileReader, i: int, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Ids and mask of sequence ``i``; both are views of the file."""
     batch = reader.get_batch(i // rows)
-    ids, mask = batch.column("ids")[i % rows].values, batch.column("mask")[i % rows].values
+    masks = batch.column("mask")
+    ids, mask = batch.column("ids")[i % rows].values, masks.dictionary[masks.indices[i % rows].as_py()].values
     return ids.to_numpy(), mask.to_numpy().view(np.bool_)
 
 
