@@ -29,8 +29,8 @@ END_ID = 1
 MAGIC = "ARROW1"
 #: Bytes of text for each shard, on average.
 SHARD_BYTES = 16 << 20
-#: Pieces of text whose ids a worker keeps: entries of a generation, at most about 25 MB.
-MEMO = 120_000
+#: Pieces of text whose ids a worker keeps: entries of a generation, at most about 40 MB.
+MEMO = 200_000
 #: Characters of an entry at most.
 LONGEST = 40
 
