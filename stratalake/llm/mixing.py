@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import KEY, NULL_ID, partitions_for, repeated, with_key, written
+from stratalake.llm.common import KEY, NULL_ID, partitions_for, public_id, repeated, with_key, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that share a bucket on average, at least; a bucket's running sum is one task's work.
@@ -157,39 +157,58 @@ def _positions() -> Column:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, taken, and
-    ``positions``, the training times of its copies, plus the key of the row. ``options``: ``weights`` and ``shapes``
-    that sources take in turn, or a ``schedule`` (source, knots); ``scale``; ``most``.
+    """One row for each row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, taken,
+    ``positions``, the training times of its copies, and ``places``, their numbers in the whole mix from 0, plus the key
+    of the row. ``options``: ``weights`` and ``shapes`` that sources take in turn, or a ``schedule`` (source, knots);
+    ``scale``; ``most``.
 
     All sizes times ``scale`` are shared among the sources by weight. A source's documents follow each other in the
     order of a hash of id and text, over and over, ``most`` times at most; a copy is taken if its middle word falls
-    within the target, so a source's words differ from its target by half a document at most. Texts without words and
-    null texts have size 0, are never taken and have no positions. A null source is a source of its own. Rows that
-    repeat an id, a text and a source follow each other. A source that ``schedule`` lacks is not in the mix and in no
-    row; without ``schedule`` every source has one. An empty table gives no rows.
+    within the target, so a source's words differ from its target by half a document at most. The copies are sorted by
+    time and written; what a row says of its copies is read from there. Texts without words and null texts have size 0,
+    are never taken and have no positions. A null source is a source of its own. Rows that repeat an id, a text and a
+    source follow each other. A source that ``schedule`` lacks is not in the mix and in no row; without ``schedule``
+    every source has one. An empty table gives no rows.
     """
-    rows = repeated(_placed(docs, **options), "_rows", "_nth").withColumn("positions", _positions())
-    return rows.select(
-        *KEY,
-        F.when(F.col("_id") != NULL_ID, F.col("_id")).alias("doc_id"),
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * F.size("positions")).alias("taken"),
-        "positions",
+    rows = repeated(_placed(docs, **options), "_rows", "_nth").withColumn("doc_id", public_id())
+    own = ("_copy", "_nth")
+    order = _numbered(training_order(rows.withColumn("positions", _positions()), *own))
+    copies = order.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("place", "position"))).alias("_copies"))
+    rows = rows.join(copies, [*own], "left").withColumns(
+        {
+            "positions": F.coalesce("_copies.position", F.array().cast("array<double>")),
+            "places": F.coalesce("_copies.place", F.array().cast("array<bigint>")),
+        }
     )
+    taken = (F.col("size") * F.size("positions")).alias("taken")
+    return rows.select(*KEY, "doc_id", "source", "size", "source_size", "target", taken, "positions", "places")
 
 
-def training_order(mixed: DataFrame) -> DataFrame:
-    """Every copy that the mix takes, range-sorted by training time: position, copy, key, doc_id, source, size."""
+def training_order(mixed: DataFrame, *own: str) -> DataFrame:
+    """Every copy that the mix takes, range-sorted by training time: position, copy, key, doc_id, source, size, and the
+    columns ``own`` of its row."""
     spark = mixed.sparkSession
-    copies = mixed.select(*KEY, "doc_id", "source", "size", F.posexplode("positions").alias("copy", "position"))
+    copies = mixed.select(*KEY, "doc_id", "source", "size", *own, F.posexplode("positions").alias("copy", "position"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ("position", "source", *KEY, "copy")
     return copies.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
+def _numbered(order: DataFrame) -> DataFrame:
+    """The rows of a range-sorted frame, written as they follow each other, and ``place``, their numbers from 0.
+
+    A task numbers its own rows; the rows of the tasks before it, one number for each task, are added.
+    """
+    order = written(order.withColumn("_at", F.monotonically_increasing_id()))
+    # The upper bits of that number are the task's, the lower 33 count its rows.
+    order = order.withColumn("_task", F.shiftright("_at", 33))
+    ahead = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = order.groupBy("_task").agg(F.count("*").alias("_n"))
+    tasks = tasks.select("_task", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    placed = order.join(F.broadcast(tasks), "_task")
+    return placed.withColumn("place", F.col("_ahead") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_task", "_at", "_ahead")
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them, copies repeated, in training order, with the columns of ``docs``.
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from stratalake.llm import mixing
+from stratalake.llm.queries import QUERIES
 
 
 def test_awkward_rows_have_a_result_each(awkward):
@@ -94,3 +95,38 @@ def test_mixed_documents_on_awkward_rows(awkward):
     for r in mixing.mix(awkward).collect():
         want[r["doc_id"]] += len(r["positions"])
     assert Counter(r["doc_id"] for r in out.collect()) == +want
+
+
+@pytest.fixture
+def many(frame):
+    """Three sources, rows that repeat, and rows that the mix does not take."""
+    rows = [(i, "w " * (1 + i % 7), f"s{i % 3}") for i in range(500)] + [(None, "w w", None)] * 300
+    return frame(rows + [(i, "", "s0") for i in range(20)])
+
+
+def test_places_number_the_copies_by_time(many):
+    rows = mixing.mix(many).collect()
+    assert len(rows) == 820 and all(len(r["places"]) == len(r["positions"]) for r in rows)
+    copies = sorted((place, at) for r in rows for place, at in zip(r["places"], r["positions"], strict=True))
+    assert [place for place, _ in copies] == list(range(len(copies))) and len(copies) > 820
+    assert [at for _, at in copies] == sorted(at for _, at in copies)
+    assert [at for _, at in copies] == [r["position"] for r in mixing.training_order(mixing.mix(many)).collect()]
+
+
+def test_the_query_reads_the_sorted_copies(spark, many, tmp_path, monkeypatch):
+    """What the range sort does not return is in no row of the query."""
+    many.write.parquet(f"{tmp_path}/documents.parquet")
+    sort, query = mixing.training_order, QUERIES["op2_mixing"]
+    whole = query(spark, str(tmp_path)).collect()
+    monkeypatch.setattr(mixing, "training_order", lambda *args: sort(*args).filter("position < 0.5"))
+    half = query(spark, str(tmp_path)).collect()
+    assert len(half) == len(whole) == 820
+    assert sum(r["taken"] for r in half) < sum(r["taken"] for r in whole)
+    first = Counter(r["first_position"] for r in whole if r["first_position"] is not None and r["first_position"] < 0.5)
+    assert first and Counter(r["first_position"] for r in half if r["first_position"] is not None) == first
+
+
+def test_places_over_tasks_without_rows(spark):
+    numbers = spark.range(1000).repartitionByRange(7, "id").sortWithinPartitions("id").filter("id < 100 OR id > 700")
+    found = mixing._numbered(numbers).sort("id").collect()
+    assert [r["place"] for r in found] == list(range(399)) and found[100]["id"] == 701
