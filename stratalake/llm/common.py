@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,18 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs that run inside send at most ``most`` rows at once to Python, or fewer where the session says so."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -4,8 +4,9 @@ A shard is one Arrow IPC file. Its record batches hold ``ids``, fixed-size lists
 are 0 over the padding at the shard's end, kept once in a dictionary; and ``docs``, the documents that begin in a sequence. Sequences follow each
 other without gaps, so sequence i of a shard is row i % ROWS of batch i // ROWS, read without a copy from a memory map.
 
-Spark's text writer commits the shards: a shard is one row, and the row separator is the magic string that ends an
-Arrow file. So files appear only when their task is committed, in any store that Spark writes to.
+Spark's text writer commits the shards: a shard is one row and one file, and the row separator is the magic string that
+ends an Arrow file. So files appear only when their task is committed, in any store that Spark writes to. A task writes
+as many shards as its texts take, so a worker holds one shard's ids at a time, whatever falls to its task.
 """
 
 from __future__ import annotations
@@ -20,15 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import keyed, partitions_for, public_id, shared_folder, written
+from stratalake.llm.common import arrow_rows, keyed, partitions_for, public_id, shared_folder, written
 
 SEQUENCE = 2048
 #: Sequences in a record batch.
 ROWS = 64
 END_ID = 1
 MAGIC = "ARROW1"
-#: Bytes of text for each shard, on average.
+#: Bytes of text for each task, on average; a shard's ids take as many at most, besides its last document's.
 SHARD_BYTES = 16 << 20
+#: Texts that travel to a worker at once.
+TEXTS = 256
 #: Pieces of text whose ids a worker keeps: entries of a generation, at most about 40 MB.
 MEMO = 200_000
 #: Characters of an entry at most.
@@ -121,10 +124,13 @@ DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("n_token
 
 def shard_bytes(ids: np.ndarray, docs: list[tuple], length: int = SEQUENCE, rows: int = ROWS) -> bytes:
     """The file of one shard. ``docs``: (doc_id, first id's place in the shard, number of ids), in order."""
+    return shard_buffer(ids, docs, length, rows).to_pybytes()
+
+
+def shard_buffer(ids: np.ndarray, docs: list[tuple], length: int = SEQUENCE, rows: int = ROWS) -> pa.Buffer:
+    """As ``shard_bytes``. Ids are copied into the file only; the last batch is padded."""
     n = -(-len(ids) // length)
     kind = pa.uint16() if ids.dtype.itemsize == 2 else pa.uint32()
-    padded = np.zeros(n * length, ids.dtype)
-    padded[: len(ids)] = ids
     # A shard has two masks at most, which its batches share: of a full sequence, and of the last one.
     last = np.arange(length) < len(ids) - (n - 1) * length
     masks = _lists(np.r_[np.ones(length, np.uint8), last.astype(np.uint8)], length, pa.uint8())
@@ -136,32 +142,45 @@ def shard_bytes(ids: np.ndarray, docs: list[tuple], length: int = SEQUENCE, rows
         for i in range(0, n, rows):
             j = min(n, i + rows)
             here = [docs[a:b] for a, b in zip(starts[i:j], starts[i + 1 : j + 1], strict=True)]
-            part = slice(i * length, j * length)
-            columns = [_lists(padded[part], length, kind), pa.DictionaryArray.from_arrays(which[i:j], masks), pa.array(here, DOCS)]
+            part = ids[i * length : j * length]
+            if len(part) < (j - i) * length:
+                part = np.r_[part, np.zeros((j - i) * length - len(part), ids.dtype)]
+            columns = [_lists(part, length, kind), pa.DictionaryArray.from_arrays(which[i:j], masks), pa.array(here, DOCS)]
             writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=schema))
-    return sink.getvalue().to_pybytes()
+    return sink.getvalue()
+
+
+def _file_row(shard: pa.Buffer) -> pa.RecordBatch:
+    """One row with the shard's file up to its end string, which the text writer adds; the bytes are not copied."""
+    size = shard.size - len(MAGIC)
+    file = pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, size], np.int32)), shard.slice(0, size)])
+    return pa.RecordBatch.from_arrays([file], ["file"])
 
 
-def _encode_shard(path: str, length: int, end_id: int):
+def _encode_shards(path: str, length: int, end_id: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        parts, docs, at = [], [], 0
+        kind = encode("").dtype
+        end = np.array([end_id], kind).tobytes()
+        flat, docs = bytearray(), []
         for batch in batches:
             for i, text in zip(*(batch.column(c).to_pylist() for c in ("_id", "_text")), strict=True):
                 ids = encode(text)
-                parts += [ids, np.array([end_id], ids.dtype)]
-                docs.append((i, at, len(ids) + 1))
-                at += len(ids) + 1
+                docs.append((i, len(flat) // kind.itemsize, len(ids) + 1))
+                flat += ids.data
+                flat += end
+                if len(flat) >= most:
+                    yield _file_row(shard_buffer(np.frombuffer(flat, kind), docs, length))
+                    flat, docs = bytearray(), []
         if docs:
-            shard = shard_bytes(np.concatenate(parts), docs, length)
-            file = shard[: -len(MAGIC)]
-            yield pa.RecordBatch.from_arrays([pa.array([file], pa.binary())], ["file"])
+            yield _file_row(shard_buffer(np.frombuffer(flat, kind), docs, length))
 
     return run
 
 
 def write_shards(docs: DataFrame, tokenizer: str, path: str, length: int = SEQUENCE, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> None:
-    """Encode every text and write shards below ``path``; shard k's documents all come before those of shard k + 1.
+    """Encode every text and write shards below ``path``; shard k's documents all come before those of shard k + 1,
+    where shards follow each other by the number of their task and then their number within it (``-c``) in their names.
 
     Ascending doc_id orders the documents, null last; rows that repeat an id follow in the order of a hash of their
     text. A null or empty text has the end id only. An empty table writes no shard.
@@ -170,8 +189,10 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, length: int = SEQUE
     size = texts.agg(F.sum(F.octet_length("_text")).alias("n")).collect()[0]["n"] or 0
     n = partitions_for(docs.sparkSession, size, shard_bytes)
     ordered = texts.repartitionByRange(n, "_id", "_hash").sortWithinPartitions("_id", "_hash")
-    files = ordered.mapInArrow(_encode_shard(tokenizer, length, end_id), "file binary")
-    files.select(F.col("file").cast("string")).write.option("lineSep", MAGIC).text(path)
+    files = ordered.mapInArrow(_encode_shards(tokenizer, length, end_id, shard_bytes), "file binary")
+    files = files.select(F.col("file").cast("string"))
+    with arrow_rows(docs.sparkSession, TEXTS):
+        files.write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(path)
 
 
 def open_shard(data) -> pa.RecordBatchFileReader:
@@ -236,10 +257,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     A shard's place in the whole is the sum of the shards before it; there is one such row for each file.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    found = written(files.mapInArrow(_read, READ))
+    with arrow_rows(spark, 1):
+        found = written(files.mapInArrow(_read, READ))
     per_shard = found.groupBy("path").agg(F.sum("n_tokens").alias("n"))
     name = F.element_at(F.split("path", "/"), -1)
-    before = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    order = [F.regexp_extract(name, number, 1).cast("long") for number in (r"^part-(\d+)", r"-c(\d+)")]
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     base = per_shard.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     out = found.join(written(base), "path")
     return out.select(public_id().alias("doc_id"), (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

@@ -65,5 +65,41 @@ def test_shard_is_a_file_of_equal_sequences(sizes, tmp_path):
     assert pa.total_allocated_bytes() - before < 4096  # ids stay in the map
 
 
+def test_a_task_writes_as_many_shards_as_its_texts_take(frame, library, tmp_path):
+    """Ids of one shard are in memory at a time, even where an id has most of the text."""
+    rows = [(i, "1 2 3 4 " * (400 if 40 <= i < 44 else 1 + i % 5)) for i in range(60)]
+    path, most = f"{tmp_path}/shards", 1000
+    token_arrow.write_shards(frame(rows).coalesce(1), vocabulary(), path, length=32, shard_bytes=most)
+    token_counts = {i: len(library.encode(text, add_special_tokens=False).ids) + 1 for i, text in rows}
+    found, files = [], sorted(tmp_path.glob("shards/part-*-c*.txt"))
+    for file in files:
+        docs = [(i, len(ids)) for i, _, ids in token_arrow.shard_documents(file.read_bytes())]
+        assert sum(n for _, n in docs[:-1]) * 2 < most
+        found += docs
+    assert sorted(found) == sorted(token_counts.items())
+
+
+def test_shards_of_a_task_follow_each_other(spark, frame, library, monkeypatch):
+    """More shards of a task than its three-digit numbers tell apart as text."""
+    rows = [(i, f"text {i}") for i in range(1100)]
+    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch_rows)
+    monkeypatch.setattr(token_arrow, "partitions_for", lambda *_: 1)
+    got = token_arrow.tokens_round_trip(frame(rows), vocabulary(), length=8, shard_bytes=1).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == list(range(1100)) and spark.conf.get(batch_rows) == before
+    assert [r["start"] for r in got] == [sum(x["n_tokens"] for x in got[:k]) for k in range(1100)]
+
+
+def test_a_task_hands_on_its_shards_one_by_one():
+    import itertools
+
+    batch = pa.RecordBatch.from_pydict({"_id": list(range(50)), "_text": ["seven words in each of these texts"] * 50})
+    taken = itertools.count()
+    shards = token_arrow._encode_shards(vocabulary(), 32, 1, 100)(batch for _ in range(20) if next(taken) >= 0)
+    first = next(shards).column("file")[0].as_py() + token_arrow.MAGIC.encode()
+    assert next(taken) == 1 and 1 < len(list(token_arrow.shard_documents(first))) <= 8
+    assert sum(1 for _ in shards) > 100
+
+
 def test_empty_table(nothing):
     assert token_arrow.tokens_round_trip(nothing, vocabulary()).collect() == []
